@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from obsloom.registered import general, models
+from obsloom.registered import general, models, moving
 from obsloom.registered.common import Registry
 
 REGISTRY = Registry()
 general.register(REGISTRY)
 models.register(REGISTRY)
+moving.register(REGISTRY)

@@ -33,11 +33,14 @@ _DAY_SPEC = [
     ("k_sum", "sum", "k"),
 ]
 _SQL_K = "CAST(regexp_replace(props, '[^0-9]+', '', 'g') AS BIGINT)"
-_SQL_EVENTS = f"events AS (SELECT * REPLACE (ts AS ts), {_SQL_K} AS k FROM events)"
+# The odd divisor keeps averages off exact halves at the last rounded place.
+_SQL_EVENTS = f"(SELECT * REPLACE (value / 7.0013e0 AS value), {_SQL_K} AS k FROM events)"
 
 
 def _events(spark, sf_dir):
-    return table(spark, sf_dir, "events").withColumn("k", text.digits_to_long("props"))
+    return table(spark, sf_dir, "events").withColumns(
+        {"k": text.digits_to_long("props"), "value": F.col("value") / F.lit(7.0013)}
+    )
 
 
 def _user_days(events, key_name="user_day_id"):
@@ -48,7 +51,7 @@ def _sql_days(name: str, where: str = "true") -> str:
     return f"""{name} AS (
   SELECT user_id, CAST(ts AS DATE) AS event_date, avg(value) AS value_avg, min(value) AS value_min, max(value) AS value_max,
     sum(value) AS value_sum, avg(k) AS k_avg, max(k) AS k_max, CAST(sum(k) AS BIGINT) AS k_sum
-  FROM (SELECT *, {_SQL_K} AS k FROM events) WHERE {where} GROUP BY ALL)"""
+  FROM {_SQL_EVENTS} WHERE {where} GROUP BY ALL)"""
 
 
 # Two overlapping sources made from the event types.

@@ -203,7 +203,8 @@ _PRELUDE = ", ".join(f"{name} AS ({text})" for name, text in _CTES.items()) + ",
 )
 
 
-def _final(select: str) -> str:
+def with_models(select: str) -> str:
+    """A query over the models' SQL counterparts."""
     return f"WITH {_PRELUDE} {select}"
 
 
@@ -323,4 +324,4 @@ def register(registry: Registry) -> None:
 
     for name in MODELS:
         if name != "mart_hour_dim":  # fixed size; registered as hour_dim, joined to facts
-            registry.add(f"model_{name}", _final(ORACLES[name]))(model(name))
+            registry.add(f"model_{name}", with_models(ORACLES[name]))(model(name))

@@ -2,13 +2,28 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import TimestampNTZType
 
 from obsloom.functions.keys import surrogate_key
-from obsloom.operators.rollup import measures
 from obsloom.operators.ranking import best_per_key
+from obsloom.operators.rollup import measures
+
+
+def _utc_instant(df: DataFrame, time: str) -> DataFrame:
+    """Watermarks need an instant: read a zone-free time as UTC, whatever the session's zone."""
+    if not isinstance(df.schema[time].dataType, TimestampNTZType):
+        return df
+    epoch = F.lit(dt.datetime(1970, 1, 1)).cast("timestamp_ntz")
+    return df.withColumn(time, F.timestamp_micros(F.timestamp_diff("MICROSECOND", epoch, F.col(time))))
+
+
+def _utc_date(instant: str):
+    return F.date_from_unix_date(F.floor(F.unix_seconds(instant) / F.lit(86400)).cast("int"))
 
 
 def stream_rollup(
@@ -22,10 +37,11 @@ def stream_rollup(
 ) -> DataFrame:
     """The daily rollup over a stream. A day closes once ``watermark`` has passed behind the newest row."""
     return (
-        stream.withWatermark(time, watermark)
+        _utc_instant(stream, time)
+        .withWatermark(time, watermark)
         .groupBy(F.window(time, "1 day").alias("_window"), key)
         .agg(*measures(spec))
-        .select(key, F.col("_window.start").cast("date").alias(date_as), *[out for out, _, _ in spec])
+        .select(key, _utc_date("_window.start").alias(date_as), *[out for out, _, _ in spec])
     )
 
 
