@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from obsloom.functions.text import word_tokens
 from obsloom.operators.ranking import best_per_key
 from obsloom.operators.skew import lookup_join
+from obsloom.session import materialise
 
 COMMON_WORD_ROWS = 1_000
 SCORES = ["total_matched_chars", "matched_token_count"]
@@ -78,7 +79,8 @@ def token_match(
     left_names = left_rows.groupBy("_name").agg(F.first("_regions").alias("_regions"), F.first("_words").alias("_words"))
     left_names = left_names.select("_name", F.explode("_regions").alias("state"), "_words")
 
-    right_names = (
+    # One row per distinct name, read several times below.
+    right_names = materialise(
         right.select(F.col(right_id).alias("_right"), right_region.alias("state"), _words(right_text).alias("_words"))
         .filter(F.col("state").isNotNull())
         .groupBy("state", "_words")
@@ -96,7 +98,7 @@ def token_match(
         scored = _pair_scores(left_words, right_words, ["_name", "_right"], ["_name"], stop_word)
     else:
         scored = _scored_apart(left_names, right_names, right_words, common, stop_word)
-    best = best_per_key(scored, ["_name"], SCORES, ["_right"], SCORES_NO_STOP)
+    best = materialise(best_per_key(scored, ["_name"], SCORES, ["_right"], SCORES_NO_STOP))
     matched = lookup_join(left_rows.select("_left", "_name"), best, ["_name"], "inner", spread=["_left"])
     return matched.select(
         F.col("_left").alias(left_id), F.col("_right").alias(right_id), *SCORES, *SCORES_NO_STOP

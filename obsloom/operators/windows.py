@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from obsloom.functions.keys import surrogate_key
 
+BLOCK_DAYS = 64
+
 
 def window_expand(
     df: DataFrame,
@@ -16,20 +19,50 @@ def window_expand(
     n: int = 2,
     anchor_as: str = "anchor_date",
     key_name: str = "station_obs_window_id",
-    unique: bool = False,
 ) -> DataFrame:
     """For each key and date (the anchor), the rows within ``n`` days of it.
 
-    The narrow anchors are repeated once per offset and joined on key and date. That is an
-    equi-join on a fine key, where the range form would compare all dates of a key with each
-    other. ``unique`` says that key and date are unique, which saves the distinct step.
+    A row belongs to the anchors that are dates of its own key at most ``n`` days away, so a
+    window over neighbouring dates finds them and no join is needed: rows are shuffled once and
+    the input is read once. Keys are cut into blocks of days, so a key's history is spread over
+    tasks; a row near the edge of its block is repeated, without its values, in the next one.
+    """
+    block_days = max(BLOCK_DAYS, 2 * n + 1)
+    rest = [c for c in df.columns if c not in (key, date)]
+    day = F.unix_date(date)
+    own = F.floor(day / block_days)
+    blocks = F.array_distinct(F.array(own, F.floor((day - n) / block_days), F.floor((day + n) / block_days)))
+    placed = (
+        df.dropna(subset=[key, date])
+        .select(key, date, day.alias("_day"), own.alias("_own"), F.explode(blocks).alias("_block"), F.struct(*rest).alias("_rest"))
+        .withColumn("_rest", F.when(F.col("_block") == F.col("_own"), F.col("_rest")))
+    )
+    near = W.partitionBy(key, "_block").orderBy("_day").rangeBetween(-n, n)
+    anchored = (
+        placed.withColumn("_anchors", F.collect_set(date).over(near))
+        .filter(F.col("_block") == F.col("_own"))
+        .select(key, F.explode("_anchors").alias(anchor_as), date, "_rest.*")
+    )
+    return anchored.select(surrogate_key([key, anchor_as, date]).alias(key_name), key, anchor_as, date, *rest)
+
+
+def window_expand_by_join(
+    df: DataFrame,
+    *,
+    key: str,
+    date: str,
+    n: int = 2,
+    anchor_as: str = "anchor_date",
+    key_name: str = "station_obs_window_id",
+) -> DataFrame:
+    """The same rows from an equi-join on key and date, for inputs with very many rows per key and date.
+
+    The narrow anchors are repeated once per offset. The range form of the join would compare
+    all dates of a key with each other.
     """
-    anchors = df.select(key, F.col(date).alias(anchor_as)).dropna()
-    if not unique:
-        anchors = anchors.distinct()
+    anchors = df.select(key, F.col(date).alias(anchor_as)).dropna().distinct()
     wanted = anchors.withColumn(date, F.explode(F.sequence(F.date_sub(anchor_as, n), F.date_add(anchor_as, n))))
-    expanded = wanted.join(df, [key, date])
     rest = [c for c in df.columns if c not in (key, date)]
-    return expanded.select(
+    return wanted.join(df, [key, date]).select(
         surrogate_key([key, anchor_as, date]).alias(key_name), key, anchor_as, date, *rest
     )

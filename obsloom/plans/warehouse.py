@@ -16,6 +16,7 @@ from obsloom.operators.matching import token_match
 from obsloom.operators.skew import lookup_join
 from obsloom.operators.snapshot import latest_snapshot, with_label
 from obsloom.plans import weather as w
+from obsloom.session import materialise
 from obsloom.sources.files import as_table, export
 
 
@@ -135,7 +136,9 @@ class Warehouse:
             {"latitude": "station_latitude", "longitude": "station_longitude"}
         )
         geography = ["area_land_sqm", "area_water_sqm", "latitude", "longitude"]
-        cities = _renamed(self.city_coord_and_pop, {c: f"city_{c}" for c in geography})
+        # Both sides are read for the pairs and again for the attributes.
+        stations = materialise(stations)
+        cities = materialise(_renamed(self.city_coord_and_pop, {c: f"city_{c}" for c in geography}))
         return proximity.proximity_match(
             stations, cities,
             a_id="station_id", a_lat="station_latitude", a_lon="station_longitude",

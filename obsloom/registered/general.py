@@ -177,7 +177,14 @@ def _register_series(registry: Registry) -> None:
     def window_expand(spark, sf_dir):
         days = _user_days(_events(spark, sf_dir)).select("user_id", "event_date", "value_avg", "k_max")
         return rounded(
-            windows.window_expand(days, key="user_id", date="event_date", n=2, key_name="window_id", unique=True)
+            windows.window_expand(days, key="user_id", date="event_date", n=2, key_name="window_id")
+        )
+
+    @registry.add("window_expand_by_join", registry.oracles["window_expand"])
+    def window_expand_by_join(spark, sf_dir):
+        days = _user_days(_events(spark, sf_dir)).select("user_id", "event_date", "value_avg", "k_max")
+        return rounded(
+            windows.window_expand_by_join(days, key="user_id", date="event_date", n=2, key_name="window_id")
         )
 
     @registry.add(
