@@ -142,7 +142,7 @@ def _register_series(registry: Registry) -> None:
     @registry.add(
         "merge_sources",
         f"WITH {_SQL_MERGED} SELECT {sql_key('user_id', 'event_date')} AS user_day_id, user_id, event_date, "
-        "round(value_avg, 6) AS value_avg, round(value_max, 6) AS value_max, k_left, value_min FROM merged",
+        "round(value_avg, 6) AS value_avg, round(value_max, 6) AS value_max, k_left, round(value_min, 6) AS value_min FROM merged",
     )
     def merge_sources(spark, sf_dir):
         first, second = _sides(spark, sf_dir)
@@ -163,7 +163,7 @@ def _register_series(registry: Registry) -> None:
         "merge_sources_qc",
         f"WITH {_SQL_MERGED} SELECT {sql_key('user_id', 'event_date')} AS user_day_id, user_id, event_date, "
         + ", ".join(f"round({p.name}, 6) AS {p.name}, {p.name}_source" for p in _PAIRS)
-        + f", value_min, {special} FROM merged",
+        + f", round(value_min, 6) AS value_min, {special} FROM merged",
     )
     def merge_sources_qc(spark, sf_dir):
         return rounded(labelled(_merged_qc(spark, sf_dir), diffs))
