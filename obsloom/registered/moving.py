@@ -7,8 +7,9 @@ import datetime as dt
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, IntegerType, LongType, StringType, StructField, StructType
 
+from obsloom.plans.checks import NOT_NULL, RELATIONSHIPS, UNIQUE, run_checks
 from obsloom.plans.loads import land_and_log, land_increment, next_incremental, next_initial
-from obsloom.plans.warehouse import Warehouse, build_all
+from obsloom.plans.warehouse import MARTS, Warehouse, build_all
 from obsloom.registered.bindings import LANDING_SQL, landing_source
 from obsloom.registered.common import Registry, rounded, scratch, sql_key, sql_round, table
 from obsloom.registered.models import CALENDAR_END, ORACLES, with_models
@@ -162,6 +163,37 @@ def _register_loads(registry: Registry) -> None:
         land_increment(landing, delivered, "land_obs_hourly", planned, _now())
         return landing.source("land_obs_stations").select("id", "snapshot_time", "hourly_end")
 
+    def model_sql(name: str) -> str:
+        hours = "SELECT range AS hour FROM range(0, 23)"
+        return f"({hours if name == 'mart_hour_dim' else ORACLES[name]})"
+
+    def repeated(model: str, c: str) -> str:
+        return f"SELECT {c} FROM {model_sql(model)} WHERE {c} IS NOT NULL GROUP BY {c} HAVING count(*) > 1"
+
+    checks = [
+        *[(m, c, "unique", repeated(m, c)) for m, columns in UNIQUE.items() for c in columns],
+        *[(m, c, "not_null", f"SELECT 1 FROM {model_sql(m)} WHERE {c} IS NULL") for m, columns in NOT_NULL.items() for c in columns],
+        *[
+            (m, c, "relationships", f"SELECT DISTINCT {c} FROM {model_sql(m)} WHERE {c} NOT IN (SELECT {f} FROM {model_sql(to)})")
+            for m, c, to, f in RELATIONSHIPS
+        ],
+    ]
+
+    @registry.add(
+        "model_checks",
+        with_models(
+            " UNION ALL ".join(
+                f"SELECT '{m}' AS model, '{c}' AS column_name, '{t}' AS test, count(*) AS failures FROM ({failing})"
+                for m, c, t, failing in checks
+            )
+        ),
+    )
+    def model_checks(spark, sf_dir):
+        """The declared data tests over the stored tables and the staged landing tables."""
+        warehouse = Warehouse(landing_source(spark, sf_dir), calendar_end=CALENDAR_END)
+        paths = build_all(warehouse, scratch(spark), MARTS)
+        return run_checks(lambda name: spark.read.parquet(paths[name]) if name in paths else getattr(warehouse, name))
+
     @registry.add("build_all", with_models(ORACLES["mart_obs_fact"]))
     def build_all_(spark, sf_dir):
         """Every stored table built and exported; the daily fact read back."""

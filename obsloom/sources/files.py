@@ -53,8 +53,8 @@ def append(df: DataFrame, path: str, schema: StructType, partition_by: list[str]
     extra = [F.col(c) for c in partition_by if c not in schema.names]
     rows = df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema], *extra)
     if partition_by:
-        # Rows of a partition come together, split by key hash, so files are few but no task takes a whole month.
-        rows = rows.repartition(*partition_by, F.pmod(F.xxhash64(*schema.names), F.lit(8)))
+        # Small partitions are put together and large ones split to the advisory size at run time.
+        rows = rows.hint("rebalance", *partition_by)
     rows.write.mode("append").partitionBy(*partition_by).parquet(path)
 
 

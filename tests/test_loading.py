@@ -225,3 +225,25 @@ def test_build_all_writes_every_table(spark, tmp_path):
         "mart_city_dim": 1, "mart_city_station_bridge": 2, "mart_station_obs_qc_obt": 1, "obs_fact": 2, "obs_fact_cp": 2,
         "mart_obs_fact_unpiv": 28, "mart_station_obs_obt": 2,
     }
+
+
+def test_declared_checks_find_what_is_wrong(spark):
+    from obsloom.plans.checks import NOT_NULL, RELATIONSHIPS, UNIQUE, run_checks
+
+    columns = {m: sorted({*UNIQUE.get(m, []), *NOT_NULL.get(m, [])}) for m in {*UNIQUE, *NOT_NULL}}
+    columns["mart_city_station_bridge"].append("city_dim_id")
+    bad = {"mart_city_dim": [("x",), ("x",), (None,)], "mart_city_station_bridge": [("a", None, "x"), ("b", "s", "gone"), ("c", "s", None)]}
+
+    def table(name):
+        names = columns[name]
+        return spark.createDataFrame(bad.get(name, [tuple("v" for _ in names)]), ", ".join(f"{c} string" for c in names))
+
+    columns["mart_city_station_bridge"] = ["station_city_match_id", "station_id", "city_dim_id"]
+    results = run_checks(table).collect()
+    assert len(results) == 35 and len(RELATIONSHIPS) == 1
+    assert sorted((r["model"], r["column_name"], r["test"], r["failures"]) for r in results if r["failures"]) == [
+        ("mart_city_dim", "city_coord_pop_id", "not_null", 1),
+        ("mart_city_dim", "city_coord_pop_id", "unique", 1),
+        ("mart_city_station_bridge", "city_dim_id", "relationships", 1),
+        ("mart_city_station_bridge", "station_id", "not_null", 1),
+    ]
