@@ -16,7 +16,7 @@ from obsloom.operators.ranking import best_per_key
 from obsloom.operators.skew import lookup_join
 from obsloom.session import materialise
 
-COMMON_WORD_ROWS = 1_000
+COMMON_WORD_ROWS = 100
 SCORES = ["total_matched_chars", "matched_token_count"]
 SCORES_NO_STOP = ["total_matched_chars_no_city", "matched_token_count_no_city"]
 
@@ -66,10 +66,13 @@ def token_match(
     right_region: Column,
     stop_word: str = "city",
     common_rows: int = COMMON_WORD_ROWS,
+    left_as: str | None = None,
+    right_as: str | None = None,
 ) -> DataFrame:
     """Best right row per left row, with its scores with and without the stop word.
 
-    ``left_regions`` is an array (a left row may span several regions). Score: characters in
+    ``left_regions`` is an array (a left row may span several regions). A word is common when
+    more than ``common_rows`` distinct right names of a region have it. Score: characters in
     shared words, counting repeats on both sides, then number of shared words, then lowest id.
     """
     regions = F.array_sort(F.array_distinct(F.filter(left_regions, lambda r: r.isNotNull())))
@@ -101,7 +104,7 @@ def token_match(
     best = materialise(best_per_key(scored, ["_name"], SCORES, ["_right"], SCORES_NO_STOP))
     matched = lookup_join(left_rows.select("_left", "_name"), best, ["_name"], "inner", spread=["_left"])
     return matched.select(
-        F.col("_left").alias(left_id), F.col("_right").alias(right_id), *SCORES, *SCORES_NO_STOP
+        F.col("_left").alias(left_as or left_id), F.col("_right").alias(right_as or right_id), *SCORES, *SCORES_NO_STOP
     )
 
 

@@ -25,7 +25,10 @@ def _renamed(df: DataFrame, names: dict[str, str]) -> DataFrame:
 
 
 class Warehouse:
-    """Every model is a property; nothing runs until a result is used.
+    """Every model is a property, computed where its result is used.
+
+    Reading the row ids, the name match or the proximity match for the first time already runs
+    jobs, since they fix intermediate values by a checkpoint.
 
     ``source`` maps a landing table's name to a DataFrame. ``calendar_end`` is the first day
     that the calendar leaves out.

@@ -70,7 +70,7 @@ def _day_text(index: str) -> str:
     return f"concat('2024-01-', lpad(CAST({index} % 28 + 1 AS STRING), 2, '0'), 'T00:00:00.000Z')"
 
 
-def _stations(snapshot: str, where: str) -> str:
+def _stations(snapshot: str, source: str) -> str:
     return _select(
         {
             "id": "CAST(c_custkey AS STRING)",
@@ -91,14 +91,15 @@ def _stations(snapshot: str, where: str) -> str:
             "monthly_end": "'2023-12-01T00:00:00.000Z'",
             "snapshot_time": f"'{snapshot}'",
         },
-        f"customer WHERE {where}",
+        source,
     )
 
 
+# Two snapshots; the newer one no longer has the customers in debt.
 _STATIONS = (
-    _stations("2024-02-01T00:00:00+00:00", "c_custkey >= 0")
+    _stations("2024-02-01T00:00:00+00:00", "customer")
     + " UNION ALL "
-    + _stations("2024-03-01T00:00:00+00:00", "c_custkey % 17 <> 0")
+    + _stations("2024-03-01T00:00:00+00:00", "customer WHERE c_acctbal >= 0")
 )
 
 _WORDS = "Red,Blue,Small,Large,Green,Hot,Cold,Steel"

@@ -275,12 +275,13 @@ _STATUS = {"O": "open", "F": "finished"}
 
 
 def _register_dimensions(registry: Registry) -> None:
-    words = "unnest(regexp_split_to_array(lower(p_name), '[^a-z0-9]+')) AS word"
+    def words(text_sql: str) -> str:
+        return f"unnest(regexp_split_to_array(lower({text_sql}), '[^a-z0-9]+')) AS word"
 
     @registry.add(
         "token_match",
-        f"""WITH l AS (SELECT p_partkey AS left_key, p_type AS state, {words} FROM part WHERE p_size <= 10),
-r AS (SELECT p_partkey AS right_key, p_type AS state, {words} FROM part WHERE p_size > 40),
+        f"""WITH l AS (SELECT p_partkey AS left_key, p_type AS state, {words("p_name || ' ' || p_type")} FROM part),
+r AS (SELECT p_partkey AS right_key, p_type AS state, {words("p_name || ' ' || p_brand")} FROM part),
 m AS (SELECT left_key, right_key, word FROM l JOIN r USING (word, state) WHERE word <> '')
 SELECT left_key, right_key, CAST(sum(length(word)) AS BIGINT) AS total_matched_chars, count(*) AS matched_token_count,
   CAST(coalesce(sum(length(word)) FILTER (WHERE word <> 'red'), 0) AS BIGINT) AS total_matched_chars_no_city,
@@ -290,11 +291,12 @@ QUALIFY row_number() OVER (PARTITION BY left_key ORDER BY total_matched_chars DE
     )
     def token_match(spark, sf_dir):
         part = table(spark, sf_dir, "part")
+        names = {side: F.concat_ws(" ", "p_name", other) for side, other in (("left", "p_type"), ("right", "p_brand"))}
         return matching.token_match(
-            part.filter("p_size <= 10").withColumnRenamed("p_partkey", "left_key"),
-            part.filter("p_size > 40").withColumnRenamed("p_partkey", "right_key"),
-            left_id="left_key", left_text="p_name", left_regions=F.array("p_type"),
-            right_id="right_key", right_text="p_name", right_region=F.col("p_type"), stop_word="red",
+            part.withColumn("name", names["left"]), part.withColumn("name", names["right"]),
+            left_id="p_partkey", left_text="name", left_regions=F.array("p_type"),
+            right_id="p_partkey", right_text="name", right_region=F.col("p_type"), stop_word="red",
+            left_as="left_key", right_as="right_key",
         )
 
     points = "round(c_lat, 6) AS c_lat, round(c_lon, 6) AS c_lon, round(s_lat, 6) AS s_lat, round(s_lon, 6) AS s_lon"

@@ -14,8 +14,21 @@ DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.parquet.filterPushdown": "true",
     "spark.sql.optimizer.dynamicPartitionPruning.enabled": "true",
+    # State of long-running rollups is kept on disk, not in the executors' heap.
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
 }
 
+_TASK_BYTES = 128 * 1024 * 1024
+
+
+def sized_for(shuffled_bytes: int) -> dict[str, str]:
+    """Settings under which ``shuffled_bytes`` are cut into tasks of about 128 MB."""
+    return {
+        "spark.sql.shuffle.partitions": str(max(200, -(-shuffled_bytes // _TASK_BYTES))),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(_TASK_BYTES),
+        "spark.sql.files.maxPartitionBytes": str(2 * _TASK_BYTES),
+    }
+
 
 def configure(builder: SparkSession.Builder, **extra: str) -> SparkSession.Builder:
     """Apply the library defaults (and any overrides) to a session builder."""
