@@ -90,7 +90,7 @@ def token_match(
         .agg(F.min("_right").alias("_right"))
     )
     right_words = _exploded(right_names, "_words", "right", ["_right", "state"])
-    common = (
+    common = materialise(
         right_words.groupBy("state", "token")
         .agg(F.count(F.lit(1)).alias("_n"))
         .filter(F.col("_n") > common_rows)
@@ -100,7 +100,7 @@ def token_match(
         left_words = _exploded(left_names, "_words", "left", ["_name", "state"])
         scored = _pair_scores(left_words, right_words, ["_name", "_right"], ["_name"], stop_word)
     else:
-        scored = _scored_apart(left_names, right_names, right_words, common, stop_word)
+        scored = _scored_apart(left_names, right_names, common, stop_word)
     best = materialise(best_per_key(scored, ["_name"], SCORES, ["_right"], SCORES_NO_STOP))
     matched = lookup_join(left_rows.select("_left", "_name"), best, ["_name"], "inner", spread=["_left"])
     return matched.select(
@@ -150,11 +150,10 @@ def _set_score(left_set: str, right_set: str, stop: str) -> list[Column]:
     return [total(f) for f in (chars, times, unless_stop(chars), unless_stop(times))]
 
 
-def _scored_apart(
-    left_names: DataFrame, right_names: DataFrame, right_words: DataFrame, common: DataFrame, stop: str
-) -> DataFrame:
-    left = _split_words(left_names, ["_name", "state"], common, "left")
-    right = _split_words(right_names, ["_right", "state"], common, "right")
+def _scored_apart(left_names: DataFrame, right_names: DataFrame, common: DataFrame, stop: str) -> DataFrame:
+    # Each is read several times below.
+    left = materialise(_split_words(left_names, ["_name", "state"], common, "left"))
+    right = materialise(_split_words(right_names, ["_right", "state"], common, "right"))
     names = SCORES + SCORES_NO_STOP
 
     # Pairs that share a rarer word: their common words are added from the carried sets.
@@ -185,7 +184,7 @@ def _scored_apart(
         ["left_set"],
         stop,
     )
-    best_set = best_per_key(between, ["state", "left_set"], SCORES, ["_right"], SCORES_NO_STOP)
+    best_set = materialise(best_per_key(between, ["state", "left_set"], SCORES, ["_right"], SCORES_NO_STOP))
     shared = lookup_join(
         left.select("_name", "state", "left_set"), best_set, ["state", "left_set"], "inner", spread=["_name"]
     ).select("_name", "_right", *names)
