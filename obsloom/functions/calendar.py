@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -39,6 +41,16 @@ def span_days(first, last) -> Column:
     return F.datediff(_col(last), _col(first)).cast("bigint") + F.lit(1)
 
 
+def utc(moment: dt.datetime) -> Column:
+    """A naive UTC datetime as a literal that no session or system time zone shifts."""
+    return F.lit(moment.isoformat(sep=" ")).cast("timestamp_ntz")
+
+
+def utc_now() -> Column:
+    """The moment of the call, in UTC."""
+    return utc(dt.datetime.now(dt.UTC).replace(tzinfo=None))
+
+
 def iso_timestamp(text) -> Column:
     """ISO text (with or without a UTC suffix) to a zone-free UTC timestamp."""
     return _col(text).cast("timestamp_ntz")

@@ -105,7 +105,8 @@ def stamp(df: DataFrame, load_time: Column, station: Column | None = None) -> Da
 
 def new_rows(batch: DataFrame, existing: DataFrame, keys: list[str]) -> DataFrame:
     """Rows of a batch whose keys are not stored yet; exact repeats inside the batch go too."""
-    return batch.distinct().join(existing.select(*keys), keys, "left_anti")
+    fresh = batch.join(existing.select(*keys), keys, "left_anti")
+    return fresh.distinct()  # after a shuffled join the rows already lie together by key
 
 
 def upsert_log(log: DataFrame, ids: DataFrame, table: str, ts: Column) -> DataFrame:

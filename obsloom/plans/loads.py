@@ -17,9 +17,13 @@ from obsloom.sources.landing import Landing, bounds_as_text
 STATIONS, LOG = "land_obs_stations", "land_obs_load_log"
 KINDS = {"land_obs_daily": ("daily", "day"), "land_obs_hourly": ("hourly", "hour")}
 
+# Stations per increment unless a number is given.
+INCREMENT_SIZES = {"land_obs_daily": 5, "land_obs_hourly": 3}
+USUAL_SIZE = -1
 
-def next_initial(landing: Landing, table: str, *, countries=("US",), states=(), batch_size: int = 1) -> DataFrame:
-    """The next stations whose history has not been loaded."""
+
+def next_initial(landing: Landing, table: str, *, countries=("US",), states=(), batch_size: int | None = 1) -> DataFrame:
+    """The next stations whose history has not been loaded; all with ``batch_size=None``."""
     kind, _ = KINDS[table]
     landing.small(LOG).ensure()
     return plan_initial(
@@ -29,14 +33,15 @@ def next_initial(landing: Landing, table: str, *, countries=("US",), states=(),
 
 
 def next_incremental(
-    landing: Landing, table: str, now: Column, *, countries=("US",), states=(), batch_size: int = 5
+    landing: Landing, table: str, now: Column, *, countries=("US",), states=(), batch_size: int | None = USUAL_SIZE
 ) -> DataFrame:
-    """The next stations that lack recent observations, with the range to fetch."""
+    """The next stations that lack recent observations, with the range to fetch; all with ``batch_size=None``."""
+    size = INCREMENT_SIZES[table] if batch_size == USUAL_SIZE else batch_size
     kind, step = KINDS[table]
     return plan_incremental(
         latest_snapshot(landing.source(STATIONS), "snapshot_time"), landing.source(table),
         start=f"{kind}_start", end=f"{kind}_end", step=step, now=now,
-        filters={"country": countries, "region": states}, n=batch_size,
+        filters={"country": countries, "region": states}, n=size,
     )
 
 

@@ -487,7 +487,7 @@ def _register_loads(registry: Registry) -> None:
     def increment(spark, sf_dir, step, n=None):
         return incremental.plan_incremental(
             _stations(spark, sf_dir), table(spark, sf_dir, "events"), start="first_at", end="last_at", key="user_id", time="ts",
-            step=step, now=F.lit(dt.datetime.fromisoformat(_NOW)).cast("timestamp_ntz"), n=n,
+            step=step, now=calendar.utc(dt.datetime.fromisoformat(_NOW)), n=n,
         )
 
     registry.add("plan_incremental_daily", _sql_increment("DAY", "DATE"))(lambda spark, sf_dir: increment(spark, sf_dir, "day"))

@@ -7,6 +7,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, IntegerType, LongType, StringType, StructField, StructType
 
+from obsloom.functions.calendar import utc
 from obsloom.plans.checks import NOT_NULL, RELATIONSHIPS, UNIQUE, run_checks
 from obsloom.plans.loads import land_and_log, land_increment, next_incremental, next_initial
 from obsloom.plans.warehouse import MARTS, Warehouse, build_all
@@ -33,7 +34,7 @@ _SUPPLIER = StructType(
 
 
 def _now():
-    return F.lit(_NOW).cast("timestamp_ntz")
+    return utc(_NOW)
 
 
 def _obs_columns(name: str) -> list[str]:

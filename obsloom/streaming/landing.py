@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from obsloom.functions.calendar import utc_now
 from obsloom.plans.loads import log_loaded
 from obsloom.sources.landing import Landing
 from obsloom.sources.schemas import LANDING, without
@@ -35,7 +35,7 @@ def stream_land(
         reader = reader.option("maxFilesPerTrigger", max_files)
 
     def land_batch(batch: DataFrame, _batch_id: int) -> None:
-        now = F.lit(spark.sql("SELECT localtimestamp()").first()[0])
+        now = utc_now()
         landing.land(batch, table, now)
         log_loaded(landing, table, batch.select("station_id").distinct(), now)
 

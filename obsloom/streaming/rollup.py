@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import TimestampNTZType
 
+from obsloom.functions.calendar import utc
 from obsloom.functions.keys import surrogate_key
 from obsloom.operators.ranking import best_per_key
 from obsloom.operators.rollup import measures
@@ -18,7 +19,7 @@ def _utc_instant(df: DataFrame, time: str) -> DataFrame:
     """Watermarks need an instant: read a zone-free time as UTC, whatever the session's zone."""
     if not isinstance(df.schema[time].dataType, TimestampNTZType):
         return df
-    epoch = F.lit(dt.datetime(1970, 1, 1)).cast("timestamp_ntz")
+    epoch = utc(dt.datetime(1970, 1, 1))
     return df.withColumn(time, F.timestamp_micros(F.timestamp_diff("MICROSECOND", epoch, F.col(time))))
 
 

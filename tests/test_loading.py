@@ -8,6 +8,7 @@ import json
 from conftest import rows
 from pyspark.sql import functions as F
 
+from obsloom.functions.calendar import utc
 from obsloom.operators import incremental, rollup
 from obsloom.plans import loads
 from obsloom.plans.warehouse import Warehouse, build_all
@@ -23,7 +24,7 @@ HOURLY, DAILY, LOG = "land_obs_hourly", "land_obs_daily", "land_obs_load_log"
 
 
 def now():
-    return F.lit(NOW).cast("timestamp_ntz")
+    return utc(NOW)
 
 
 def station(id_, start="2024-01-01T00:00:00+00:00", end="2024-04-01T00:00:00+00:00", country="US", region="NY", taken="2024-02"):
@@ -117,7 +118,7 @@ def test_increment_moves_bounds_on_every_snapshot(spark, tmp_path):
 
 def test_log_rows_are_replaced_per_table(spark):
     log = spark.createDataFrame([("a", NOW, HOURLY), ("a", NOW, DAILY), ("b", NOW, HOURLY)], LANDING[LOG])
-    later = F.lit(NOW + dt.timedelta(days=1)).cast("timestamp_ntz")
+    later = utc(NOW + dt.timedelta(days=1))
     ids = spark.createDataFrame([("a",), ("a",), ("c",)], "station_id string")
     assert rows(incremental.upsert_log(log, ids, HOURLY, later)) == [
         ("a", NOW, DAILY), ("a", NOW + dt.timedelta(days=1), HOURLY), ("b", NOW, HOURLY), ("c", NOW + dt.timedelta(days=1), HOURLY)
