@@ -31,17 +31,18 @@ def window_expand(
     rest = [c for c in df.columns if c not in (key, date)]
     day = F.unix_date(date)
     own = F.floor(day / block_days)
+    values = F.struct(*rest) if rest else F.lit(True)
     blocks = F.array_distinct(F.array(own, F.floor((day - n) / block_days), F.floor((day + n) / block_days)))
     placed = (
         df.dropna(subset=[key, date])
-        .select(key, date, day.alias("_day"), own.alias("_own"), F.explode(blocks).alias("_block"), F.struct(*rest).alias("_rest"))
+        .select(key, date, day.alias("_day"), own.alias("_own"), F.explode(blocks).alias("_block"), values.alias("_rest"))
         .withColumn("_rest", F.when(F.col("_block") == F.col("_own"), F.col("_rest")))
     )
     near = W.partitionBy(key, "_block").orderBy("_day").rangeBetween(-n, n)
     anchored = (
         placed.withColumn("_anchors", F.collect_set(date).over(near))
         .filter(F.col("_block") == F.col("_own"))
-        .select(key, F.explode("_anchors").alias(anchor_as), date, "_rest.*")
+        .select(key, F.explode("_anchors").alias(anchor_as), date, *[F.col("_rest")[c].alias(c) for c in rest])
     )
     return anchored.select(surrogate_key([key, anchor_as, date]).alias(key_name), key, anchor_as, date, *rest)
 

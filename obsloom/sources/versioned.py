@@ -1,7 +1,8 @@
 """Small tables that a job reads and rewrites.
 
 Each rewrite goes to a new ``version=N`` folder, and readers take the newest one. A failed write
-leaves the version before it in place, so a run that is repeated finds what it needs.
+leaves the version before it in place, so a run that is repeated finds what it needs. The last few
+versions are kept for jobs that still read them.
 """
 
 from __future__ import annotations
@@ -14,16 +15,22 @@ from pyspark.sql.types import StructType
 from obsloom.sources.files import aligned, path_exists, read_parquet
 
 
+KEPT_VERSIONS = 10
+
+
 class VersionedTable:
     def __init__(self, spark: SparkSession, path: str, schema: StructType):
         self.spark, self.path, self.schema = spark, path, schema
 
-    def version(self) -> int | None:
-        """Newest complete version, from the names of the table's files."""
+    def versions(self) -> list[int]:
+        """Stored versions, oldest first, from the names of the table's files."""
         if not path_exists(self.spark, self.path, self.schema):
-            return None
+            return []
         files = read_parquet(self.spark, self.path, self.schema).inputFiles()
-        return max((int(m.group(1)) for f in files if (m := re.search(r"/version=(\d+)/", f))), default=None)
+        return sorted({int(m.group(1)) for f in files if (m := re.search(r"/version=(\d+)/", f))})
+
+    def version(self) -> int | None:
+        return max(self.versions(), default=None)
 
     def read(self) -> DataFrame:
         version = self.version()
@@ -32,8 +39,18 @@ class VersionedTable:
         return read_parquet(self.spark, f"{self.path}/version={version}", self.schema)
 
     def replace(self, df: DataFrame) -> None:
-        """Store ``df`` as the next version."""
-        aligned(df, self.schema).write.mode("overwrite").parquet(f"{self.path}/version={(self.version() or 0) + 1}")
+        """Store ``df`` as the next version and let go of versions that are out of use."""
+        stored = self.versions()
+        following = max(stored, default=0) + 1
+        aligned(df, self.schema).write.mode("overwrite").parquet(f"{self.path}/version={following}")
+        for old in stored:
+            if old <= following - KEPT_VERSIONS:
+                self._delete(f"{self.path}/version={old}")
+
+    def _delete(self, folder: str) -> None:
+        context = self.spark.sparkContext
+        path = context._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
 
     def append(self, df: DataFrame) -> None:
         """Add rows to the newest version, creating the table if it is absent."""

@@ -55,8 +55,17 @@ def write_updates(rolled: DataFrame, path: str, checkpoint: str, every: str | No
     writer = (
         rolled.writeStream.outputMode("update").option("checkpointLocation", checkpoint).foreachBatch(write_batch)
     )
-    trigger = {"processingTime": every} if every else {"availableNow": True}
-    return writer.trigger(**trigger).start()
+    return writer.trigger(**_trigger(every)).start()
+
+
+def write_closed(rolled: DataFrame, path: str, checkpoint: str, every: str | None = None) -> StreamingQuery:
+    """Write each day once, when its watermark has passed. The file sink commits a batch as a whole."""
+    writer = rolled.writeStream.outputMode("append").format("parquet").option("checkpointLocation", checkpoint)
+    return writer.trigger(**_trigger(every)).start(path)
+
+
+def _trigger(every: str | None) -> dict:
+    return {"processingTime": every} if every else {"availableNow": True}
 
 
 def current_days(updates: DataFrame, key: str, date: str, key_name: str = "station_date_id") -> DataFrame:

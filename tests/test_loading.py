@@ -17,7 +17,7 @@ from obsloom.sources.landing import Landing
 from obsloom.sources.schemas import LANDING
 from obsloom.sources.versioned import VersionedTable
 from obsloom.streaming.landing import stream_land
-from obsloom.streaming.rollup import current_days, stream_rollup, write_updates
+from obsloom.streaming.rollup import current_days, stream_rollup, write_closed, write_updates
 
 NOW = dt.datetime(2024, 5, 1, 12)
 HOURLY, DAILY, LOG = "land_obs_hourly", "land_obs_daily", "land_obs_load_log"
@@ -133,6 +133,9 @@ def test_versions_survive_a_rewrite_from_themselves(spark, tmp_path):
     table.append(spark.createDataFrame([("a", NOW, HOURLY)], LANDING[LOG]))
     table.replace(table.read().unionByName(table.read()))
     assert table.version() == 2 and table.read().count() == 2
+    for _ in range(11):
+        table.replace(table.read())
+    assert table.versions() == list(range(4, 14)) and table.read().count() == 2
 
 
 def test_csv_keeps_leading_zeros_and_replaces(spark, tmp_path):
@@ -209,6 +212,23 @@ def test_stream_rollup_drops_only_what_is_too_late(spark, tmp_path):
     assert late == {1: 1.0, 2: 7.0, 3: 10.0}
 
 
+def test_closed_days_are_written_once(spark, tmp_path):
+    schema = "time timestamp_ntz, temp double, station_id string"
+
+    def run():
+        stream = spark.readStream.schema(schema).json(str(tmp_path / "delivered"))
+        rolled = stream_rollup(stream, key="station_id", time="time", date_as="obs_date", spec=SPEC, watermark="12 hours")
+        write_closed(rolled, str(tmp_path / "days"), str(tmp_path / "progress")).awaitTermination()
+        return rows(spark.read.parquet(str(tmp_path / "days")), "obs_date", "total")
+
+    deliver(tmp_path, "one.json", ("a", "2024-01-01 10:00:00", 1.0), ("a", "2024-01-02 10:00:00", 5.0))
+    assert run() == []
+    deliver(tmp_path, "two.json", ("a", "2024-01-01 23:00:00", 2.0), ("a", "2024-01-02 12:30:00", 7.0))
+    assert run() == [(dt.date(2024, 1, 1), 3.0)]
+    deliver(tmp_path, "three.json", ("a", "2024-01-03 13:00:00", 9.0))
+    assert run() == [(dt.date(2024, 1, 1), 3.0), (dt.date(2024, 1, 2), 12.0)]
+
+
 def test_build_all_writes_every_table(spark, tmp_path):
     landing = landing_with(spark, tmp_path, station("a"), station("b"))
     landing.land(observations(spark, ("a", dt.datetime(2024, 1, 1, 3)), ("a", dt.datetime(2024, 1, 4, 3))), HOURLY, now())

@@ -91,6 +91,11 @@ def test_window_expand_equals_join_and_range_form(spark):
             assert rows(form(frame, key="k", date="d", n=n), "k", "anchor_date", "d", "v") == expected
 
 
+def test_window_expand_of_bare_dates(spark):
+    frame = spark.createDataFrame([("a", D(2024, 1, 1)), ("a", D(2024, 1, 3)), ("a", D(2024, 1, 6))], "k string, d date")
+    assert windows.window_expand(frame, key="k", date="d").count() == 5
+
+
 def spine_gaps(data, min_run):
     """Every day of every key, walked one by one."""
     out = {}
