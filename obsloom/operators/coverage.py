@@ -1,10 +1,10 @@
 """Coverage, gaps and the per-station scorecard.
 
-All three come from one pass. Rows are first reduced per key and calendar year, on the map
-side where possible: sums, bounds, and the sets of reported days, which hold at most 366 dates
-each. Runs of missing days inside a year are read off the sorted set. The yearly rows, a few
-dozen per key, are then put together per key, where the runs across year ends are added. No
-date spine is built and no task holds a key's whole history.
+All three come from one pass. Rows are first reduced per key and block of 64 days, on the map
+side where possible: sums, bounds, and the reported days as the bits of one long. Runs of missing
+days inside a block are read off the bits. The blocks of a key, a few hundred for a long history,
+are then put together, where the runs across block ends are added. No date spine is built, no
+task holds a key's whole history, and everything stays in generated code.
 """
 
 from __future__ import annotations
@@ -15,8 +15,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from obsloom.functions.calendar import span_days
-from obsloom.functions.numeric import guarded_ratio, match_flag, out_of_range, sum_if
+from obsloom.functions.numeric import guarded_ratio, match_flag, out_of_range
+
+BLOCK_DAYS = 64
 
 
 @dataclass
@@ -27,20 +28,25 @@ class Totals:
     maxima: dict[str, Column] = field(default_factory=dict)
 
 
-def _missing_between(days: Column) -> Column:
-    """Number of missing days before each reported day but the first, as an array."""
-    following = F.slice(days, F.lit(2), F.greatest(F.size(days) - 1, F.lit(0)))
-    return F.zip_with(
-        following,
-        F.slice(days, F.lit(1), F.greatest(F.size(days) - 1, F.lit(0))),
-        lambda later, earlier: F.datediff(later, earlier) - 1,
-    )
+def _bits(c: Column) -> Column:
+    return F.bit_count(c).cast("bigint")
 
 
-def _total(lengths: Column, keep) -> Column:
-    return F.aggregate(
-        F.filter(lengths, keep), F.lit(0).cast("bigint"), lambda acc, x: acc + x.cast("bigint")
-    )
+def _run_starts(bits: Column) -> Column:
+    """The first bit of every run of ones."""
+    return bits.bitwiseAND(F.bitwise_not(F.shiftleft(bits, 1)))
+
+
+def _shrunk(df: DataFrame, bits: str, length: int, name: str) -> DataFrame:
+    """Add ``name``: the bits from which at least ``length`` ones follow, themselves counted."""
+    if length > BLOCK_DAYS:
+        return df.withColumn(name, F.lit(0).cast("bigint"))
+    df, covered = df.withColumn(name, F.col(bits)), 1
+    while covered < length:
+        step = min(covered, length - covered)
+        df = df.withColumn(name, F.col(name).bitwiseAND(F.shiftrightunsigned(name, step)))
+        covered += step
+    return df
 
 
 def series_summary(
@@ -51,72 +57,78 @@ def series_summary(
     A day is missing when it has no row or none for which ``present`` holds.
     """
     totals = totals or Totals()
-    yearly = (
-        df.groupBy(key, F.year(date).alias("_year"))
-        .agg(
-            F.min(date).alias("_first"),
-            F.max(date).alias("_last"),
-            F.collect_set(date).alias("_days"),
-            F.collect_set(F.when(present, F.col(date))).alias("_present"),
-            *[F.sum(c).alias(n) for n, c in totals.sums.items()],
-            *[F.max(c).alias(n) for n, c in totals.maxima.items()],
-        )
-        .withColumn("_sorted", F.array_sort("_present"))
-        .withColumn("_lengths", _missing_between(F.col("_sorted")))
-        .select(
-            key,
-            "_year",
-            "_first",
-            "_last",
-            F.size("_days").cast("bigint").alias("_reported"),
-            F.try_element_at("_sorted", F.lit(1)).alias("_first_present"),
-            F.try_element_at("_sorted", F.lit(-1)).alias("_last_present"),
-            _total(F.col("_lengths"), lambda x: x > 0).alias("_gap_days"),
-            _total(F.col("_lengths"), lambda x: x >= min_run).alias("_long_days"),
-            F.size(F.filter("_lengths", lambda x: x > 0)).alias("_runs"),
-            F.size(F.filter("_lengths", lambda x: x >= min_run)).alias("_long_runs"),
-            *totals.sums,
-            *totals.maxima,
-        )
+    day = F.unix_date(date)
+    bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), day.bitwiseAND(F.lit(BLOCK_DAYS - 1)))
+    blocks = df.groupBy(key, F.floor(day / BLOCK_DAYS).alias("_block")).agg(
+        F.min(day).alias("_first"),
+        F.max(day).alias("_last"),
+        F.min(F.when(present, day)).alias("_first_present"),
+        F.max(F.when(present, day)).alias("_last_present"),
+        F.coalesce(F.bit_or(bit), F.lit(0)).alias("_days"),
+        F.bit_or(F.when(present, bit)).alias("_present"),
+        *[F.sum(c).alias(n) for n, c in totals.sums.items()],
+        *[F.max(c).alias(n) for n, c in totals.maxima.items()],
     )
-    # At most one row per calendar year in each of these partitions.
-    earlier = W.partitionBy(key).orderBy("_year").rowsBetween(W.unboundedPreceding, -1)
-    linked = yearly.withColumn(
-        "_border", F.datediff("_first_present", F.max("_last_present").over(earlier)) - 1
+    # Bits from the first to the last present day of the block that are not set.
+    start = (F.col("_block") * BLOCK_DAYS).cast("int")
+    from_first = F.expr("shiftleft(-1L, _first_present - _start)")
+    to_last = F.expr("shiftrightunsigned(-1L, _start + 63 - _last_present)")
+    missing = F.bitwise_not(F.col("_present")).bitwiseAND(from_first).bitwiseAND(to_last)
+    blocks = blocks.withColumn("_start", start).withColumn("_missing", F.coalesce(missing, F.lit(0)))
+    blocks = _shrunk(blocks, "_missing", min_run, "_long")
+    # At most one row per block of days in each of these partitions.
+    earlier = W.partitionBy(key).orderBy("_block").rowsBetween(W.unboundedPreceding, -1)
+    linked = blocks.select(
+        key,
+        "_first",
+        "_last",
+        "_first_present",
+        "_last_present",
+        _bits(F.col("_days")).alias("_reported"),
+        _bits(F.col("_missing")).alias("_gap_days"),
+        _bits(_run_starts(F.col("_missing"))).alias("_runs"),
+        (_bits(F.col("_long")) + (min_run - 1) * _bits(_run_starts(F.col("_long")))).alias("_long_days"),
+        _bits(_run_starts(F.col("_long"))).alias("_long_runs"),
+        (F.col("_first_present") - F.max("_last_present").over(earlier) - 1).cast("bigint").alias("_border"),
+        *totals.sums,
+        *totals.maxima,
     )
-    border_days = F.coalesce(F.sum("_border"), F.lit(0))
-    edges = {
-        "_lead": F.coalesce(F.datediff(F.min("_first_present"), F.min("_first")), span_days(F.min("_first"), F.max("_last"))),
-        "_trail": F.coalesce(F.datediff(F.max("_last"), F.max("_last_present")), F.lit(0)),
-    }
+
+    def border(condition: Column, value: Column) -> Column:
+        return F.sum(F.when(condition, value).otherwise(F.lit(0).cast("bigint")))
+
+    crosses, crosses_long = F.col("_border") > 0, F.col("_border") >= min_run
+    one = F.lit(1).cast("bigint")
     per_key = linked.groupBy(key).agg(
-        F.min("_first").alias("first_obs_date"),
-        F.max("_last").alias("last_obs_date"),
+        F.min("_first").alias("_lo"),
+        F.max("_last").alias("_hi"),
         F.sum("_reported").alias("total_days"),
-        (F.sum("_gap_days") + border_days).alias("_inner_days"),
-        (F.sum("_long_days") + F.coalesce(F.sum(F.when(F.col("_border") >= min_run, F.col("_border"))), F.lit(0))).alias("_inner_long"),
-        (F.sum("_runs") + sum_if(F.col("_border") > 0)).alias("_inner_runs"),
-        (F.sum("_long_runs") + sum_if(F.col("_border") >= min_run)).alias("_inner_long_runs"),
-        *[c.cast("bigint").alias(n) for n, c in edges.items()],
+        (F.sum("_gap_days") + border(crosses, F.col("_border"))).alias("_inner_days"),
+        (F.sum("_runs") + border(crosses, one)).alias("_inner_runs"),
+        (F.sum("_long_days") + border(crosses_long, F.col("_border"))).alias("_inner_long"),
+        (F.sum("_long_runs") + border(crosses_long, one)).alias("_inner_long_runs"),
+        # Without any present day the whole span is one run before it.
+        (F.coalesce(F.min("_first_present"), F.max("_last") + 1) - F.min("_first")).cast("bigint").alias("_lead"),
+        (F.max("_last") - F.coalesce(F.max("_last_present"), F.max("_last"))).cast("bigint").alias("_trail"),
         *[F.sum(n).alias(n) for n in totals.sums],
         *[F.max(n).alias(n) for n in totals.maxima],
     )
 
-    def long_edge(c: str) -> Column:
-        return F.when(F.col(c) >= min_run, F.col(c)).otherwise(0)
+    def edges(threshold: int, days: bool) -> Column:
+        """Days or number of the runs at both ends that reach ``threshold``."""
+        counted = [F.when(F.col(c) >= threshold, F.col(c) if days else one).otherwise(0) for c in ("_lead", "_trail")]
+        return counted[0] + counted[1]
 
     return per_key.select(
         key,
-        "first_obs_date",
-        "last_obs_date",
-        span_days("first_obs_date", "last_obs_date").alias("data_span_days"),
+        F.date_from_unix_date("_lo").alias("first_obs_date"),
+        F.date_from_unix_date("_hi").alias("last_obs_date"),
+        (F.col("_hi") - F.col("_lo") + 1).cast("bigint").alias("data_span_days"),
         "total_days",
-        (F.col("_inner_days") + F.col("_lead") + F.col("_trail")).alias("total_gap_days"),
-        (F.col("_inner_long") + long_edge("_lead") + long_edge("_trail")).alias("long_gap_count"),
-        (F.col("_inner_runs") + (F.col("_lead") > 0).cast("int") + (F.col("_trail") > 0).cast("int")).alias("gap_periods"),
-        (
-            F.col("_inner_long_runs") + (F.col("_lead") >= min_run).cast("int") + (F.col("_trail") >= min_run).cast("int")
-        ).alias("long_gap_periods"),
+        (F.col("_inner_days") + edges(1, True)).alias("total_gap_days"),
+        (F.col("_inner_long") + edges(min_run, True)).alias("long_gap_count"),
+        (F.col("_inner_runs") + edges(1, False)).alias("gap_periods"),
+        (F.col("_inner_long_runs") + edges(min_run, False)).alias("long_gap_periods"),
         *totals.sums,
         *totals.maxima,
     )

@@ -70,7 +70,7 @@ def test_gaps_shuffle_reduced_rows_only(events, capsys):
     stored = events.select("k", F.col("t").cast("date").alias("d"), "value")
     text = plan(coverage.gaps(stored, key="k", date="d", metric="value"), capsys)
     assert shuffles(text) == 2 and text.count("FileScan") == 1 and "Join" not in text
-    assert "partial_collect_set" in text
+    assert "partial_bit_or" in text and "ObjectHashAggregate" not in text and "SortAggregate" not in text
 
 
 def test_distance_join_is_an_equi_join(spark, capsys):

@@ -131,6 +131,16 @@ def test_gaps_equal_the_walk(spark, seed, share, min_run):
     assert {r["k"] for r in default.collect()} == {k for k, v in expected.items() if v[0]}
 
 
+def test_gaps_before_1970_and_across_blocks(spark):
+    start = D(1969, 9, 1)
+    kept = [0, 1, 62, 63, 64, 65, 127, 128, 129, 190, 191, 192, 193, 255, 256, 400]
+    data = [("k", start + dt.timedelta(days=i), None if i in (0, 193) else 1.0) for i in kept]
+    frame = spark.createDataFrame(data, "k string, d date, v double")
+    for min_run in (1, 2, 60, 61, 62, 63, 143, 144):
+        row = coverage.gaps(frame, key="k", date="d", metric="v", min_run=min_run).first()
+        assert tuple(row[c] for c in ("total_gap_days", "long_gap_count", "long_gap_periods")) == spine_gaps(data, min_run)["k"][:3]
+
+
 @pytest.mark.parametrize("gap, counted", [(29, 0), (30, 30), (31, 31)])
 def test_long_gap_counts_days(spark, gap, counted):
     frame = spark.createDataFrame([("s", D(2023, 12, 20), 1.0), ("s", D(2023, 12, 21) + dt.timedelta(days=gap), 1.0)], "k string, d date, v double")
