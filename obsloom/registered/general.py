@@ -180,12 +180,17 @@ def _register_series(registry: Registry) -> None:
             windows.window_expand(days, key="user_id", date="event_date", n=2, key_name="window_id")
         )
 
-    @registry.add("window_expand_by_join", registry.oracles["window_expand"])
-    def window_expand_by_join(spark, sf_dir):
-        days = _user_days(_events(spark, sf_dir)).select("user_id", "event_date", "value_avg", "k_max")
-        return rounded(
-            windows.window_expand_by_join(days, key="user_id", date="event_date", n=2, key_name="window_id")
-        )
+    @registry.add(
+        "window_expand_repeated",
+        f"WITH e AS (SELECT user_id, CAST(ts AS DATE) AS event_date, event_id FROM events) SELECT "
+        f"{sql_key('a.user_id', 'a.event_date', 'o.event_date')} AS window_id, a.user_id, a.event_date AS anchor_date, o.event_date, o.event_id "
+        "FROM (SELECT DISTINCT user_id, event_date FROM e) a JOIN e o "
+        "ON a.user_id = o.user_id AND o.event_date BETWEEN a.event_date - INTERVAL 2 DAY AND a.event_date + INTERVAL 2 DAY",
+    )
+    def window_expand_repeated(spark, sf_dir):
+        """Over the events themselves, several per user and day."""
+        events = table(spark, sf_dir, "events").select("user_id", F.col("ts").cast("date").alias("event_date"), "event_id")
+        return windows.window_expand_repeated(events, key="user_id", date="event_date", n=2, key_name="window_id")
 
     @registry.add(
         "coverage",

@@ -79,7 +79,7 @@ def random_days(seed, keys=4, span=400, share=0.4):
     ]
 
 
-def test_window_expand_equals_join_and_range_form(spark):
+def test_both_window_forms_equal_the_range_form(spark):
     data = [*random_days(1), ("k0", D(2024, 2, 28), 1.0), ("k0", D(2024, 3, 1), 2.0), ("one", D(2024, 1, 1), 3.0), ("k0", D(2022, 11, 20), 9.0)]
     frame = spark.createDataFrame(data, "k string, d date, v double")
     for n in (0, 2, 40):
@@ -87,7 +87,7 @@ def test_window_expand_equals_join_and_range_form(spark):
             [(k, a, d, v) for k, a in {r[:2] for r in data} for kk, d, v in data if kk == k and abs((d - a).days) <= n],
             key=lambda t: tuple((v is None, str(v)) for v in t),
         )
-        for form in (windows.window_expand, windows.window_expand_by_join):
+        for form in (windows.window_expand, windows.window_expand_repeated):
             assert rows(form(frame, key="k", date="d", n=n), "k", "anchor_date", "d", "v") == expected
 
 
