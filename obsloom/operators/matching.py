@@ -17,6 +17,7 @@ from obsloom.operators.skew import lookup_join
 from obsloom.session import materialise
 
 COMMON_WORD_ROWS = 100
+DIRECT_PAIRS = 20_000_000
 SCORES = ["total_matched_chars", "matched_token_count"]
 SCORES_NO_STOP = ["total_matched_chars_no_city", "matched_token_count_no_city"]
 
@@ -66,13 +67,15 @@ def token_match(
     right_region: Column,
     stop_word: str = "city",
     common_rows: int = COMMON_WORD_ROWS,
+    direct_pairs: int = DIRECT_PAIRS,
     left_as: str | None = None,
     right_as: str | None = None,
 ) -> DataFrame:
     """Best right row per left row, with its scores with and without the stop word.
 
     ``left_regions`` is an array (a left row may span several regions). A word is common when
-    more than ``common_rows`` distinct right names of a region have it. Score: characters in
+    more than ``common_rows`` distinct right names of a region have it; common words are handled
+    apart when joining on all words would give more than ``direct_pairs`` pairs. Score: characters in
     shared words, counting repeats on both sides, then number of shared words, then lowest id.
     """
     regions = F.array_sort(F.array_distinct(F.filter(left_regions, lambda r: r.isNotNull())))
@@ -89,17 +92,13 @@ def token_match(
         .groupBy("state", "_words")
         .agg(F.min("_right").alias("_right"))
     )
+    left_words = _exploded(left_names, "_words", "left", ["_name", "state"])
     right_words = _exploded(right_names, "_words", "right", ["_right", "state"])
-    common = materialise(
-        right_words.groupBy("state", "token")
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .filter(F.col("_n") > common_rows)
-        .select("state", "token")
-    )
-    if common.isEmpty():
-        left_words = _exploded(left_names, "_words", "left", ["_name", "state"])
+    frequency = right_words.groupBy("state", "token").agg(F.count(F.lit(1)).alias("_n"))
+    if _joined_pairs(left_words, frequency) <= direct_pairs:
         scored = _pair_scores(left_words, right_words, ["_name", "_right"], ["_name"], stop_word)
     else:
+        common = materialise(frequency.filter(F.col("_n") > common_rows).select("state", "token"))
         scored = _scored_apart(left_names, right_names, common, stop_word)
     best = materialise(best_per_key(scored, ["_name"], SCORES, ["_right"], SCORES_NO_STOP))
     matched = lookup_join(left_rows.select("_left", "_name"), best, ["_name"], "inner", spread=["_left"])
@@ -108,6 +107,13 @@ def token_match(
     )
 
 
+def _joined_pairs(left_words: DataFrame, frequency: DataFrame) -> float:
+    """How many pairs a join on region and word gives, from the counts per word."""
+    other = left_words.groupBy("state", "token").agg(F.count(F.lit(1)).alias("_m"))
+    pairs = other.join(frequency, ["state", "token"]).agg(F.sum(F.col("_n").cast("double") * F.col("_m")))
+    return pairs.first()[0] or 0.0
+
+
 def _split_words(names: DataFrame, ids: list[str], common: DataFrame, side: str) -> DataFrame:
     """Word rows marked common or not, each with its name's set of common words."""
     words = _exploded(names, "_words", side, ids)

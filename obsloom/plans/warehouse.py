@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from functools import cached_property
 
 from pyspark.sql import DataFrame
@@ -258,6 +259,7 @@ MARTS = (
 )
 SERVE = ("obs_fact", "obs_fact_cp")
 ARCHIVE = ("mart_obs_fact_unpiv", "mart_station_obs_obt")
+WRITERS = 4
 MODELS = (
     "stg_obs_daily",
     "stg_obs_hourly",
@@ -283,7 +285,8 @@ def build_all(warehouse: Warehouse, directory: str, names=(*MARTS, *SERVE, *ARCH
 
     What several tables share is written first and read back, so the rollup, the merge, the name
     match and the station snapshot are computed once. The plain merge is a selection from the
-    one with provenance. The merge is stored in station and date order; the facts are scans of
+    one with provenance. The tables are independent by then, and a few are written at a time so
+    that small ones do not leave the cluster idle. The merge is stored in station and date order; the facts are scans of
     it and keep that order, so filters on station or date skip most of their row groups.
     """
     shared = f"{directory}/_shared"
@@ -292,4 +295,7 @@ def build_all(warehouse: Warehouse, directory: str, names=(*MARTS, *SERVE, *ARCH
     warehouse._obs_daily_all_qc = as_table(warehouse._obs_daily_all_qc, shared, "obs_daily_all_qc", w.KEYS)
     warehouse.obs_daily_all = warehouse._obs_daily_all_qc.select("station_date_id", *w.KEYS, *w.DAY_COLUMNS)
     warehouse.city_coord_and_pop = as_table(warehouse.city_coord_and_pop, shared, "city_coord_and_pop")
-    return {name: export(getattr(warehouse, name), directory, name) for name in names}
+    frames = {name: getattr(warehouse, name) for name in names}
+    with ThreadPoolExecutor(WRITERS) as writers:
+        paths = writers.map(lambda name: export(frames[name], directory, name), names)
+        return dict(zip(names, paths, strict=True))

@@ -56,13 +56,13 @@ def random_names(seed, n, words, states):
     return [(i, " ".join(random.choices(words, k=random.randint(1, 4))), random.choice(states)) for i in range(n)]
 
 
-@pytest.mark.parametrize("common_rows", [1000, 5, 1, 0])
-def test_common_words_are_exact(spark, common_rows):
+@pytest.mark.parametrize("common_rows, direct_pairs", [(100, 10**9), (100, 0), (5, 0), (1, 0), (0, 0)])
+def test_common_words_are_exact(spark, common_rows, direct_pairs):
     words = ["city", "city", "new", "york", "fort", "worth", *[f"w{i}" for i in range(40)]]
     right = random_names(1, 150, words, ["A", "B", "C", None])
     left = [(i, name, sorted({s or "A", random.choice("ABC")})) for i, name, s in random_names(2, 80, words, ["A", "B"])]
     left += [(1000 + i, "city new", ["A", "B"]) for i in range(20)]
-    got = sorted(tuple(r) for r in match(spark, left, right, common_rows=common_rows).collect())
+    got = sorted(tuple(r) for r in match(spark, left, right, common_rows=common_rows, direct_pairs=direct_pairs).collect())
     assert got == brute_match(left, right)
 
 
