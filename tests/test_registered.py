@@ -8,6 +8,7 @@ from pathlib import Path
 import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
+from obsloom.registered.catalog import REGISTRY
 
 SF_DIR = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not Path(SF_DIR).exists(), reason="driver tables absent")
@@ -22,7 +23,7 @@ def oracle():
     return compare.connect(SF_DIR)
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(REGISTRY.queries))
 def test_query_equals_its_sql(spark, oracle, name):
     assert name in oracle_sql()
     result = queries()[name](spark, SF_DIR)
