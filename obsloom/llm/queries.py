@@ -5,15 +5,26 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from obsloom.llm import sql
+from obsloom.llm.bpe import encode
 from obsloom.llm.lines import dedup_lines
+from obsloom.llm.minhash import near_duplicates
 from obsloom.llm.mixing import mix
+from obsloom.llm.quality import quality_rules
 from obsloom.llm.urls import ALLOW, BLOCK, filter_urls
+from obsloom.llm.vectors import near_vectors
 from obsloom.registered.common import Registry, table
 
 #: Rules of the URL filter, host with path start.
 URL_RULES = ((ALLOW, "org/"), (BLOCK, "example.org/es/"), (BLOCK, "example.org/en/1"), (ALLOW, "com/fr/"), (BLOCK, "com/de/"))
 
 
+def vocabulary_path(name: str = "byte_bpe_50k.json") -> str:
+    """A file of the published vocabularies that are installed on every machine."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def register(registry: Registry) -> None:
     @registry.add("op5_line_dedup", sql.LINE_DEDUP)
     def op5(spark, sf_dir):
@@ -32,3 +43,29 @@ def register(registry: Registry) -> None:
         return mixed.select(
             "doc_id", "topic", "n_tokens", F.round("weight", 5).alias("weight"), F.round("probability", 5).alias("probability"), "kept"
         )
+
+    @registry.add("op2_minhash_dedup")
+    def op2(spark, sf_dir):
+        return near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+    @registry.add("op3_embedding_dedup")
+    def op3(spark, sf_dir):
+        return near_vectors(table(spark, sf_dir, "embeddings"))
+
+    @registry.add("op4_bpe")
+    def op4(spark, sf_dir):
+        docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+        ids = F.array_join(F.col("ids").cast("array<string>"), ",")
+        return encode(docs, vocabulary_path(), decoded=True).select(
+            "doc_id",
+            F.size("ids").cast("long").alias("n_tokens"),
+            F.sha2(ids, 256).alias("ids_sha256"),
+            F.sha2("decoded", 256).alias("decoded_sha256"),
+        )
+
+    @registry.add("op6_quality_rules", sql.QUALITY)
+    def op6(spark, sf_dir):
+        judged = quality_rules(table(spark, sf_dir, "documents").select("doc_id", "text"))
+        return judged.select(
+            "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "lost_chars"
+        )

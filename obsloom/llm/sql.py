@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from obsloom.llm.common import LOWER, UPPER
 from obsloom.llm.mixing import TOPICS
+from obsloom.llm import quality
 from obsloom.llm.urls import ALLOW, ALPHABET, BLOCK
 
 BLANKS = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
@@ -129,3 +130,53 @@ FROM docs JOIN rates USING (source, lang, topic)
 
 
 MIX = _mix()
+
+
+def _quoted(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
+def _quality() -> str:
+    phrases = " OR ".join(f"contains(lower(line), {_quoted(p)})" for p in quality.PHRASES)
+    blank = r"'[\x20\x09-\x0D]'"
+    counted = lambda of, chars: f"length({of}) - length(translate({of}, {_quoted(chars)}, ''))"
+    return rf"""
+WITH docs AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+words AS (
+  SELECT doc_id, unnest(regexp_extract_all(t, {WORDS})) AS w, unnest(range(len(regexp_extract_all(t, {WORDS})))) AS pos FROM docs
+), threes AS (
+  SELECT doc_id, pos, w AS a, lead(w) OVER o AS b, lead(w, 2) OVER o AS c FROM words WINDOW o AS (PARTITION BY doc_id ORDER BY pos)
+), again AS (
+  SELECT doc_id, pos, c IS NOT NULL AND count(*) OVER (PARTITION BY doc_id, a, b, c) > 1 AS twice FROM threes
+), covered AS (
+  SELECT doc_id, bool_or(twice) OVER (PARTITION BY doc_id ORDER BY pos ROWS BETWEEN 2 PRECEDING AND CURRENT ROW) AS hit FROM again
+), repeats AS (SELECT doc_id, count(*) FILTER (WHERE hit) AS n_repeat_words FROM covered GROUP BY doc_id),
+lines AS (
+  SELECT doc_id, unnest(string_split(t, chr(10))) AS line, unnest(range(len(string_split(t, chr(10))))) AS pos FROM docs
+), sized AS (
+  SELECT *, len(regexp_extract_all(line, {WORDS})) AS n, length(regexp_replace(line, {blank}, '', 'g')) AS size,
+    row_number() OVER (PARTITION BY doc_id, line ORDER BY pos) > 1 AS again
+  FROM lines
+), failed AS (
+  SELECT *, n > 0 AND (again
+    OR (NOT contains({_quoted(quality.TERMINAL)}, right(trim(line, {BLANKS}), 1))
+      AND {quality.SENTENCE_WORDS} * ({counted("line", quality.SENTENCE_ENDS)}) < n)
+    OR 4 * len(regexp_extract_all(line, {_quoted(quality.MARKS)})) > n
+    OR 4 * ({counted("line", quality.SEPARATORS)}) > n
+    OR (n <= {quality.PHRASE_WORDS} AND ({phrases}))) AS fails
+  FROM sized
+), sums AS (
+  SELECT doc_id, CAST(sum(n) AS BIGINT) AS n_words, CAST(sum(size) AS BIGINT) AS word_chars,
+    count(*) FILTER (WHERE n > 0 AND again) AS n_dup_lines, CAST(coalesce(sum(size) FILTER (WHERE fails), 0) AS BIGINT) AS lost_chars
+  FROM failed GROUP BY doc_id
+), base AS (
+  SELECT *, n_words < {quality.MIN_WORDS} OR 100 * n_repeat_words > {quality.MAX_REPEATED} * n_words AS base_failed
+  FROM (SELECT sums.*, coalesce(n_repeat_words, 0) AS n_repeat_words FROM sums LEFT JOIN repeats USING (doc_id))
+)
+SELECT doc_id, n_words, word_chars, CAST({counted("t", quality.SYMBOLS)} AS BIGINT) AS n_symbols, n_dup_lines, n_repeat_words, base_failed,
+  NOT base_failed AND 100 * lost_chars <= {quality.MAX_LOST} * word_chars AS kept, lost_chars
+FROM base JOIN docs USING (doc_id)
+"""
+
+
+QUALITY = _quality()
