@@ -10,6 +10,7 @@ from obsloom.llm.lines import dedup_lines
 from obsloom.llm.minhash import near_duplicates
 from obsloom.llm.mixing import mix
 from obsloom.llm.quality import quality_rules
+from obsloom.llm.suffix import repeated_substrings
 from obsloom.llm.urls import ALLOW, BLOCK, filter_urls
 from obsloom.llm.vectors import near_vectors
 from obsloom.registered.common import Registry, table
@@ -69,3 +70,10 @@ def register(registry: Registry) -> None:
         return judged.select(
             "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "lost_chars"
         )
+
+    @registry.add("op9_suffix_dedup")
+    def op9(spark, sf_dir):
+        found = repeated_substrings(table(spark, sf_dir, "documents").select("doc_id", "text"))
+        return found.select(
+            "doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256")
+        )
