@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from obsloom.llm import sql
 from obsloom.llm.bpe import encode
+from obsloom.llm.chaining import fuzzy_passages
 from obsloom.llm.lines import dedup_lines
 from obsloom.llm.minhash import near_duplicates
 from obsloom.llm.mixing import mix
@@ -77,3 +78,8 @@ def register(registry: Registry) -> None:
         return found.select(
             "doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256")
         )
+
+    @registry.add("op10_fuzzy_passages")
+    def op10(spark, sf_dir):
+        found = fuzzy_passages(table(spark, sf_dir, "documents").select("doc_id", "text"))
+        return found.select("doc_id", "n_words", "n_removed", F.size("spans").cast("long").alias("n_spans"), "spans", "first_docs")
