@@ -14,7 +14,7 @@ from obsloom.llm.bpe import encode
 from obsloom.llm.common import stored
 from obsloom.llm.lines import dedup_lines
 from obsloom.llm.minhash import near_duplicates
-from obsloom.llm.mixing import mix
+from obsloom.llm.mixing import annotated, mix
 from obsloom.llm.quality import quality_rules
 from obsloom.llm.queries import vocabulary_path
 from obsloom.registered.common import table
@@ -46,7 +46,7 @@ def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """A sample of documents at the target weights."""
-    return mix(docs).where("kept").select(*docs.columns)
+    return mix(annotated(docs)).where("kept").select(*docs.columns)
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

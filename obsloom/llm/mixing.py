@@ -91,42 +91,39 @@ def keep_factor(cells: DataFrame, keep_share: float, points: int = 16, rounds: i
     return low + (high - low) * (wanted - at_low) / (at_high - at_low) if at_high > at_low else low
 
 
+def annotated(docs: DataFrame, text: str = "text", topics=TOPICS) -> DataFrame:
+    """``docs`` with ``topic`` and ``n_tokens`` (words), the two things that mixing needs of a text."""
+    body = F.coalesce(F.col(text), F.lit(""))
+    return docs.withColumns({"topic": topic_of(body, topics), "n_tokens": F.regexp_count(body, F.lit(WORD)).cast("long")})
+
+
 def mix(
     docs: DataFrame,
     targets: Mapping[str, float | Mapping[str, float]] | None = None,
     keep_share: float = 0.7,
     sweeps: int = 6,
-    text: str = "text",
     doc_id: str = "doc_id",
     source: str = "source",
     lang: str = "lang",
-    topics=TOPICS,
 ) -> DataFrame:
-    """``docs`` with ``topic``, ``n_tokens`` (words), ``weight`` (raked weight per token against the input's), ``probability`` and ``kept``.
+    """``docs``, as :func:`annotated` gives them, with ``weight`` (raked weight per token against the input's), ``probability`` and ``kept``.
 
-    ``targets`` has for ``source``, ``lang`` and ``topic`` what :func:`target_shares` takes.
+    ``targets`` has for ``source``, ``lang`` and ``topic`` what :func:`target_shares` takes. The rows are
+    written once, so that texts are searched for words and topics once, not for the sums and again for
+    the sample; drop the text before if the result does without.
     """
     targets = targets or {"source": 0.7, "lang": 0.7, "topic": 0.7}
-    names = {"source": source, "lang": lang}
-    body = F.coalesce(F.col(text), F.lit(""))
-    cell = F.struct(
-        *[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(margin) for margin, c in names.items()],
-        topic_of(body, topics).alias("topic"),
-    )
-    facts = docs.select(cell.alias("cell"), F.regexp_count(body, F.lit(WORD)).cast("long").alias("tokens"))
-    cells = stored(facts.select("cell.*", "tokens").groupBy("source", "lang", "topic").agg(F.sum("tokens").alias("tokens")))
+    names = {"source": source, "lang": lang, "topic": "topic"}
+    cell = F.struct(*[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(margin) for margin, c in names.items()])
+    docs = stored(docs)
+    cells = docs.select(cell.alias("cell"), "n_tokens").select("cell.*", F.col("n_tokens").alias("tokens"))
+    cells = stored(cells.groupBy("source", "lang", "topic").agg(F.sum("tokens").alias("tokens")))
     raked = rake(cells, targets, sweeps)
     total = float(cells.agg(F.sum("tokens")).first()[0] or 1)
     raked = stored(raked.withColumn("rate", F.when(F.col("tokens") > 0, F.col("weight") * F.lit(total) / F.col("tokens")).otherwise(1.0)))
     factor = keep_factor(raked, keep_share)
     rates = raked.select(F.struct("source", "lang", "topic").alias("__of"), F.col("rate").alias("__rate"))
     joined = docs.withColumn("__cell", cell).join(rates, F.col("__cell") == F.col("__of"), "left")
-    joined = joined.withColumns(
-        {
-            "topic": F.col("__cell.topic"),
-            "n_tokens": F.regexp_count(body, F.lit(WORD)).cast("long"),
-            "weight": F.col("__rate"),
-            "probability": F.least(F.lit(1.0), F.col("__rate") * F.lit(factor)),
-        }
-    ).drop("__cell", "__of", "__rate")
+    joined = joined.withColumns({"weight": F.col("__rate"), "probability": F.least(F.lit(1.0), F.col("__rate") * F.lit(factor))})
+    joined = joined.drop("__cell", "__of", "__rate")
     return joined.withColumn("kept", unit(F.coalesce(F.col(doc_id).cast("string"), F.lit(""))) < F.col("probability"))

@@ -9,7 +9,7 @@ from obsloom.llm.bpe import encode
 from obsloom.llm.chaining import fuzzy_passages
 from obsloom.llm.lines import dedup_lines
 from obsloom.llm.minhash import near_duplicates
-from obsloom.llm.mixing import mix
+from obsloom.llm.mixing import annotated, mix
 from obsloom.llm.quality import quality_rules
 from obsloom.llm.suffix import repeated_substrings
 from obsloom.llm.urls import ALLOW, BLOCK, filter_urls
@@ -41,7 +41,7 @@ def register(registry: Registry) -> None:
     @registry.add("op8_mix_sources", sql.MIX)
     def op8(spark, sf_dir):
         docs = table(spark, sf_dir, "documents").select("doc_id", "source", "lang", "text")
-        mixed = mix(docs)
+        mixed = mix(annotated(docs).drop("text"))
         return mixed.select(
             "doc_id", "topic", "n_tokens", F.round("weight", 5).alias("weight"), F.round("probability", 5).alias("probability"), "kept"
         )
