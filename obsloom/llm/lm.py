@@ -12,9 +12,10 @@
    in its blocks, one in ``train_every``, which grows with the corpus; the tasks' weights are averaged
    by their windows, in a tree, after each of ``rounds``.
 4. For scoring, windows of ``WINDOW`` ids overlap such that each id is scored once, with the
-   ids of the window before it; windows go through the network in batches with a mask. A word's probability is
-   the mean, by ``mix``, of the product over its ids and of its share in the training tokens, so the
-   whole is one distribution over texts.
+   ids of the window before it; windows go through the network in batches with a mask. A word's probability
+   is its share in the training tokens, weighted N / (N + V) for N tokens of V kinds, plus the product
+   over its ids for the rest: the usual estimate of how often a new word comes (Witten and Bell). Either
+   part is a distribution over texts, and so is the whole.
 
 Defined results: null and empty texts are one end token. A document is held out of training by the
 CRC-32 of its id as a text; one without an id trains. Repeated rows are scored alike, and each of them
@@ -360,7 +361,6 @@ def lm_scores(
     rounds: int = 2,
     train_every: int = 32,
     least_steps: int = 100,
-    mix: float = 0.5,
     block_bytes: int = 16 << 20,
 ) -> DataFrame:
     """One row per row of ``docs``: ``doc_id``, ``held_out``, ``n_tokens``, ``n_known``, ``train_tokens``, ``base_score`` and ``score``.
@@ -375,6 +375,7 @@ def lm_scores(
     ids = _id_counts(held)
     ends = int(ids[END])
     tokens, kinds = int(found["n"] or 0) + ends, found["v"] + bool(ends)
+    known_share = tokens / max(1, tokens + kinds)
     model = train(held, Model(ids), rounds, train_every, least_steps)
     back = words.select("word", "block", "i").join(counts, "word").select("block", "i", "c").repartition("block").sortWithinPartitions("block")
 
@@ -409,9 +410,9 @@ def lm_scores(
                     place = (f[:, None] + np.arange(SCORED))[inside]
                     logs[place] += model.score(x, y[:, WINDOW - SCORED :])[inside]
                 word_starts = np.append(0, texts.word_ends[:-1])
-                attention = np.add.reduceat(logs, word_starts) + np.log(1 - mix)
+                attention = np.add.reduceat(logs, word_starts) + np.log(1 - known_share)
                 with np.errstate(divide="ignore"):
-                    score = np.logaddexp(attention, np.log(mix * c / max(1, tokens))) / np.log(10)
+                    score = np.logaddexp(attention, np.log(known_share * c / max(1, tokens))) / np.log(10)
                 base = np.log10((c + 1) / (tokens + kinds + 1))
                 doc_starts = np.append(0, texts.last_words[:-1] + 1)
                 sums = [np.add.reduceat(v, doc_starts) for v in (base, score)]

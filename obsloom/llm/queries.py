@@ -9,6 +9,7 @@ from obsloom.llm.bpe import encode
 from obsloom.llm.chaining import fuzzy_passages
 from obsloom.llm.lines import dedup_lines
 from obsloom.llm.minhash import near_duplicates
+from obsloom.llm.lm import lm_scores
 from obsloom.llm.mixing import annotated, mix
 from obsloom.llm.quality import quality_rules
 from obsloom.llm.suffix import repeated_substrings
@@ -28,6 +29,10 @@ def vocabulary_path(name: str = "byte_bpe_50k.json") -> str:
 
 
 def register(registry: Registry) -> None:
+    @registry.add("op1_lm_scores")
+    def op1(spark, sf_dir):
+        return lm_scores(table(spark, sf_dir, "documents").select("doc_id", "text"), vocabulary_path("byte_bpe_50k.tiktoken"))
+
     @registry.add("op5_line_dedup", sql.LINE_DEDUP)
     def op5(spark, sf_dir):
         docs = table(spark, sf_dir, "documents").select("doc_id", "text")
