@@ -2,11 +2,12 @@
 
 1. Every text becomes its set of five-word shingles, a signature of 128 minima and a digest of the
    whole set. Texts with equal sets are one class from here on, represented by its smallest id.
-2. Signatures are cut into 32 bands of 4; classes that share a band meet in a bucket. Each class is
-   paired with the smallest id of each of its buckets (a star, so a bucket of n gives n - 1 pairs).
+2. Signatures are cut into 32 bands of 4; classes that share a band meet in a bucket. Of the smallest ids
+   of its buckets, each class is paired with the one it shares most buckets with (a star, so n classes
+   give less than n pairs).
 3. A pair's signatures are compared batch by batch. With m of n minima equal and an even prior, the
    similarity is Beta(m + 1, n - m + 1); the pair is dropped as soon as the chance that it reaches the
-   threshold falls below ``miss``. The best survivor of each class is verified on the full sets.
+   threshold falls below ``miss``. Survivors are verified on the full sets.
 4. Buckets that still hold two or more components are compared across these, in blocks of bounded
    size: the largest component's rows lie in one block each, those of the others are copied to the
    blocks. Survivors are verified on the full sets as well. Pairs within a component need no test.
@@ -236,10 +237,10 @@ def near_duplicates(
     heads = members.groupBy("bucket").agg(F.min("id").alias("head"), F.max("id").alias("last")).where("head <> last").select("bucket", "head")
     members = stored(members.join(heads, "bucket").distinct())
     sig = kinds.select("id", "sig")
-    stars = members.where("id <> head").select(F.col("head").alias("a"), F.col("id").alias("b")).distinct()
+    shared = members.where("id <> head").groupBy("id", "head").agg(F.count("*").alias("n"))
+    stars = shared.groupBy(F.col("id").alias("b")).agg(F.max_by("head", F.struct("n", -F.col("head"))).alias("a"))
     stars = stars.join(sig.select(F.col("id").alias("a"), F.col("sig").alias("sig_a")), "a").join(sig.select(F.col("id").alias("b"), F.col("sig").alias("sig_b")), "b")
-    stars = likely(stars, percent / 100, miss).groupBy("b").agg(F.max_by("a", F.struct("same", -F.col("a"))).alias("a"))
-    stars = stored(stars.select("a", "b"))
+    stars = stored(likely(stars, percent / 100, miss).select("a", "b").distinct())
     wanted = members.select(F.col("id").alias("doc")).distinct()
     texts = stored(docs.select(F.col(doc_id).cast("long").alias("doc"), F.col(text).alias("text")).where(F.col(text).isNotNull()).join(wanted, "doc"))
     links = stored(verified(stars, texts, percent, width))
