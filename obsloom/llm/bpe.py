@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from obsloom.llm import automaton
-from obsloom.llm.common import mapped, pieces, with_columns
+from obsloom.llm.common import mapped, pieces, stored, with_columns
 
 #: White space as the tokenizer's pattern knows it: the Unicode property.
 BLANK = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
@@ -194,17 +194,33 @@ def unit_counts(docs: DataFrame, text: str, vocab: str, entries: int = 200_000)
     return mapped(docs.select(text), run, "unit string, n long").groupBy("unit").agg(F.sum("n").alias("n"))
 
 
+def frequent_units(docs: DataFrame, vocab: str, text: str, max_words: int, max_bytes: int) -> list[str]:
+    """The most frequent units, ``max_words`` at most, in the order of their bytes.
+
+    The count from which units are taken is read off a histogram of counts, a few hundred rows at any
+    size, so that no task sends the driver more than its share of the result.
+    """
+    counted = stored(unit_counts(docs, text, vocab).where((F.col("n") > 1) & (F.octet_length("unit") <= max_bytes)))
+    bins = counted.groupBy(F.floor(F.log("n") * 32).alias("bin")).agg(F.count("*").alias("units"), F.min("n").alias("n"))
+    taken_, least = 0, None
+    for r in sorted(bins.collect(), key=lambda r: -r["bin"]):
+        taken_ += r["units"]
+        if taken_ > max_words:
+            break
+        least = r["n"]
+    if least is None:
+        return []
+    return sorted((r["unit"] for r in counted.where(F.col("n") >= least).select("unit").collect()), key=str.encode)
+
+
 def build_lexicon(docs: DataFrame, vocab: str, text: str = "text", max_words: int = 65_536, max_bytes: int = 64) -> str:
-    """Compile the ``max_words`` most frequent units of at most ``max_bytes`` bytes; the name of the file shipped with the session."""
-    spark = docs.sparkSession
-    counted = unit_counts(docs, text, vocab).where((F.col("n") > 1) & (F.octet_length("unit") <= max_bytes))
-    top = [r["unit"] for r in counted.orderBy(F.desc("n"), "unit").limit(max_words).select("unit").collect()]
-    units = sorted(top, key=str.encode)
+    """Compile the most frequent units of at most ``max_bytes`` bytes; the name of the file shipped with the session."""
+    units = frequent_units(docs, vocab, text, max_words, max_bytes)
     ids, lengths = vocabulary(vocab).units_to_ids(units)
     outputs = np.split(ids, np.cumsum(lengths)[:-1]) if units else []
     path = os.path.join(tempfile.mkdtemp(), f"lexicon-{uuid.uuid4().hex}.bin")
     automaton.save(automaton.build([u.encode() for u in units], (x.tolist() for x in outputs)), path)
-    spark.sparkContext.addFile(path)
+    docs.sparkSession.sparkContext.addFile(path)
     return os.path.basename(path)
 
 
