@@ -23,19 +23,25 @@ from obsloom.registered.common import table
 ORACLE_SQL = None
 
 
+def apart(docs: DataFrame) -> DataFrame:
+    """The columns that operators read, and all but the text in a struct, where no operator's own columns replace them."""
+    return docs.select(F.struct(*[c for c in docs.columns if c != "text"]).alias("__row"), "doc_id", "text", "source", "lang")
+
+
 def as_documents(rows: DataFrame, docs: DataFrame) -> DataFrame:
-    """The columns of ``docs``, with the length of the text as it is now."""
-    return rows.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(*docs.columns)
+    """The columns of ``docs`` again, with the text as it is now and its length."""
+    now = {"text": F.col("text"), "n_chars": F.length("text").cast(docs.schema["n_chars"].dataType)}
+    return rows.select(*[now.get(c, F.col("__row")[c]).alias(c) for c in docs.columns])
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass, without the lines that failed."""
-    return as_documents(quality_rules(docs).where("kept").withColumn("text", F.col("cleaned")), docs)
+    return as_documents(quality_rules(apart(docs).select("__row", "text")).where("kept").withColumn("text", F.col("cleaned")), docs)
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, without lines that many of them share."""
-    return as_documents(dedup_lines(docs), docs)
+    return as_documents(dedup_lines(apart(docs).select("__row", "doc_id", "text")), docs)
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -46,7 +52,7 @@ def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """A sample of documents at the target weights."""
-    return mix(annotated(docs)).where("kept").select(*docs.columns)
+    return as_documents(mix(annotated(apart(docs))).where("kept"), docs)
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

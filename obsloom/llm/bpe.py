@@ -271,7 +271,7 @@ def encode(docs: DataFrame, vocab: str, lexicon: str | None = None, text: str =
 def decode(rows: DataFrame, vocab: str, ids: str = "ids") -> DataFrame:
     """``rows`` with ``decoded``; null ids decode to an empty text."""
     import pyarrow as pa
-    from pyspark.sql.types import StructType
+    from pyspark.sql.types import StringType, StructField, StructType
 
     old = [f for f in rows.schema if f.name != "decoded"]
 
@@ -284,4 +284,4 @@ def decode(rows: DataFrame, vocab: str, ids: str = "ids") -> DataFrame:
             names = [f.name for f in old]
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), pa.array(texts, pa.string())], names=[*names, "decoded"])
 
-    return mapped(rows, run, StructType(old).add("decoded", "string"))
+    return mapped(rows, run, StructType([*old, StructField("decoded", StringType())]))

@@ -61,9 +61,10 @@ def shingle_sets(texts: list[str], width: int = WIDTH) -> list[np.ndarray]:
     hashes, counts = word_hashes(texts)
     ends = np.cumsum(counts)
     with np.errstate(over="ignore"):
-        rolled = np.zeros(max(0, len(hashes) - width + 1), np.uint64)
+        windows = max(0, len(hashes) - width + 1)
+        rolled = np.zeros(windows, np.uint64)
         for i in range(width):
-            rolled += hashes[i : len(hashes) - width + 1 + i] * PLACES[i]
+            rolled += hashes[i : i + windows] * PLACES[i]
         rolled = mixed(rolled)
         out = []
         for n, end in zip(counts, ends, strict=True):

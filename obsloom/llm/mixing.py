@@ -69,26 +69,26 @@ def rake(cells: DataFrame, targets: Mapping[str, float | Mapping[str, float]], s
 def keep_factor(cells: DataFrame, keep_share: float, points: int = 16, rounds: int = 5) -> float:
     """The factor ``x`` at which the sum of tokens * min(1, x * rate) is ``keep_share`` of all tokens.
 
-    Each round evaluates a grid of factors in one aggregation and goes on in the piece that holds
-    the answer; inside the last piece the sum is taken as linear, which it is between two kinks.
+    Each round evaluates a grid of factors in equal ratios, in one aggregation, and goes on in the piece
+    that holds the answer; inside the last piece the sum is taken as linear, which it is between two kinks.
     """
-    least, most, total, top = cells.where("tokens > 0 and rate > 0").agg(F.min("rate"), F.max("rate"), F.sum("tokens"), F.max("rate")).first()
+    some = cells.where("tokens > 0 and rate > 0")
+    least, slope, total = some.agg(F.min("rate"), F.sum(F.col("tokens") * F.col("rate")), F.sum("tokens")).first()
     if least is None:
         return 1.0
     wanted = keep_share * cells.agg(F.sum("tokens")).first()[0]
-    if wanted >= total:
-        return 1.0 / least
-    low, high, at_low, at_high = 0.0, 1.0 / least, 0.0, float(total)
+    low, high = wanted / slope, 1.0 / least  # without any probability cut at 1, and with all of them
+    if wanted >= total or low >= high:
+        return high
+    at_low = at_high = float(total)
     for _ in range(rounds):
-        grid = [low + (high - low) * i / points for i in range(1, points)]
-        sums = cells.agg(*[F.sum(F.col("tokens") * F.least(F.lit(1.0), F.col("rate") * F.lit(x))).alias(f"s{i}") for i, x in enumerate(grid)]).first()
-        for x, s in zip(grid, sums, strict=True):
-            if s <= wanted:
-                low, at_low = x, s
-            else:
-                high, at_high = x, s
-                break
-    return low + (high - low) * (wanted - at_low) / (at_high - at_low) if at_high > at_low else low
+        grid = [low * (high / low) ** (i / points) for i in range(points + 1)]
+        sums = some.agg(*[F.sum(F.col("tokens") * F.least(F.lit(1.0), F.col("rate") * F.lit(x))).alias(f"s{i}") for i, x in enumerate(grid)]).first()
+        above = next((i for i, s in enumerate(sums) if i and s > wanted), points)
+        low, high, at_low, at_high = grid[above - 1], grid[above], sums[above - 1], sums[above]
+        if at_high <= at_low:
+            break
+    return low + (high - low) * min(1.0, max(0.0, wanted - at_low) / (at_high - at_low)) if at_high > at_low else low
 
 
 def annotated(docs: DataFrame, text: str = "text", topics=TOPICS) -> DataFrame:
