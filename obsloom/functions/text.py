@@ -17,9 +17,9 @@ def nth_part(text, separator: str, n: int) -> Column:
     return F.trim(F.split_part(_col(text), F.lit(separator), F.lit(n)))
 
 
-def parts_of(text, separator: str, count: int) -> Column:
-    """The first ``count`` trimmed parts as an array ('' where the text has fewer)."""
-    return F.array(*[nth_part(text, separator, n) for n in range(1, count + 1)])
+def parts_of(text, separator: str) -> Column:
+    """All trimmed parts as an array."""
+    return F.transform(F.split(_col(text), f"\\Q{separator}\\E", -1), lambda part: F.trim(part))
 
 
 def digits_to_long(text) -> Column:

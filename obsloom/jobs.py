@@ -15,6 +15,7 @@ from obsloom.plans import loads
 from obsloom.plans.checks import run_checks
 from obsloom.plans.warehouse import ARCHIVE, MARTS, SERVE, Warehouse, build_all
 from obsloom.session import configure
+from obsloom.sources import files
 from obsloom.sources.landing import FACTS, Landing
 from obsloom.sources.schemas import LANDING, without
 from obsloom.streaming.landing import stream_land
@@ -44,7 +45,7 @@ def _arguments(argv: list[str] | None) -> argparse.Namespace:
 
     stations = command("load-stations", "append a delivered station snapshot")
     stations.add_argument("--json", required=True)
-    stations.add_argument("--lines", action="store_true", help="one record per line instead of one array")
+    stations.add_argument("--array", action="store_true", help="one array per file instead of one record per line")
 
     plan = command("plan", "write which stations to fetch next, and for which time")
     land = command("land", "land delivered observations of planned stations and log them")
@@ -55,6 +56,7 @@ def _arguments(argv: list[str] | None) -> argparse.Namespace:
     plan.add_argument("--countries", nargs="*", default=["US"], help="none given: all")
     plan.add_argument("--states", nargs="*", default=[])
     plan.add_argument("--batch-size", type=int)
+    plan.add_argument("--all", action="store_true", help="all stations that qualify")
     land.add_argument("--log-failures", action="store_true")
 
     stream = command("stream", "land files as they arrive")
@@ -68,7 +70,7 @@ def _arguments(argv: list[str] | None) -> argparse.Namespace:
 
 
 def _options(file_format: str) -> dict:
-    return {"header": True} if file_format == "csv" else {}
+    return files.STRICT.get(file_format, {})
 
 
 def run(spark: SparkSession, argv: list[str] | None = None):
@@ -101,12 +103,14 @@ def _load_cities(spark, landing, now, args):
 
 
 def _load_stations(spark, landing, now, args):
-    landing.load_stations(args.json, array=not args.lines)
+    landing.load_stations(args.json, array=args.array)
 
 
 def _plan(spark, landing, now, args):
     chosen = {"countries": args.countries, "states": args.states}
-    if args.batch_size is not None:
+    if args.all:
+        chosen["batch_size"] = None
+    elif args.batch_size is not None:
         chosen["batch_size"] = args.batch_size
     planned = (
         loads.next_incremental(landing, args.table, now, **chosen)

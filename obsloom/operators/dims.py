@@ -36,17 +36,26 @@ def ten_years_from_today():
     return F.add_months(F.current_date(), 120)
 
 
-def hour_dim(spark: SparkSession, end: int = 23) -> DataFrame:
-    """Hours 0 up to, not including, ``end`` with a label. The default leaves out hour 23, as documented in the README."""
+def hour_dim(spark: SparkSession, end: int = 24) -> DataFrame:
+    """Hours 0 up to, not including, ``end`` with a label."""
     return spark.range(0, end).select(F.col("id").alias("hour"), hour_label("id").alias("hour_label"))
 
 
 def counts_by_key(facts: DataFrame, key: str, distinct: dict[str, str], present: dict[str, str]) -> DataFrame:
-    """Per key: exact distinct values of some columns and non-null rows of others."""
-    return facts.groupBy(key).agg(
-        *[F.countDistinct(c).alias(name) for name, c in distinct.items()],
+    """Per key: exact distinct values of some columns and non-null rows of others.
+
+    Each distinct count goes over its own two columns: several in one aggregate would copy every fact
+    row once per count. Facts without a key count nowhere a dimension could see.
+    """
+    keyed = facts.where(F.col(key).isNotNull())
+    counts = keyed.groupBy(key).agg(
+        F.count(F.lit(1)).alias("_rows"),
         *[F.sum(F.when(F.col(c).isNotNull(), 1).otherwise(0)).alias(name) for name, c in present.items()],
     )
+    for name, c in distinct.items():
+        values = keyed.where(F.col(c).isNotNull()).select(key, F.col(c).alias("_value")).distinct()
+        counts = counts.join(values.groupBy(key).agg(F.count(F.lit(1)).alias(name)), key, "left")
+    return counts.select(key, *[F.coalesce(F.col(name), F.lit(0)).alias(name) for name in distinct], *present)
 
 
 def with_counts(dim: DataFrame, facts: DataFrame, key: str, distinct: dict[str, str], present: dict[str, str]) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from obsloom.functions.calendar import iso_timestamp
-from obsloom.operators.skew import lookup_join
+from obsloom.operators.skew import lookup_join, same_keys
 
 _STEPS = {"day": "INTERVAL 1 DAY", "hour": "INTERVAL 1 HOUR"}
 
@@ -43,8 +43,13 @@ def plan_initial(
     end: str,
     filters: dict | None = None,
     n: int | None = 1,
+    attempts: DataFrame | None = None,
 ) -> DataFrame:
-    """Stations with both bounds that pass the filters and that ``log`` does not list for ``table``."""
+    """Stations with both bounds that pass the filters and that ``log`` does not list for ``table``.
+
+    With ``attempts`` (a log as well), those never tried come first and then the longest untried, so
+    a station that delivers nothing does not keep the others waiting.
+    """
     logged = log.filter(F.col("table_name") == table).select("station_id").distinct()
     pending = (
         _candidates(stations, id_, start, end, filters)
@@ -52,7 +57,18 @@ def plan_initial(
         .join(logged, "station_id", "left_anti")
         .select("station_id", F.col("_start").alias("start"), F.col("_end").alias("end"))
     )
-    return pending if n is None else first_n(pending, n, ["station_id", "start", "end"])
+    return _next(pending, n, attempts, table)
+
+
+def _next(pending: DataFrame, n: int | None, attempts: DataFrame | None, table: str | None) -> DataFrame:
+    order = ["station_id", "start", "end"]
+    if n is None:
+        return pending
+    if attempts is None:
+        return first_n(pending, n, order)
+    tried = attempts.filter(F.col("table_name") == table).groupBy("station_id").agg(F.max("last_fetched").alias("_tried"))
+    ordered = pending.join(tried, "station_id", "left")
+    return first_n(ordered, n, [F.col("_tried").asc_nulls_first(), *order]).select(*pending.columns)
 
 
 def high_water(facts: DataFrame, key: str, time: str) -> DataFrame:
@@ -73,8 +89,10 @@ def plan_incremental(
     now: Column,
     filters: dict | None = None,
     n: int | None = 5,
+    attempts: DataFrame | None = None,
+    table: str | None = None,
 ) -> DataFrame:
-    """The time range each station still lacks.
+    """The time range each station still lacks; ``attempts`` orders as in :func:`plan_initial`.
 
     From one ``step`` after its latest fact (or its own start, if it has none) to its own end or
     ``now``, whichever is earlier. Empty ranges are left out: by day with step ``day``.
@@ -93,7 +111,7 @@ def plan_incremental(
     )
     unit = "date" if step == "day" else "timestamp_ntz"
     pending = ranges.filter(F.col("start").cast(unit) <= F.col("end").cast(unit))
-    return pending if n is None else first_n(pending, n, ["station_id", "start", "end"])
+    return _next(pending, n, attempts, table)
 
 
 def stamp(df: DataFrame, load_time: Column, station: Column | None = None) -> DataFrame:
@@ -104,9 +122,16 @@ def stamp(df: DataFrame, load_time: Column, station: Column | None = None) -> Da
 
 
 def new_rows(batch: DataFrame, existing: DataFrame, keys: list[str]) -> DataFrame:
-    """Rows of a batch whose keys are not stored yet; exact repeats inside the batch go too."""
-    fresh = batch.join(existing.select(*keys), keys, "left_anti")
-    return fresh.distinct()  # after a shuffled join the rows already lie together by key
+    """Rows of a batch whose keys are not stored yet, one per key; null keys are equal to each other.
+
+    Of several rows of a key the greatest stays, by the batch's columns in their order, so that a
+    repeated run stores the same row.
+    """
+    kept = existing.select(*keys)
+    fresh = batch.join(kept, same_keys(batch, kept, keys), "left_anti")
+    rest = [c for c in batch.columns if c not in keys]
+    best = fresh.groupBy(*keys).agg(F.max(F.struct(*rest)).alias("_row")) if rest else fresh.distinct()
+    return best.select(*[F.col(f"_row.`{c}`").alias(c) if c in rest else F.col(c) for c in batch.columns])
 
 
 def upsert_log(log: DataFrame, ids: DataFrame, table: str, ts: Column) -> DataFrame:

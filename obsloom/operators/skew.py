@@ -14,31 +14,27 @@ from pyspark.sql import functions as F
 
 BROADCAST_ROWS = 100_000
 HOT_ROWS = 2_000_000
-MAX_HOT_KEYS = 1_000
-MAX_SALTS = 4_096
+NULL_SALTS = 4_096
 
 
 def at_most(df: DataFrame, rows: int) -> bool:
     """Whether ``df`` has no more than ``rows`` rows.
 
-    Partitions are read a few at a time until one row beyond the limit has been seen, and each
-    row comes back as a constant, so a large table is neither scanned nor gathered.
+    No row comes to the driver: each task counts up to one row beyond the limit and stops.
     """
-    return len(df.select(F.lit(1)).take(rows + 1)) <= rows
+    return df.select(F.lit(1)).limit(rows + 1).count() <= rows
 
 
 def hot_keys(df: DataFrame, keys: list[str], hot_rows: int = HOT_ROWS) -> DataFrame:
-    """The heaviest keys with the number of salts each needs; at most ``MAX_HOT_KEYS`` rows.
+    """All keys with more than ``hot_rows`` rows and the number of salts each needs.
 
-    Keys beyond that number are joined unsalted, so the bound costs balance, never rows.
+    There can be no more of them than the table has times ``hot_rows``: 5,000 in ten thousand million rows.
     """
     return (
         df.groupBy(*keys)
         .agg(F.count(F.lit(1)).alias("_n"))
         .filter(F.col("_n") > hot_rows)
-        .orderBy(F.desc("_n"), *keys)
-        .limit(MAX_HOT_KEYS)
-        .select(*keys, F.least(F.ceil(F.col("_n") / hot_rows), F.lit(MAX_SALTS)).cast("int").alias("_salts"))
+        .select(*keys, F.ceil(F.col("_n") / hot_rows).cast("int").alias("_salts"))
     )
 
 
@@ -50,10 +46,18 @@ def same_keys(left: DataFrame, right: DataFrame, keys: list[str]):
 def salted_join(
     fact: DataFrame, other: DataFrame, keys: list[str], how: str, spread: list[str], hot_rows: int = HOT_ROWS
 ) -> DataFrame:
-    """Equi-join whose hot fact keys are split over salts; ``other`` is repeated for those keys only."""
+    """Equi-join whose hot fact keys are split over salts; ``other`` is repeated for those keys only.
+
+    Rows with a null key match nothing, so they are spread over salts that ``other`` does not have.
+    """
     hot = F.broadcast(hot_keys(fact, keys, hot_rows))
+    null_key = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
+    place = F.xxhash64(*spread)
     salted_fact = fact.join(hot, keys, "left").withColumn(
-        "_salt", F.coalesce(F.pmod(F.xxhash64(*spread), F.col("_salts")).cast("int"), F.lit(0))
+        "_salt",
+        F.when(null_key, -1 - F.pmod(place, F.lit(NULL_SALTS)).cast("int")).otherwise(
+            F.coalesce(F.pmod(place, F.col("_salts")).cast("int"), F.lit(0))
+        ),
     ).drop("_salts")
     salted_other = other.join(hot, keys, "left").withColumn(
         "_salt", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_salts"), F.lit(1)) - 1))

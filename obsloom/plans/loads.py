@@ -15,6 +15,8 @@ from obsloom.operators.snapshot import latest_snapshot
 from obsloom.sources.landing import Landing, bounds_as_text
 
 STATIONS, LOG = "land_obs_stations", "land_obs_load_log"
+#: When a station was last planned and run, whether or not it delivered; of the same form as the log.
+ATTEMPTS = "land_obs_attempt_log"
 KINDS = {"land_obs_daily": ("daily", "day"), "land_obs_hourly": ("hourly", "hour")}
 
 # Stations per increment unless a number is given.
@@ -29,6 +31,7 @@ def next_initial(landing: Landing, table: str, *, countries=("US",), states=(),
     return plan_initial(
         latest_snapshot(landing.source(STATIONS), "snapshot_time"), landing.source(LOG), table,
         start=f"{kind}_start", end=f"{kind}_end", filters={"country": countries, "region": states}, n=batch_size,
+        attempts=landing.source(ATTEMPTS),
     )
 
 
@@ -41,14 +44,14 @@ def next_incremental(
     return plan_incremental(
         latest_snapshot(landing.source(STATIONS), "snapshot_time"), landing.source(table),
         start=f"{kind}_start", end=f"{kind}_end", step=step, now=now,
-        filters={"country": countries, "region": states}, n=size,
+        filters={"country": countries, "region": states}, n=size, attempts=landing.source(ATTEMPTS), table=table,
     )
 
 
 def land_and_log(
     landing: Landing, batch: DataFrame, table: str, planned: DataFrame, now: Column, log_failures: bool = False
 ) -> None:
-    """Land the delivered rows of the planned stations, then log those stations.
+    """Land the delivered rows of the planned stations, then log those stations, and all planned ones as tried.
 
     Logged are stations that delivered rows; with ``log_failures`` all planned ones, so that a
     station whose delivery failed or was empty is not tried again.
@@ -58,10 +61,11 @@ def land_and_log(
         planned.select("station_id"), "station_id", "left_semi"
     )
     log_loaded(landing, table, done, now)
+    log_loaded(landing, table, planned.select("station_id"), now, ATTEMPTS)
 
 
-def log_loaded(landing: Landing, table: str, stations: DataFrame, now: Column) -> None:
-    log = landing.small(LOG)
+def log_loaded(landing: Landing, table: str, stations: DataFrame, now: Column, name: str = LOG) -> None:
+    log = landing.small(name)
     log.replace(upsert_log(log.read(), stations, table, now))
 
 
@@ -76,3 +80,4 @@ def land_increment(landing: Landing, batch: DataFrame, table: str, planned: Data
             update_bounds(stations.read(), ends, id_="id", column=f"{kind}_end", spread=["snapshot_time"])
         )
         log_loaded(landing, table, planned.select("station_id"), now)
+    log_loaded(landing, table, planned.select("station_id"), now, ATTEMPTS)

@@ -101,7 +101,7 @@ class Warehouse:
         best = token_match(
             coords, located,
             left_id="uace", left_text="city_name",
-            left_regions=parts_of(F.split_part("city_name", F.lit(","), F.lit(2)), "--", w.MAX_CITY_STATES),
+            left_regions=parts_of(F.split_part("city_name", F.lit(","), F.lit(2)), "--"),
             right_id="city_pop_id", right_text="city_name", right_region=F.col("_state"),
         )
         names = pops.select("city_pop_id", F.col("city_name").alias("pop_city_name"), "population_2023")
@@ -167,7 +167,7 @@ class Warehouse:
 
     @cached_property
     def mart_hour_dim(self) -> DataFrame:
-        return dims.hour_dim(self.stg_obs_daily.sparkSession)
+        return dims.hour_dim(self.stg_obs_daily.sparkSession, w.LAST_HOUR)
 
     @cached_property
     def mart_obs_fact(self) -> DataFrame:

@@ -116,7 +116,7 @@ CITY_COORD_NAMES = {
     "LONGITUDE": "longitude",
     "last_load_time": "last_load_time",
 }
-MAX_CITY_STATES = 4
+LAST_HOUR = 23  # the published hour table leaves it out
 
 CITY_DIM_NAMES = {
     "city_coord_pop_id": "city_coord_pop_id",

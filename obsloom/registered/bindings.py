@@ -43,12 +43,12 @@ _HOURLY = _select(
         "station_id": "CAST(user_id AS STRING)",
         "load_time": _LOADED,
     },
-    "events WHERE event_type IN ('view', 'signup', 'error')",
+    "events",
 )
 
 _DAILY = _select(
     {
-        "time": "CAST(ts AS DATE)",
+        "time": "CAST(ts AS DATE) + 2",
         "tavg": "avg(value) / 7.0013e0 - 5",
         "tmin": "min(value) / 7.0013e0 - 5",
         "tmax": "CASE WHEN max(value) <= 60 THEN max(value) / 7.0013e0 - 5 END",
@@ -62,7 +62,7 @@ _DAILY = _select(
         "station_id": "CAST(user_id AS STRING)",
         "load_time": _LOADED,
     },
-    "events WHERE event_type IN ('click', 'view') GROUP BY user_id, CAST(ts AS DATE)",
+    "events GROUP BY user_id, CAST(ts AS DATE)",
 )
 
 

@@ -348,7 +348,7 @@ QUALIFY row_number() OVER (PARTITION BY left_key ORDER BY total_matched_chars DE
 
     @registry.add(
         "hour_dim",
-        "SELECT h.hour, lpad(CAST(h.hour AS VARCHAR), 2, '0') || ':00' AS hour_label, count(e.ts) AS n_events FROM range(0, 23) h(hour) "
+        "SELECT h.hour, lpad(CAST(h.hour AS VARCHAR), 2, '0') || ':00' AS hour_label, count(e.ts) AS n_events FROM range(0, 24) h(hour) "
         "LEFT JOIN events e ON hour(e.ts) = h.hour GROUP BY h.hour",
     )
     def hour_dim(spark, sf_dir):

@@ -148,8 +148,8 @@ _CTES = {
     "obs_daily_all": f"SELECT station_date_id, station_id, obs_date, {', '.join(w.DAY_COLUMNS)} FROM obs_daily_all_qc",
     "obs_daily_all_window": _window("obs_daily_all", w.DAY_COLUMNS),
     "coords": (
-        "SELECT *, list_distinct(list_transform(range(1, 5), "
-        "lambda i: trim(split_part(split_part(city_name, ',', 2), '--', i)))) AS states FROM stg_city_coord"
+        "SELECT *, list_distinct(list_transform("
+        "string_split(split_part(city_name, ',', 2), '--'), lambda x: trim(x))) AS states FROM stg_city_coord"
     ),
     "pops": (
         f"SELECT p.*, s.code AS state FROM stg_city_pop p LEFT JOIN (VALUES {_pairs(US_STATES)}) s(code, full_name) "

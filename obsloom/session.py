@@ -15,6 +15,8 @@ DEFAULTS = {
     "spark.sql.parquet.filterPushdown": "true",
     "spark.sql.optimizer.dynamicPartitionPruning.enabled": "true",
     "spark.checkpoint.compress": "true",
+    # Checkpoints go once nothing refers to them any more.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     # State of long-running rollups is kept on disk, not in the executors' heap.
     "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
 }
@@ -39,11 +41,13 @@ def configure(builder: SparkSession.Builder, **extra: str) -> SparkSession.Build
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Use the cluster's ``spark.checkpoint.dir``; make a local one only where none is set."""
+    """Use the cluster's ``spark.checkpoint.dir``; where none is set, make a folder in local mode and raise elsewhere."""
     context = spark.sparkContext
     if context.getCheckpointDir() is not None:
         return
     shared = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir")
+    if not shared and not context.master.startswith("local[") and context.master != "local":
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
     context.setCheckpointDir(shared or tempfile.mkdtemp(prefix="obsloom-checkpoint-"))
 
 

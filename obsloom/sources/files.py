@@ -5,17 +5,32 @@ from __future__ import annotations
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import ArrayType, StructType
 
 
 def read_csv(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    """A headed CSV whose header must agree with ``schema``."""
-    return spark.read.schema(schema).csv(path, header=True, enforceSchema=False, escape='"')
+    """A headed CSV whose header must agree with ``schema``; a malformed row raises."""
+    return spark.read.schema(schema).csv(path, header=True, enforceSchema=False, escape='"', mode="FAILFAST")
 
 
-def read_json(spark: SparkSession, path: str, schema: StructType, array: bool = True) -> DataFrame:
-    """JSON records. A file holding one array is read by one task; records per line are split."""
-    return spark.read.schema(schema).json(path, multiLine=array)
+#: Reader options by format under which malformed records raise instead of turning into nulls.
+STRICT = {"csv": {"header": True, "mode": "FAILFAST"}, "json": {"mode": "FAILFAST"}}
+
+
+def read_json(spark: SparkSession, path: str, schema: StructType, array: bool = False) -> DataFrame:
+    """JSON records, one per line, or with ``array`` one array per file, which is then read by one task.
+
+    A malformed record raises, and so does a file that holds anything but one array: the reader would
+    otherwise keep its first value only.
+    """
+    if not array:
+        return spark.read.schema(schema).json(path, mode="FAILFAST")
+    whole = spark.read.text(path, wholetext=True)
+    text = F.trim(F.regexp_replace("value", r"^\s+|\s+$", ""))
+    single = text.startswith("[") & text.endswith("]") & ~text.rlike(r"\]\s*\[")
+    checked = F.when(single, text).otherwise(F.raise_error(F.lit(f"not one JSON array per file: {path}")))
+    records = F.from_json(checked, ArrayType(schema), {"mode": "FAILFAST"})
+    return whole.select(F.explode(records).alias("r")).select("r.*")
 
 
 def write_json(df: DataFrame, path: str, snapshot_time: Column) -> None:

@@ -8,6 +8,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from obsloom.functions.calendar import iso_timestamp
 from obsloom.operators.incremental import new_rows, stamp
+from obsloom.operators.skew import same_keys
 from obsloom.sources import files
 from obsloom.sources.schemas import LANDING, without
 from obsloom.sources.versioned import VersionedTable
@@ -46,19 +47,28 @@ class Landing:
         text = F.date_format(loaded_at, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
         self.small(name).replace(delivered.withColumn("last_load_time", F.concat(text, F.lit("+00:00"))))
 
-    def load_stations(self, path: str, array: bool = True) -> None:
-        """Append a delivered station snapshot."""
-        name = "land_obs_stations"
-        self.small(name).append(files.read_json(self.spark, path, LANDING[name], array))
+    def load_stations(self, path: str, array: bool = False) -> None:
+        """Append a delivered station snapshot; stations of a snapshot that are stored already are left out."""
+        stored = self.small("land_obs_stations")
+        rows = files.read_json(self.spark, path, stored.schema, array).dropDuplicates(["id", "snapshot_time"])
+        kept = stored.read().select("id", "snapshot_time").distinct()
+        stored.append(rows.join(kept, same_keys(rows, kept, ["id", "snapshot_time"]), "left_anti"))
 
     def land(self, batch: DataFrame, name: str, load_time: Column, station: Column | None = None, dedupe: bool = True) -> None:
         """Stamp a batch of observations and append it.
 
         With ``dedupe``, rows whose station and time are stored already are left out, so a batch
-        that is landed twice adds nothing. Only the stored months that the batch touches are read.
+        that is landed twice adds nothing, and each station and time is stored once. Only the stored
+        months that the batch touches are read. Rows without station or time go to a table of their
+        own, ``<name>_rejected``.
         """
         month = F.date_format("time", "yyyy-MM").alias(MONTH)
         rows = stamp(batch, load_time, station).select("*", month)
+        keyed = F.col("station_id").isNotNull() & F.col("time").isNotNull()
+        rejected = rows.where(~keyed)
+        if not rejected.isEmpty():
+            files.append(rejected, self.path(f"{name}_rejected"), LANDING[name])
+        rows = rows.where(keyed)
         if dedupe:
             months = rows.select(MONTH).distinct()
             stored = self._facts(name).join(F.broadcast(months), MONTH, "left_semi")

@@ -40,10 +40,10 @@ _COLUMNS = {
     ),
     "land_city_pop": "Rank int, Geographic_Area string, Population_In_2023 string, last_load_time string",
     "land_obs_load_log": "station_id string, last_fetched timestamp_ntz, table_name string",
+    "land_obs_attempt_log": "station_id string, last_fetched timestamp_ntz, table_name string",
 }
 
 
-
 def _schema(columns: str) -> StructType:
     pairs = (column.split() for column in columns.split(", "))
     return StructType([StructField(name, _TYPES[kind]) for name, kind in pairs])

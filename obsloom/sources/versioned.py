@@ -1,33 +1,43 @@
 """Small tables that a job reads and rewrites.
 
-Each rewrite goes to a new ``version=N`` folder, and readers take the newest one. A failed write
-leaves the version before it in place, so a run that is repeated finds what it needs. The last few
-versions are kept for jobs that still read them.
+Each rewrite, and each append, goes to a new ``version=N`` folder. A version counts once its write has
+been committed, which the ``_SUCCESS`` file shows: what a failed write left behind is never read, and
+its number is not used again. Two jobs that write the same version do not overwrite each other; the
+second one fails and can be repeated. Versions are kept for a day for jobs that still read them.
 """
 
 from __future__ import annotations
 
 import re
+import time
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
-from obsloom.sources.files import aligned, path_exists, read_parquet
+from obsloom.sources.files import aligned, read_parquet
 
-
-KEPT_VERSIONS = 10
+KEPT_SECONDS = 24 * 3600
 
 
 class VersionedTable:
     def __init__(self, spark: SparkSession, path: str, schema: StructType):
         self.spark, self.path, self.schema = spark, path, schema
 
+    def _folders(self) -> dict[int, float | None]:
+        """The version folders with the time of their commit in seconds, None without one."""
+        system, folder = self._at(self.path)
+        if not system.exists(folder):
+            return {}
+        out = {}
+        for status in system.listStatus(folder):
+            if m := re.fullmatch(r"version=(\d+)", status.getPath().getName()):
+                _, mark = self._at(f"{self.path}/version={m.group(1)}/_SUCCESS")
+                out[int(m.group(1))] = system.getFileStatus(mark).getModificationTime() / 1000 if system.exists(mark) else None
+        return out
+
     def versions(self) -> list[int]:
-        """Stored versions, oldest first, from the names of the table's files."""
-        if not path_exists(self.spark, self.path, self.schema):
-            return []
-        files = read_parquet(self.spark, self.path, self.schema).inputFiles()
-        return sorted({int(m.group(1)) for f in files if (m := re.search(r"/version=(\d+)/", f))})
+        """Committed versions, oldest first."""
+        return sorted(v for v, done in self._folders().items() if done is not None)
 
     def version(self) -> int | None:
         return max(self.versions(), default=None)
@@ -39,22 +49,24 @@ class VersionedTable:
         return read_parquet(self.spark, f"{self.path}/version={version}", self.schema)
 
     def replace(self, df: DataFrame) -> None:
-        """Store ``df`` as the next version and let go of versions that are out of use."""
-        stored = self.versions()
-        following = max(stored, default=0) + 1
-        aligned(df, self.schema).write.mode("overwrite").parquet(f"{self.path}/version={following}")
-        for old in stored:
-            if old <= following - KEPT_VERSIONS:
-                self._delete(f"{self.path}/version={old}")
-
-    def _delete(self, folder: str) -> None:
+        """Store ``df`` as the next version and let go of versions replaced long ago."""
+        folders = self._folders()
+        aligned(df, self.schema).write.mode("error").parquet(f"{self.path}/version={max(folders, default=0) + 1}")
+        committed = sorted((v, done) for v, done in folders.items() if done is not None)
+        for (old, _), (_, replaced) in zip(committed, committed[1:]):
+            if replaced < time.time() - KEPT_SECONDS:
+                system, folder = self._at(f"{self.path}/version={old}")
+                system.delete(folder, True)
+
+    def _at(self, path: str):
+        """The file system of ``path`` and the path in its terms."""
         context = self.spark.sparkContext
-        path = context._jvm.org.apache.hadoop.fs.Path(folder)
-        path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
+        folder = context._jvm.org.apache.hadoop.fs.Path(path)
+        return folder.getFileSystem(context._jsc.hadoopConfiguration()), folder
 
     def append(self, df: DataFrame) -> None:
-        """Add rows to the newest version, creating the table if it is absent."""
-        aligned(df, self.schema).write.mode("append").parquet(f"{self.path}/version={self.version() or 1}")
+        """Store the newest version with more rows as the next one."""
+        self.replace(self.read().unionByName(aligned(df, self.schema)))
 
     def ensure(self) -> None:
         """Create the table, empty, if it is absent."""

@@ -7,6 +7,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from obsloom.functions.calendar import utc_now
 from obsloom.plans.loads import log_loaded
+from obsloom.sources.files import STRICT
 from obsloom.sources.landing import Landing
 from obsloom.sources.schemas import LANDING, without
 
@@ -29,15 +30,19 @@ def stream_land(
     """
     spark = landing.spark
     reader = spark.readStream.schema(without(LANDING[table], "load_time")).format(file_format)
-    for name, value in (options or {}).items():
+    for name, value in {**STRICT.get(file_format, {}), **(options or {})}.items():
         reader = reader.option(name, value)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
 
     def land_batch(batch: DataFrame, _batch_id: int) -> None:
         now = utc_now()
-        landing.land(batch, table, now)
-        log_loaded(landing, table, batch.select("station_id").distinct(), now)
+        batch = batch.persist()  # its files would otherwise be parsed for the months, the rows and the log
+        try:
+            landing.land(batch, table, now)
+            log_loaded(landing, table, batch.select("station_id").dropna().distinct(), now)
+        finally:
+            batch.unpersist()
 
     writer = reader.load(directory).writeStream.option("checkpointLocation", checkpoint).foreachBatch(land_batch)
     trigger = {"processingTime": every} if every else {"availableNow": True}

@@ -55,8 +55,8 @@ def test_digits(spark):
 
 def test_parts_and_tokens(spark):
     name = "New York--Newark, NY--NJ"
-    states = text.parts_of(F.split_part("t", F.lit(","), F.lit(2)), "--", 4)
-    assert one(spark, states, t=name) == ["NY", "NJ", "", ""]
+    states = text.parts_of(F.split_part("t", F.lit(","), F.lit(2)), "--")
+    assert one(spark, states, t=name) == ["NY", "NJ"]
     assert one(spark, text.nth_part("t", ",", -1), t=name) == "NY--NJ"
     assert one(spark, text.word_tokens("t"), t="Big (City)") == ["big", "city", ""]
 
@@ -82,9 +82,9 @@ def test_iso_week_of_december(spark):
     assert one(spark, calendar.date_parts("d")["week_of_year"], d=F.lit(dt.date(2024, 12, 30))) == 1
 
 
-def test_hour_dim_leaves_out_the_last_hour_by_default(spark):
-    assert dims.hour_dim(spark).count() == 23 and dims.hour_dim(spark).filter("hour = 23").isEmpty()
-    assert dims.hour_dim(spark, 24).filter("hour = 23").first()["hour_label"] == "23:00"
+def test_hour_dim_has_all_hours_unless_told_otherwise(spark):
+    assert dims.hour_dim(spark, 23).count() == 23 and dims.hour_dim(spark, 23).filter("hour = 23").isEmpty()
+    assert dims.hour_dim(spark).filter("hour = 23").first()["hour_label"] == "23:00"
 
 
 def test_lookup_tables():

@@ -28,7 +28,9 @@ def test_from_files_to_marts(spark, tmp_path):
         "UACE,GEOID,GEOID_2,NAME,NAME_2,AREA_LAND,AREA_WATER,LATITUDE,LONGITUDE\n007,1,1,\"York, NY\",York,1,1,40.1,-70.1\n"
     )
     (tmp_path / "pop.csv").write_text('Rank,Geographic_Area,Population_In_2023\n1,"York city, New York","1,234"\n2,"Rome city, Georgia",5\n')
-    job("load-stations", "--json", tmp_path / "stations.json")
+    for _ in range(2):  # the second run adds nothing
+        job("load-stations", "--json", tmp_path / "stations.json", "--array")
+    assert Landing(spark, lake).source("land_obs_stations").count() == 3
     job("load-cities", "--coord", tmp_path / "coord.csv", "--pop", tmp_path / "pop.csv")
 
     def deliver(name, *observed):
@@ -66,5 +68,9 @@ def test_from_files_to_marts(spark, tmp_path):
     assert len(job("check", "--marts", marts)) == 35
 
     job("land", "--table", "land_obs_daily", "--plan", plan, "--files", deliver("null", {"tavg": 1.0, "station_id": "1"}), "--format", "json")
-    with pytest.raises(SystemExit, match="stg_obs_daily.obs_date not_null: 1"):
+    assert len(job("check", "--marts", marts)) == 35
+    assert rows(spark.read.parquet(f"{lake}/land_obs_daily_rejected"), "station_id", "tavg") == [("1", 1.0)]
+
+    spark.createDataFrame([("1", 1)], "station_id string, n int").write.mode("overwrite").parquet(f"{marts}/mart_stations_dim.parquet")
+    with pytest.raises(Exception, match="stations|column|COLUMN"):
         job("check", "--marts", marts)

@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 import json
 
+import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
@@ -125,17 +126,23 @@ def test_log_rows_are_replaced_per_table(spark):
     ]
 
 
-def test_versions_survive_a_rewrite_from_themselves(spark, tmp_path):
+def test_versions_survive_a_rewrite_from_themselves(spark, tmp_path, monkeypatch):
     table = VersionedTable(spark, str(tmp_path / "log"), LANDING[LOG])
     assert table.version() is None and table.read().count() == 0
     table.ensure()
     assert table.version() == 1 and table.read().count() == 0
     table.append(spark.createDataFrame([("a", NOW, HOURLY)], LANDING[LOG]))
     table.replace(table.read().unionByName(table.read()))
-    assert table.version() == 2 and table.read().count() == 2
-    for _ in range(11):
-        table.replace(table.read())
-    assert table.versions() == list(range(4, 14)) and table.read().count() == 2
+    assert table.version() == 3 and table.read().count() == 2
+    partial = tmp_path / "log" / "version=4"
+    spark.createDataFrame([("z", NOW, HOURLY)], LANDING[LOG]).write.parquet(str(partial))
+    (partial / "_SUCCESS").unlink()
+    assert table.version() == 3 and table.read().count() == 2  # what was not committed is not read
+    table.replace(table.read())
+    assert table.versions() == [1, 2, 3, 5] and table.read().count() == 2
+    monkeypatch.setattr("obsloom.sources.versioned.KEPT_SECONDS", -60)
+    table.replace(table.read())
+    assert table.versions() == [5, 6] and table.read().count() == 2
 
 
 def test_csv_keeps_leading_zeros_and_replaces(spark, tmp_path):
@@ -155,14 +162,49 @@ def test_json_array_and_lines(spark, tmp_path):
     record = {"id": "001", "name": "Zürich", "country": "CH", "latitude": 47.4, "hourly_start": "2024-01-01T00:00:00.000Z", "snapshot_time": "t1"}
     path = tmp_path / "stations.json"
     path.write_text(json.dumps([record, {**record, "id": "002"}], indent=2, ensure_ascii=False))
-    landing.load_stations(str(path))
+    landing.load_stations(str(path), array=True)
     files.write_json(landing.source("land_obs_stations").drop("snapshot_time"), str(tmp_path / "again"), F.lit("t2"))
     text = "".join(p.read_text() for p in (tmp_path / "again").glob("*.json"))
     assert "Zürich" in text and '"wmo":null' in text
-    landing.load_stations(str(tmp_path / "again"), array=False)
+    for _ in range(2):  # the second time nothing is new
+        landing.load_stations(str(tmp_path / "again"))
     assert rows(landing.source("land_obs_stations"), "id", "snapshot_time") == [("001", "t1"), ("001", "t2"), ("002", "t1"), ("002", "t2")]
 
 
+@pytest.mark.parametrize("array, text", [
+    (True, '{"id": "1"}\n{"id": "2"}'), (True, '[{"id": "1"}]\n[{"id": "2"}]'), (True, '[{"id": "1"}, {"id"]'), (False, 'not json'), (False, '{"id": "1", "latitude": "x"}'),
+])
+def test_malformed_stations_raise(spark, tmp_path, array, text):
+    (tmp_path / "s.json").write_text(text)
+    with pytest.raises(Exception, match="JSON|MALFORMED|FAILFAST"):
+        Landing(spark, str(tmp_path / "lake")).load_stations(str(tmp_path / "s.json"), array)
+
+
+def test_malformed_csv_raises(spark, tmp_path):
+    (tmp_path / "pop.csv").write_text('Rank,Geographic_Area,Population_In_2023\nx1,"York city, New York",5\n')
+    with pytest.raises(Exception, match="MALFORMED|FAILFAST"):
+        Landing(spark, str(tmp_path / "lake")).load_csv(str(tmp_path / "pop.csv"), "land_city_pop", now())
+
+
+def test_landing_stores_each_station_and_time_once(spark, tmp_path):
+    landing, later = Landing(spark, str(tmp_path / "lake")), NOW + dt.timedelta(hours=1)
+    batch = observations(spark, ("a", NOW), ("a", NOW), (None, NOW), ("b", None), ("b", later))
+    conflict = batch.withColumn("temp", F.when(F.col("station_id") == "b", 5.0).otherwise(F.col("temp")))
+    for b in (batch.unionByName(batch.withColumn("temp", F.lit(-50.0))), batch, conflict):
+        landing.land(b, HOURLY, now())
+    assert rows(landing.source(HOURLY), "station_id", "time") == [("a", NOW), ("b", later)]
+    assert spark.read.parquet(f"{tmp_path}/lake/{HOURLY}_rejected").select("station_id").distinct().count() == 2
+
+
+def test_a_silent_station_does_not_block_the_others(spark, tmp_path):
+    landing, planned = landing_with(spark, tmp_path, station("a"), station("b"), station("c")), []
+    for day in range(4):
+        plan = loads.next_initial(landing, HOURLY)
+        planned += [r["station_id"] for r in plan.collect()]
+        loads.land_and_log(landing, observations(spark).limit(0), HOURLY, plan, utc(NOW + dt.timedelta(days=day)))
+    assert planned == ["a", "b", "c", "a"] and landing.source(LOG).count() == 0
+
+
 def deliver(tmp_path, name, *observed):
     folder = tmp_path / "delivered"
     folder.mkdir(exist_ok=True)
