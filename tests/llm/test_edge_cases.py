@@ -6,6 +6,7 @@ import sys
 from pathlib import Path
 
 import pytest
+from corpus_fixtures import odd_rows, prose  # noqa: F401
 from pyspark.sql import functions as F
 
 sys.path.insert(0, str(Path(__file__).resolve().parent.parent.parent))

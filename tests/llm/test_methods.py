@@ -11,6 +11,7 @@ from pathlib import Path
 
 import numpy as np
 import pytest
+from corpus_fixtures import prose  # noqa: F401
 
 sys.path.insert(0, str(Path(__file__).resolve().parent.parent.parent))
 
