@@ -283,27 +283,34 @@ def _register_dimensions(registry: Registry) -> None:
     def words(text_sql: str) -> str:
         return f"unnest(regexp_split_to_array(lower({text_sql}), '[^a-z0-9]+')) AS word"
 
-    @registry.add(
-        "token_match",
-        f"""WITH l AS (SELECT p_partkey AS left_key, p_type AS state, {words("p_name || ' ' || p_type")} FROM part),
+    matched_sql = f"""WITH l AS (SELECT p_partkey AS left_key, p_type AS state, {words("p_name || ' ' || p_type")} FROM part),
 r AS (SELECT p_partkey AS right_key, p_type AS state, {words("p_name || ' ' || p_brand")} FROM part),
 m AS (SELECT left_key, right_key, word FROM l JOIN r USING (word, state) WHERE word <> '')
 SELECT left_key, right_key, CAST(sum(length(word)) AS BIGINT) AS total_matched_chars, count(*) AS matched_token_count,
   CAST(coalesce(sum(length(word)) FILTER (WHERE word <> 'red'), 0) AS BIGINT) AS total_matched_chars_no_city,
   count(*) FILTER (WHERE word <> 'red') AS matched_token_count_no_city
 FROM m GROUP BY left_key, right_key
-QUALIFY row_number() OVER (PARTITION BY left_key ORDER BY total_matched_chars DESC, matched_token_count DESC, right_key) = 1""",
-    )
-    def token_match(spark, sf_dir):
+QUALIFY row_number() OVER (PARTITION BY left_key ORDER BY total_matched_chars DESC, matched_token_count DESC, right_key) = 1"""
+
+    def matched(spark, sf_dir, **limits):
         part = table(spark, sf_dir, "part")
         names = {side: F.concat_ws(" ", "p_name", other) for side, other in (("left", "p_type"), ("right", "p_brand"))}
         return matching.token_match(
             part.withColumn("name", names["left"]), part.withColumn("name", names["right"]),
             left_id="p_partkey", left_text="name", left_regions=F.array("p_type"),
             right_id="p_partkey", right_text="name", right_region=F.col("p_type"), stop_word="red",
-            left_as="left_key", right_as="right_key",
+            left_as="left_key", right_as="right_key", **limits,
         )
 
+    @registry.add("token_match", matched_sql)
+    def token_match(spark, sf_dir):
+        return matched(spark, sf_dir)
+
+    @registry.add("token_match_common", matched_sql)
+    def token_match_common(spark, sf_dir):
+        """The form for many names, with words of more than three names handled apart."""
+        return matched(spark, sf_dir, common_rows=3, direct_pairs=0)
+
     points = "round(c_lat, 6) AS c_lat, round(c_lon, 6) AS c_lon, round(s_lat, 6) AS s_lat, round(s_lon, 6) AS s_lon"
 
     @registry.add(
@@ -389,13 +396,32 @@ QUALIFY row_number() OVER (PARTITION BY left_key ORDER BY total_matched_chars DE
             table(spark, sf_dir, "orders"), ["o_custkey"], ["o_totalprice"], ["o_orderkey"], ["o_orderpriority"]
         )
 
+    ranked_sql = "SELECT o_custkey, o_orderkey, o_totalprice, row_number() OVER (PARTITION BY o_custkey ORDER BY o_totalprice, o_orderkey) AS price_rank FROM orders"
+
+    def ranked(spark, sf_dir, **limits):
+        orders = table(spark, sf_dir, "orders").select("o_custkey", "o_orderkey", "o_totalprice")
+        return ranking.rank_within(orders, ["o_custkey"], [F.col("o_totalprice").asc(), F.col("o_orderkey").asc()], "price_rank", **limits)
+
+    @registry.add("rank_within", ranked_sql)
+    def rank_within(spark, sf_dir):
+        return ranked(spark, sf_dir)
+
+    @registry.add("rank_within_pieces", ranked_sql)
+    def rank_within_pieces(spark, sf_dir):
+        """The form for groups that no task should hold."""
+        return ranked(spark, sf_dir, group_rows=5)
+
     @registry.add(
-        "rank_within",
-        "SELECT o_custkey, o_orderkey, o_totalprice, row_number() OVER (PARTITION BY o_custkey ORDER BY o_totalprice, o_orderkey) AS price_rank FROM orders",
+        "lookup_join_salted",
+        "SELECT l_orderkey, l_linenumber, CASE WHEN l_returnflag <> 'N' THEN l_suppkey END AS supplier, s_name FROM lineitem "
+        "LEFT JOIN supplier ON s_suppkey = CASE WHEN l_returnflag <> 'N' THEN l_suppkey END",
     )
-    def rank_within(spark, sf_dir):
-        orders = table(spark, sf_dir, "orders").select("o_custkey", "o_orderkey", "o_totalprice")
-        return ranking.rank_within(orders, ["o_custkey"], [F.col("o_totalprice").asc(), F.col("o_orderkey").asc()], "price_rank")
+    def lookup_join_salted(spark, sf_dir):
+        """The form for a large second side, with hot keys and many null ones."""
+        supplier = F.when(F.col("l_returnflag") != "N", F.col("l_suppkey"))
+        lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", supplier.alias("supplier"))
+        names = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("supplier"), "s_name")
+        return lookup_join(lines, names, ["supplier"], "left", spread=["l_orderkey", "l_linenumber"], broadcast_rows=0, hot_rows=100)
 
 
 _LINE_KEYS = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
