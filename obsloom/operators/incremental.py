@@ -78,7 +78,7 @@ def high_water(facts: DataFrame, key: str, time: str) -> DataFrame:
 
 def plan_incremental(
     stations: DataFrame,
-    facts: DataFrame,
+    facts: DataFrame | None,
     *,
     id_: str = "id",
     start: str,
@@ -91,16 +91,19 @@ def plan_incremental(
     n: int | None = 5,
     attempts: DataFrame | None = None,
     table: str | None = None,
+    marks: DataFrame | None = None,
 ) -> DataFrame:
     """The time range each station still lacks; ``attempts`` orders as in :func:`plan_initial`.
 
+    ``marks`` (station_id, last_time) take the place of reading the latest times from ``facts``.
+
     From one ``step`` after its latest fact (or its own start, if it has none) to its own end or
     ``now``, whichever is earlier. Empty ranges are left out: by day with step ``day``.
     """
     ranges = (
         _candidates(stations, id_, start, end, filters)
         .distinct()
-        .join(high_water(facts, key, time), "station_id", "left")
+        .join(high_water(facts, key, time) if marks is None else marks, "station_id", "left")
         .select(
             "station_id",
             F.coalesce(

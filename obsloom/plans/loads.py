@@ -45,6 +45,7 @@ def next_incremental(
         latest_snapshot(landing.source(STATIONS), "snapshot_time"), landing.source(table),
         start=f"{kind}_start", end=f"{kind}_end", step=step, now=now,
         filters={"country": countries, "region": states}, n=size, attempts=landing.source(ATTEMPTS), table=table,
+        marks=landing.marks(table),
     )
 
 

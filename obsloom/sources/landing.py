@@ -7,13 +7,14 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from obsloom.functions.calendar import iso_timestamp
-from obsloom.operators.incremental import new_rows, stamp
+from obsloom.operators.incremental import high_water, new_rows, stamp
 from obsloom.operators.skew import same_keys
 from obsloom.sources import files
 from obsloom.sources.schemas import LANDING, without
 from obsloom.sources.versioned import VersionedTable
 
 FACTS = ("land_obs_daily", "land_obs_hourly")
+HIGH_WATER = "land_obs_high_water"
 MONTH = "obs_month"
 
 
@@ -74,6 +75,28 @@ class Landing:
             stored = self._facts(name).join(F.broadcast(months), MONTH, "left_semi")
             rows = new_rows(rows, stored, ["station_id", "time"])
         files.append(rows, self.path(name), LANDING[name], [MONTH])
+        self._raise_marks(name, batch if station is None else batch.withColumn("station_id", station))
+
+    def _raise_marks(self, name: str, batch: DataFrame) -> None:
+        """Keep the latest stored time per station beside the log, so that planning reads no facts.
+
+        The first landing takes the times of what was stored before from the facts themselves.
+        """
+        marks = self.small(HIGH_WATER)
+        if marks.version() is None:
+            parts = [high_water(self._facts(t), "station_id", "time").withColumn("table_name", F.lit(t)) for t in FACTS]
+        else:
+            keyed = batch.where(F.col("station_id").isNotNull() & F.col("time").isNotNull())
+            parts = [marks.read(), high_water(keyed, "station_id", "time").withColumn("table_name", F.lit(name))]
+        latest = parts[0].select("station_id", "last_time", "table_name").unionByName(parts[1])
+        marks.replace(latest.groupBy("station_id", "table_name").agg(F.max("last_time").alias("last_time")))
+
+    def marks(self, name: str) -> DataFrame | None:
+        """``(station_id, last_time)`` of a table of observations; None before anything has landed."""
+        marks = self.small(HIGH_WATER)
+        if marks.version() is None:
+            return None
+        return marks.read().where(F.col("table_name") == name).select("station_id", "last_time")
 
 
 def bounds_as_text(ts) -> Column:

@@ -40,6 +40,7 @@ _COLUMNS = {
     ),
     "land_city_pop": "Rank int, Geographic_Area string, Population_In_2023 string, last_load_time string",
     "land_obs_load_log": "station_id string, last_fetched timestamp_ntz, table_name string",
+    "land_obs_high_water": "station_id string, last_time timestamp_ntz, table_name string",
     "land_obs_attempt_log": "station_id string, last_fetched timestamp_ntz, table_name string",
 }
 

@@ -205,6 +205,18 @@ def test_a_silent_station_does_not_block_the_others(spark, tmp_path):
     assert planned == ["a", "b", "c", "a"] and landing.source(LOG).count() == 0
 
 
+def test_planning_an_increment_reads_marks_instead_of_facts(spark, tmp_path):
+    landing = landing_with(spark, tmp_path, station("a"), station("b"))
+    landing.land(observations(spark, ("a", NOW - dt.timedelta(days=90)), ("a", NOW - dt.timedelta(days=99))), HOURLY, now())
+    landing.land(observations(spark, ("b", NOW - dt.timedelta(days=80)), (None, NOW)), HOURLY, now())
+    plan = loads.next_incremental(landing, HOURLY, now())
+    assert {r["station_id"]: r["start"] for r in plan.collect()} == {
+        "a": NOW - dt.timedelta(days=90, hours=-1), "b": NOW - dt.timedelta(days=80, hours=-1)
+    }
+    files_read = plan.inputFiles()
+    assert not any(f"/{HOURLY}/" in f for f in files_read) and any("land_obs_high_water" in f for f in files_read)
+
+
 def deliver(tmp_path, name, *observed):
     folder = tmp_path / "delivered"
     folder.mkdir(exist_ok=True)
