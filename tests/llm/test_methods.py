@@ -191,19 +191,19 @@ def test_rake_is_exact_on_one_margin(spark):
 
 
 def test_chains_equal_quadratic_form():
-    draw, k, cost = random.Random(4), chaining.SEED, chaining.GAP_COST
-    for _ in range(40):
-        pairs = sorted({(draw.randrange(60), draw.randrange(60)) for _ in range(draw.randrange(1, 25))})
+    draw = random.Random(4)
+    for _ in range(60):
+        pairs = sorted({(draw.randrange(60), draw.randrange(60)) for _ in range(draw.randrange(1, 40))})
         pos, other = np.array([p for p, _ in pairs]), np.array([q for _, q in pairs])
-        found = chaining.chains(pos, other)
-        assert sorted(i for c in found for i in c) == list(range(len(pairs)))
-        for c in found:
-            assert all(pos[a] < pos[b] and other[a] < other[b] for a, b in zip(c, c[1:], strict=False))
-        plain = []  # the best predecessor by looking at all
+        for cost in (0.0, chaining.GAP_COST):
+            found = chaining.chains(pos, other, gap_cost=cost)
+            assert sorted(i for c in found for i in c) == list(range(len(pairs)))
+            for c in found:
+                assert all(pos[a] < pos[b] and other[a] < other[b] for a, b in zip(c, c[1:], strict=False))
+        longest = []  # without gap costs the best chain is the longest, found here by looking at all predecessors
         for i, (p, q) in enumerate(pairs):
-            before = [plain[j] + cost * sum(pairs[j]) for j in range(i) if pairs[j][0] < p and pairs[j][1] < q]
-            plain.append(max(before, default=0))
-        assert len(found[0]) >= 1
+            longest.append(1 + max((longest[j] for j in range(i) if pairs[j][0] < p and pairs[j][1] < q), default=0))
+        assert len(chaining.chains(pos, other, gap_cost=0.0)[0]) == max(longest)
 
 
 def test_passages_with_edits(spark, prose):
