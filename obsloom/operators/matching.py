@@ -2,8 +2,10 @@
 
 Names repeat, so equal (regions, words) combinations are scored once, on both sides. Words that
 very many right-hand names share are handled apart: a pair is looked up through a rarer word it
-shares, and pairs that share nothing but common words are scored between the few distinct sets
-of common words. The best match is exact either way; no candidate is left out.
+shares. For pairs that share nothing but common words, the best partner of a set of words is the
+best of its subsets that some right-hand name contains, so both sides are joined on subsets: work
+grows with the names times the subsets of a name's few common words, not with pairs of names. The
+best match is exact either way; no candidate is left out.
 """
 
 from __future__ import annotations
@@ -18,6 +20,8 @@ from obsloom.session import materialise
 
 COMMON_WORD_ROWS = 100
 DIRECT_PAIRS = 20_000_000
+#: Sets of up to so many common words are joined on their subsets.
+SUBSET_WORDS = 8
 SCORES = ["total_matched_chars", "matched_token_count"]
 SCORES_NO_STOP = ["total_matched_chars_no_city", "matched_token_count_no_city"]
 
@@ -156,6 +160,38 @@ def _set_score(left_set: str, right_set: str, stop: str) -> list[Column]:
     return [total(f) for f in (chars, times, unless_stop(chars), unless_stop(times))]
 
 
+def _subsets(words: str) -> Column:
+    """All subsets of an array of at most ``SUBSET_WORDS`` elements but the empty one, in its order."""
+    return F.expr(f"transform(sequence(1, shiftleft(1, size({words})) - 1), m -> filter({words}, (w, i) -> getbit(m, i) = 1))")
+
+
+def _by_subsets(left_sets: DataFrame, right_sets: DataFrame, stop: str) -> DataFrame:
+    """Per left set and subset that right names contain: the lowest id of these and the subset's scores.
+
+    A pair's score is that of all it shares, which is one of the subsets; other subsets score less.
+    """
+    tokens = F.transform("_some", lambda w: w.token)
+
+    def total(value) -> Column:
+        return F.aggregate("_some", F.lit(0).cast("bigint"), lambda acc, w: acc + value(w).cast("bigint"))
+
+    def unless_stop(value):
+        return lambda w: F.when(w.token != stop, value(w)).otherwise(0)
+
+    def chars(w):
+        return F.length(w.token) * w.times
+
+    def times(w):
+        return w.times
+
+    held = right_sets.select("state", "_right", F.explode(_subsets("right_set")).alias("_some"))
+    held = held.groupBy("state", tokens.alias("_tokens")).agg(F.min("_right").alias("_right"))
+    asked = left_sets.select("state", "left_set", F.explode(_subsets("left_set")).alias("_some"))
+    scores = [total(f).alias(n) for f, n in zip((chars, times, unless_stop(chars), unless_stop(times)), SCORES + SCORES_NO_STOP, strict=True)]
+    asked = asked.select("state", "left_set", tokens.alias("_tokens"), *scores)
+    return asked.join(held, ["state", "_tokens"]).select("state", "left_set", "_right", *SCORES, *SCORES_NO_STOP)
+
+
 def _scored_apart(left_names: DataFrame, right_names: DataFrame, common: DataFrame, stop: str) -> DataFrame:
     # Each is read several times below.
     left = materialise(_split_words(left_names, ["_name", "state"], common, "left"))
@@ -183,12 +219,24 @@ def _scored_apart(left_names: DataFrame, right_names: DataFrame, common: DataFra
     right_sets = (
         right.filter(F.size("right_set") > 0).groupBy("state", "right_set").agg(F.min("_right").alias("_right"))
     )
-    between = _pair_scores(
-        _exploded(left_sets, "left_set", "left", ["state", "left_set"]),
-        _exploded(right_sets, "right_set", "right", ["state", "_right"]),
-        ["state", "left_set", "_right"],
-        ["left_set"],
-        stop,
+    # On subsets: sets of few words, the right-hand ones without repeats (a left-hand one cannot know how often
+    # the other side repeats a word). The few others are scored pair by pair.
+    few_left = F.size("left_set") <= SUBSET_WORDS
+    few_right = (F.size("right_set") <= SUBSET_WORDS) & F.forall("right_set", lambda w: w.times == 1)
+
+    def by_pairs(some_left: DataFrame, some_right: DataFrame) -> DataFrame:
+        return _pair_scores(
+            _exploded(some_left, "left_set", "left", ["state", "left_set"]),
+            _exploded(some_right, "right_set", "right", ["state", "_right"]),
+            ["state", "left_set", "_right"],
+            ["left_set"],
+            stop,
+        )
+
+    between = (
+        by_pairs(left_sets, right_sets.filter(~few_right))
+        .unionByName(by_pairs(left_sets.filter(~few_left), right_sets.filter(few_right)))
+        .unionByName(_by_subsets(left_sets.filter(few_left), right_sets.filter(few_right), stop))
     )
     best_set = materialise(best_per_key(between, ["state", "left_set"], SCORES, ["_right"], SCORES_NO_STOP))
     shared = lookup_join(
