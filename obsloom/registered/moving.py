@@ -82,6 +82,18 @@ def _register_files(registry: Registry) -> None:
             landing.load_stations(f"{root}/{label}", array=False)
         return landing.source("land_obs_stations")
 
+    @registry.add("json_array_snapshots", LANDING_SQL["land_obs_stations"])
+    def json_array_snapshots(spark, sf_dir):
+        """Stations delivered as files of one JSON array each, loaded twice and stored once."""
+        root = scratch(spark)
+        stations = landing_source(spark, sf_dir)("land_obs_stations")
+        arrays = stations.groupBy(F.pmod(F.xxhash64("id"), F.lit(8)).alias("file")).agg(F.to_json(F.collect_list(F.struct("*"))).alias("value"))
+        arrays.repartition("file").write.partitionBy("file").text(f"{root}/delivered")
+        landing = Landing(spark, root)
+        for _ in range(2):
+            landing.load_stations(f"{root}/delivered", array=True)
+        return landing.source("land_obs_stations")
+
     @registry.add("append_or_create", "SELECT * FROM supplier")
     def append_or_create(spark, sf_dir):
         """Two appends in another column order: the first creates the table."""
@@ -120,6 +132,27 @@ def _register_loads(registry: Registry) -> None:
             landing.land(batch, "land_obs_hourly", _now())
         return _landed(landing, "land_obs_hourly")
 
+    @registry.add("land_conflicts", _landed_sql("land_obs_hourly").replace("FROM landed", "FROM (SELECT * REPLACE (pres + 1 AS pres) FROM landed)"))
+    def land_conflicts(spark, sf_dir):
+        """Two readings of every station and time in one batch, landed twice: one of them is stored."""
+        landing = Landing(spark, scratch(spark))
+        batch = landing_source(spark, sf_dir)("land_obs_hourly").drop("load_time")
+        for _ in range(2):
+            landing.land(batch.unionByName(batch.withColumn("pres", F.col("pres") + 1)), "land_obs_hourly", _now())
+        return _landed(landing, "land_obs_hourly")
+
+    @registry.add(
+        "rejected_rows",
+        _landed_sql("land_obs_hourly").replace("SELECT station_id,", "SELECT CASE WHEN hour(time) <> 3 THEN station_id END AS station_id,", 1),
+    )
+    def rejected_rows(spark, sf_dir):
+        """Rows without a station go to a table of their own; together with the others none is missing."""
+        landing = Landing(spark, scratch(spark))
+        batch = landing_source(spark, sf_dir)("land_obs_hourly").drop("load_time")
+        landing.land(batch.withColumn("station_id", F.when(F.hour("time") != 3, F.col("station_id"))), "land_obs_hourly", _now())
+        rejected = spark.read.parquet(landing.path("land_obs_hourly_rejected"))
+        return _landed(landing, "land_obs_hourly").unionByName(rounded(rejected.select("station_id", "time", *_obs_columns("land_obs_hourly"), "load_time")))
+
     pending = (
         "SELECT id FROM s WHERE snapshot_time = (SELECT max(snapshot_time) FROM s) AND daily_start IS NOT NULL AND daily_end IS NOT NULL AND country = 'US'"
     )
@@ -206,16 +239,6 @@ def _register_loads(registry: Registry) -> None:
 _STREAM_SPEC = [("value_avg", "avg", "value"), ("value_min", "min", "value"), ("value_max", "max", "value"), ("value_sum", "sum", "value")]
 
 
-def _table_stream(spark, sf_dir, name: str):
-    """A table as a file stream, be it one file among others or a folder of files."""
-    path = f"{sf_dir}/{name}.parquet"
-    stored = spark.read.parquet(path)
-    reader = spark.readStream.schema(stored.schema)
-    if any(f.endswith(f"/{name}.parquet") for f in stored.inputFiles()):
-        return reader.option("pathGlobFilter", f"{name}.parquet").parquet(sf_dir)
-    return reader.parquet(path)
-
-
 def _register_streams(registry: Registry) -> None:
     @registry.add(
         "obs_stream_rollup",
@@ -223,9 +246,11 @@ def _register_streams(registry: Registry) -> None:
         "round(avg(value), 6) AS value_avg, min(value) AS value_min, max(value) AS value_max, round(sum(value), 6) AS value_sum FROM events GROUP BY user_id, CAST(ts AS DATE)",
     )
     def obs_stream_rollup(spark, sf_dir):
-        """The events read as a file stream; equal to the batch rollup."""
+        """The events read as a stream of several micro-batches; equal to the batch rollup."""
         root = scratch(spark)
-        stream = _table_stream(spark, sf_dir, "events")
+        events = table(spark, sf_dir, "events")
+        events.repartition(4, "event_id").write.parquet(f"{root}/arriving")  # a day's rows come in several micro-batches
+        stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/arriving")
         rolled = stream_rollup(stream, key="user_id", time="ts", date_as="event_date", spec=_STREAM_SPEC, watermark="60 days")
         write_updates(rolled, f"{root}/updates", f"{root}/progress").awaitTermination()
         return rounded(current_days(spark.read.parquet(f"{root}/updates"), "user_id", "event_date", "user_day_id"))
