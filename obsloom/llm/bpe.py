@@ -69,6 +69,7 @@ class Vocabulary:
         self.pairs = np.array(keys, np.int64)[order]
         self.ranks = np.array(ranks, np.int64)[order]
         self.results = np.array(results, np.int64)[order]
+        self.once = len(set(results)) == len(results)
         self.special = {t["content"]: t["id"] for t in raw.get("added_tokens", [])}
         table = {i: bytes(back[c] for c in token) for token, i in ids.items()} | {i: s.encode() for s, i in self.special.items()}
         tokens = [table.get(i, b"") for i in range(max(table) + 1)]
@@ -84,7 +85,7 @@ class Vocabulary:
         return np.where(hit, self.ranks[at], UNSEEN), self.results[at]
 
     def merge(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of all ``words`` in a row, and how many each has: of each word, the leftmost pair of best rank merges per round."""
+        """Ids of all ``words`` in a row, and how many each has: pairs of each word's best rank merge per round."""
         lengths = np.array([len(w) for w in words], np.int64)
         ids = self.first[np.frombuffer(b"".join(words), np.uint8)]
         word = np.repeat(np.arange(len(words)), lengths)
@@ -110,12 +111,19 @@ class Vocabulary:
                 best, sizes = best[live], sizes[live]
                 starts = np.cumsum(sizes) - sizes
             hits = np.flatnonzero(rank == np.repeat(best, sizes))
-            at = hits[np.concatenate([[True], word[hits[1:]] != word[hits[:-1]]])]  # the leftmost of each word
+            if self.once:
+                # No token has two pairs, so pairs with a token made now rank behind: all of a word's places merge
+                # at once, every second one where they overlap.
+                run = np.flatnonzero(np.concatenate([[True], hits[1:] != hits[:-1] + 1]))
+                place = np.arange(len(hits)) - np.repeat(run, np.diff(np.append(run, len(hits))))
+                at = hits[place % 2 == 0]
+            else:
+                at = hits[np.concatenate([[True], word[hits[1:]] != word[hits[:-1]]])]  # the leftmost of each word
             ids[at] = result[at]
             gone = np.zeros(len(ids), bool)
             gone[at + 1] = True
             stay = ~gone
-            at = at - np.arange(len(at))  # one left out of every word before
+            at = at - np.arange(len(at))  # one left out at every place before
             ids, word, rank, result = ids[stay], word[stay], rank[stay], result[stay]
             for i in (at, at[at > 0] - 1):
                 pair = i[i + 1 < len(ids)]

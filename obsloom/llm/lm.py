@@ -82,7 +82,8 @@ def blocks(docs: DataFrame, vocab: str, text: str, doc_id: str, fold: int, folds
             nonlocal number, size
             words, sizes = list(known), [len(p) for p in parts]
             train = np.concatenate([p for p, h in zip(parts, held, strict=True) if not h] or [np.empty(0, np.uint32)])
-            subwords = [merge(b" " + w) for w in words]
+            # Very long words go in parts, as merging takes more than the time in proportion.
+            subwords = [merge(b" " + w) if len(w) <= 256 else [i for a in range(0, len(w), 256) for i in merge(b" " * (not a) + w[a : a + 256])] for w in words]
             row = {
                 "block": (TaskContext.get().partitionId() << 24) + number,
                 "docs": list(ids), "held": list(held), "sizes": sizes, "text": _pack(np.concatenate(parts)),
