@@ -79,6 +79,7 @@ def threshold(scored: DataFrame, width: float) -> float:
     bins = scored.groupBy(F.floor(F.round(F.col("score") / width, 4)).alias("bin")).agg(
         *[F.sum(F.when(F.col("says") == v, F.col("rows")).otherwise(0)).alias(c) for v, c in ((ALLOW, "allowed"), (BLOCK, "blocked"))]
     )
+    # One window without a key, over bins only: scores lie within log(256) of 0 by their base, a few thousand bins at any size.
     below = Window.orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
     whole = Window.orderBy("bin").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     lost, caught = F.coalesce(F.sum("allowed").over(below), F.lit(0)), F.coalesce(F.sum("blocked").over(below), F.lit(0))
