@@ -2,9 +2,10 @@
 
 1. Every text becomes its set of five-word shingles, a signature of 128 minima and a digest of the
    whole set. Texts with equal sets are one class from here on, represented by its smallest id.
-2. Signatures are cut into 32 bands of 4; classes that share a band meet in a bucket. Of the smallest ids
-   of its buckets, each class is paired with the one it shares most buckets with (a star, so n classes
-   give less than n pairs).
+2. Signatures are cut into 32 bands of 4; classes that share a band meet in a bucket. Of the heads of its
+   buckets, each class is paired with the one it shares most buckets with (a star, so n classes give at
+   most n pairs). Rounds with other heads follow, only across the components found so far, until one
+   finds no more links.
 3. A pair's signatures are compared batch by batch. With m of n minima equal and an even prior, the
    similarity is Beta(m + 1, n - m + 1); the pair is dropped as soon as the chance that it reaches the
    threshold falls below ``miss``. Survivors are verified on the full sets.
@@ -220,8 +221,26 @@ def verified(pairs: DataFrame, texts: DataFrame, percent: int, width: int) -> Da
     return mapped(joined, run, "a long, b long").distinct()
 
 
+def _stars(members: DataFrame, found: DataFrame | None, sig: DataFrame, number: int, threshold: float, miss: float) -> DataFrame:
+    """Likely pairs ``(a, b)``, one for each class whose buckets have a head in another component.
+
+    A bucket's head is its smallest id in the first round, and another member by a hash in each later one.
+    """
+    rows = members.select("bucket", "id")
+    rows = rows.withColumn("comp", F.col("id")) if found is None else rows.join(found, "id", "left").select("bucket", "id", F.coalesce("component", "id").alias("comp"))
+    order = F.xxhash64("id", F.lit(number)) if number else F.col("id")
+    first = F.min(F.struct(order.alias("order"), "id", "comp")).alias("head")
+    heads = rows.groupBy("bucket").agg(first, F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi")
+    pairs = rows.join(heads.select("bucket", F.col("head.id").alias("head"), F.col("head.comp").alias("head_comp")), "bucket").where("comp <> head_comp")
+    shared = pairs.groupBy("id", "head").agg(F.count("*").alias("n"))
+    chosen = shared.groupBy("id").agg(F.max_by("head", F.struct("n", -F.col("head"))).alias("head"))
+    stars = chosen.select(F.least("id", "head").alias("a"), F.greatest("id", "head").alias("b")).distinct()
+    stars = stars.join(sig.select(F.col("id").alias("a"), F.col("sig").alias("sig_a")), "a").join(sig.select(F.col("id").alias("b"), F.col("sig").alias("sig_b")), "b")
+    return likely(stars, threshold, miss).select("a", "b").distinct()
+
+
 def near_duplicates(
-    docs: DataFrame, text: str = "text", doc_id: str = "doc_id", percent: int = 75, width: int = WIDTH, miss: float = 1e-6
+    docs: DataFrame, text: str = "text", doc_id: str = "doc_id", percent: int = 75, width: int = WIDTH, miss: float = 1e-6, rounds: int = 6
 ) -> DataFrame:
     """One row per row of ``docs``: ``doc_id``, ``n_shingles``, ``component_id`` (smallest id reachable by links) and ``kept``.
 
@@ -238,18 +257,21 @@ def near_duplicates(
     heads = members.groupBy("bucket").agg(F.min("id").alias("head"), F.max("id").alias("last")).where("head <> last").select("bucket", "head")
     members = stored(members.join(heads, "bucket").distinct())
     sig = kinds.select("id", "sig")
-    shared = members.where("id <> head").groupBy("id", "head").agg(F.count("*").alias("n"))
-    stars = shared.groupBy(F.col("id").alias("b")).agg(F.max_by("head", F.struct("n", -F.col("head"))).alias("a"))
-    stars = stars.join(sig.select(F.col("id").alias("a"), F.col("sig").alias("sig_a")), "a").join(sig.select(F.col("id").alias("b"), F.col("sig").alias("sig_b")), "b")
-    stars = stored(likely(stars, percent / 100, miss).select("a", "b").distinct())
     wanted = members.select(F.col("id").alias("doc")).distinct()
     texts = stored(docs.select(F.col(doc_id).cast("long").alias("doc"), F.col(text).alias("text")).where(F.col(text).isNotNull()).join(wanted, "doc"))
-    links = stored(verified(stars, texts, percent, width))
-    found = components(links)
+    found, tested = None, None
+    for number in range(rounds):
+        stars = _stars(members, found, sig, number, percent / 100, miss)
+        stars = stored(stars if tested is None else stars.join(tested, ["a", "b"], "left_anti"))
+        links = stored(verified(stars, texts, percent, width))
+        if number and links.isEmpty():
+            break
+        tested = stars if tested is None else tested.unionByName(stars)
+        found = components(links if found is None else links.unionByName(found.select(F.col("id").alias("a"), F.col("component").alias("b"))))
     comps = members.select("bucket", "id").join(found, "id", "left").select("bucket", "id", F.coalesce("component", "id").alias("comp"))
     mixed_buckets = comps.groupBy("bucket").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("bucket")
     more = across(stored(comps.join(mixed_buckets, "bucket").join(sig, "id").select("bucket", "id", "comp", "sig")), percent / 100, miss)
-    more = stored(verified(more.join(stars, ["a", "b"], "left_anti"), texts, percent, width))
+    more = stored(verified(more.join(tested, ["a", "b"], "left_anti"), texts, percent, width))
     found = components(found.select(F.col("id").alias("a"), F.col("component").alias("b")).unionByName(more))
     per_class = classes.join(found, "id", "left").select("digest", F.coalesce("component", "id").alias("component"))
     return rows.join(per_class, "digest", "left").select(
