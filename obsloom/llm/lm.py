@@ -1,7 +1,7 @@
 """Scoring texts with a small causal self-attention model over subword ids.
 
 1. Lower-cased words become subword ids of a published byte-level vocabulary. Texts are stored in blocks
-   of about 16 MB: the block's distinct words with their ids and counts in training documents, and each
+   of about 12 MB: the block's distinct words with their ids and counts in training documents, and each
    text as numbers of these words.
 2. Word counts are summed over all blocks and sent back to the blocks that have the word, so neither
    counting nor scoring holds the corpus' vocabulary anywhere. Counts of ids are summed too; the frequent
@@ -76,6 +76,7 @@ def blocks(docs: DataFrame, vocab: str, text: str, doc_id: str, fold: int, folds
 
         merge, number = _merger(vocab), 0
         known: dict[bytes, int] = {}
+        cache: dict[bytes, list[int]] = {}
         ids, held, parts, size = [], [], [], 0
 
         def out():
@@ -83,7 +84,13 @@ def blocks(docs: DataFrame, vocab: str, text: str, doc_id: str, fold: int, folds
             words, sizes = list(known), [len(p) for p in parts]
             train = np.concatenate([p for p, h in zip(parts, held, strict=True) if not h] or [np.empty(0, np.uint32)])
             # Very long words go in parts, as merging takes more than the time in proportion.
-            subwords = [merge(b" " + w) if len(w) <= 256 else [i for a in range(0, len(w), 256) for i in merge(b" " * (not a) + w[a : a + 256])] for w in words]
+            subwords = []
+            for w in words:
+                if (found := cache.get(w)) is None:
+                    found = merge(b" " + w) if len(w) <= 256 else [i for a in range(0, len(w), 256) for i in merge(b" " * (not a) + w[a : a + 256])]
+                    if len(cache) < 150_000 and len(w) < 20:  # frequent words come early
+                        cache[w] = found
+                subwords.append(found)
             row = {
                 "block": (TaskContext.get().partitionId() << 24) + number,
                 "docs": list(ids), "held": list(held), "sizes": sizes, "text": _pack(np.concatenate(parts)),
@@ -286,10 +293,10 @@ class Texts:
         # The end is one more word of the block.
         starts = np.append(np.cumsum(lengths) - lengths, len(ids))
         lengths, ids = np.append(lengths, 1), np.append(ids, np.uint16(END))
-        self.word = np.insert(words.astype(np.int64), np.cumsum(self.sizes), len(lengths) - 1)
+        self.word = np.insert(words.astype(np.int32), np.cumsum(self.sizes), len(lengths) - 1)
         n = lengths[self.word]
         self.word_ends = np.cumsum(n)
-        self.ids = ids[np.repeat(starts[self.word] - (self.word_ends - n), n) + np.arange(self.word_ends[-1] if len(n) else 0)].astype(np.int64)
+        self.ids = ids[np.repeat(starts[self.word] - (self.word_ends - n), n) + np.arange(self.word_ends[-1] if len(n) else 0)]  # two bytes each
         self.last_words = np.cumsum(self.sizes + 1) - 1
         ends = self.word_ends[self.last_words] if len(n) else np.empty(0, np.int64)
         self.starts, self.ends = np.append(0, ends[:-1])[: len(ends)], ends
@@ -300,14 +307,19 @@ class Texts:
         own = np.repeat(docs, count)
         return own, self.starts[own] + (np.arange(len(own)) - np.repeat(np.cumsum(count) - count, count)) * SCORED
 
-    def inputs(self, model: Model, own: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """What the network reads and has to predict at each place of the windows, and which places lie in the text."""
-        place = first[:, None] + np.arange(SCORED - WINDOW, SCORED)
-        inside = (place >= self.starts[own][:, None]) & (place < self.ends[own][:, None])
-        before = (place > self.starts[own][:, None]) & (place <= self.ends[own][:, None])
-        x = np.where(before, model.read[self.ids[np.clip(place - 1, 0, len(self.ids) - 1)]], START)
-        y = model.written[self.ids[np.clip(place, 0, len(self.ids) - 1)]]
-        return x, y, inside
+    def coded(self, model: Model) -> None:
+        """Number the ids by the model's classes, with room for windows that begin or end outside the texts."""
+        room = np.zeros(WINDOW, np.int32)
+        self.read = np.concatenate([room, model.read[self.ids], room])
+        self.written = np.concatenate([model.written[self.ids], room])
+
+    def inputs(self, own: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """What the network reads at each place of the windows, the classes at the scored places, and which of these lie in the text."""
+        x = self.read[(first + SCORED - 1)[:, None] + np.arange(WINDOW)]
+        opens = np.flatnonzero(first == self.starts[own])  # only a text's first window reaches before it
+        x[opens, : WINDOW - SCORED + 1] = START
+        place = first[:, None] + np.arange(SCORED)
+        return x, self.written[place], place < self.ends[own][:, None]
 
 
 PARTS = ("sizes", "held", "text", "lengths", "ids")
@@ -339,8 +351,11 @@ def train(stored_blocks: DataFrame, model: Model, rounds: int, train_every: int,
                     some = np.arange(number, len(own), train_every * rounds)
                     if not len(some):
                         continue
+                    texts.coded(model)
+                    x, y, inside = texts.inputs(own[some], first[some])
+                    lead = ((0, 0), (WINDOW - SCORED, 0))
                     model.put(start)
-                    model.learn(*texts.inputs(model, own[some], first[some]), least_steps, seed=number)
+                    model.learn(x, np.pad(y, lead), np.pad(inside, lead), least_steps, seed=number)
                     yield pa.RecordBatch.from_arrays([pa.array([model.flat().tobytes()], pa.binary()), pa.array([len(some)], pa.int64())], names=["weights", "n"])
 
         schema = "weights binary, n long"
@@ -360,9 +375,9 @@ def lm_scores(
     fold: int = 2,
     folds: int = 7,
     rounds: int = 2,
-    train_every: int = 32,
-    least_steps: int = 100,
-    block_bytes: int = 16 << 20,
+    train_every: int = 64,
+    least_steps: int = 60,
+    block_bytes: int = 12 << 20,
 ) -> DataFrame:
     """One row per row of ``docs``: ``doc_id``, ``held_out``, ``n_tokens``, ``n_known``, ``train_tokens``, ``base_score`` and ``score``.
 
@@ -371,7 +386,7 @@ def lm_scores(
     """
     held = stored(blocks(docs, vocab, text, doc_id, fold, folds, block_bytes))
     words = _words(held)
-    counts = stored(words.groupBy("word").agg(F.sum("n").alias("c")).where("c > 0"))
+    counts = stored(words.where("n > 0").groupBy("word").agg(F.sum("n").alias("c")))
     found = counts.agg(F.sum("c").alias("n"), F.count("*").alias("v")).first()
     ids = _id_counts(held)
     ends = int(ids[END])
@@ -404,12 +419,12 @@ def lm_scores(
                 c = per_word[texts.word]
                 logs = model.odds[texts.ids]
                 own, first = texts.windows(np.arange(len(texts.sizes)))
-                for a in range(0, len(own), 16_384):
-                    o, f = own[a : a + 16_384], first[a : a + 16_384]
-                    x, y, inside = texts.inputs(model, o, f)
-                    inside = inside[:, WINDOW - SCORED :]
+                texts.coded(model)
+                for a in range(0, len(own), 4096):
+                    o, f = own[a : a + 4096], first[a : a + 4096]
+                    x, y, inside = texts.inputs(o, f)
                     place = (f[:, None] + np.arange(SCORED))[inside]
-                    logs[place] += model.score(x, y[:, WINDOW - SCORED :])[inside]
+                    logs[place] += model.score(x, y)[inside]
                 word_starts = np.append(0, texts.word_ends[:-1])
                 attention = np.add.reduceat(logs, word_starts) + np.log(1 - known_share)
                 with np.errstate(divide="ignore"):
