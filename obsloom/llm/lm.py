@@ -8,9 +8,9 @@
    ones are classes of their own, the others share classes of equal weight.
 3. The network (numpy) reads the ids before a place and predicts the class of the next: embeddings of
    ids and places, one head of causal self-attention added to them, and a softmax over classes. An id's
-   probability in its class comes from the counts. Every task trains on windows of the training texts
-   in its blocks, one in ``train_every``, which grows with the corpus; the tasks' weights are averaged
-   by their windows, in a tree, after each of ``rounds``.
+   probability in its class comes from the counts. Every task trains on the windows of the training texts
+   in its blocks, each once over all ``rounds`` (``train_every`` above 1 takes a share); the blocks' weights
+   are averaged by their windows, in a tree, after each of ``rounds``. Windows are gathered a step at a time.
 4. For scoring, windows of ``WINDOW`` ids overlap such that each id is scored once, with the
    ids of the window before it; windows go through the network in batches with a mask. A word's probability
    is its share in the training tokens, weighted N / (N + V) for N tokens of V kinds, plus the product
@@ -239,17 +239,17 @@ class Model:
             "O": rows(z).T @ rows(out), "o": rows(out).sum(0),
         }
 
-    def learn(self, x: np.ndarray, y: np.ndarray, used: np.ndarray, least_steps: int, seed: int, rate: float = 0.01) -> None:
-        """Adam over all windows, again and again up to ``least_steps``."""
-        random, per = np.random.default_rng(seed), -(-len(x) // LEARN_BATCH)
+    def learn(self, count: int, take, least_steps: int, seed: int, rate: float = 0.01) -> None:
+        """Adam over ``count`` windows, again and again up to ``least_steps``; ``take`` gathers those of one step."""
+        random, per = np.random.default_rng(seed), -(-count // LEARN_BATCH)
         steps = max(per, least_steps)
         mean, square = ({n: np.zeros_like(w) for n, w in self.weights.items()} for _ in range(2))
         for t in range(steps):
             if t % per == 0:
-                order = random.permutation(len(x))
+                order = random.permutation(count)
             at = order[t % per * LEARN_BATCH : (t % per + 1) * LEARN_BATCH]
             now = rate * min(1.0, (t + 1) / 20) * (1 - 0.8 * t / steps)
-            for name, g in self.gradients(x[at], y[at], used[at]).items():
+            for name, g in self.gradients(*take(at)).items():
                 mean[name] += 0.1 * (g - mean[name])
                 square[name] += 0.02 * (g * g - square[name])
                 self.weights[name] -= np.float32(now) * (mean[name] / (1 - 0.9 ** (t + 1))) / (np.sqrt(square[name] / (1 - 0.98 ** (t + 1))) + 1e-8)
@@ -325,6 +325,23 @@ class Texts:
 PARTS = ("sizes", "held", "text", "lengths", "ids")
 
 
+def learned_block(texts: Texts, model: Model, number: int, rounds: int, train_every: int, least_steps: int) -> int:
+    """Train ``model`` on the windows of a block's training texts that are round ``number``'s; how many these are."""
+    own, first = texts.windows(np.flatnonzero(~texts.held))
+    some = np.arange(number, len(own), train_every * rounds)
+    if not len(some):
+        return 0
+    texts.coded(model)
+    lead = ((0, 0), (WINDOW - SCORED, 0))
+
+    def take(at):
+        x, y, inside = texts.inputs(own[some[at]], first[some[at]])
+        return x, np.pad(y, lead), np.pad(inside, lead)
+
+    model.learn(len(some), take, least_steps, seed=number)
+    return len(some)
+
+
 def train(stored_blocks: DataFrame, model: Model, rounds: int, train_every: int, least_steps: int) -> Model:
     """Weights after ``rounds`` of training in all tasks and averaging over them."""
 
@@ -344,19 +361,14 @@ def train(stored_blocks: DataFrame, model: Model, rounds: int, train_every: int,
         def learned(batches, start=start, number=number):
             import pyarrow as pa
 
+            total, windows = 0.0, 0
             for batch in batches:
-                for r in batch.to_pylist():
-                    texts = Texts(r)
-                    own, first = texts.windows(np.flatnonzero(~texts.held))
-                    some = np.arange(number, len(own), train_every * rounds)
-                    if not len(some):
-                        continue
-                    texts.coded(model)
-                    x, y, inside = texts.inputs(own[some], first[some])
-                    lead = ((0, 0), (WINDOW - SCORED, 0))
+                for at in range(batch.num_rows):
                     model.put(start)
-                    model.learn(x, np.pad(y, lead), np.pad(inside, lead), least_steps, seed=number)
-                    yield pa.RecordBatch.from_arrays([pa.array([model.flat().tobytes()], pa.binary()), pa.array([len(some)], pa.int64())], names=["weights", "n"])
+                    if n := learned_block(Texts(batch.slice(at, 1).to_pylist()[0]), model, number, rounds, train_every, least_steps):
+                        total, windows = total + n * model.flat().astype(np.float64), windows + n
+            if windows:
+                yield pa.RecordBatch.from_arrays([pa.array([(total / windows).astype(np.float32).tobytes()], pa.binary()), pa.array([windows], pa.int64())], names=["weights", "n"])
 
         schema = "weights binary, n long"
         local = mapped(stored_blocks.select(*PARTS), learned, schema)
@@ -375,7 +387,7 @@ def lm_scores(
     fold: int = 2,
     folds: int = 7,
     rounds: int = 2,
-    train_every: int = 64,
+    train_every: int = 1,
     least_steps: int = 60,
     block_bytes: int = 12 << 20,
 ) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import inspect
 import math
 import random
 import sys
@@ -253,3 +254,24 @@ def test_lm_gradients_and_windows():
         down = loss()
         model.weights[name][at] = old
         assert (up - down) / 2e-2 == pytest.approx(grad[name][at], rel=0.05, abs=2e-4)
+
+
+def test_lm_trains_on_every_window_once():
+    """With the parameters of the query; a step gathers no more than its own windows."""
+    every = inspect.signature(lm.lm_scores).parameters["train_every"].default
+    sizes = [5, 700, 0, 90, 33]
+    row = {
+        "sizes": sizes, "held": [False, False, False, True, False], "text": lm._pack(np.arange(sum(sizes), dtype=np.uint32) % 50),
+        "lengths": lm._pack(np.full(50, 2, np.uint32)), "ids": lm._pack(np.arange(100, dtype=np.uint16)),
+    }
+    seen, largest = 0, 0
+
+    class Spy(lm.Model):
+        def gradients(self, x, y, used):
+            nonlocal seen, largest
+            seen, largest = seen + int(used.sum()), max(largest, len(x))
+            return super().gradients(x, y, used)
+
+    windows = [lm.learned_block(lm.Texts(row), Spy(np.ones(lm.VOCABULARY)), number, 2, every, least_steps=1) for number in range(2)]
+    places = [2 * n + 1 for n, held in zip(sizes, row["held"], strict=True) if not held]
+    assert seen == sum(places) and sum(windows) == sum(-(-n // lm.SCORED) for n in places) and largest <= lm.LEARN_BATCH
