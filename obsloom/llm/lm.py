@@ -5,17 +5,16 @@
    text as numbers of these words.
 2. Word counts are summed over all blocks and sent back to the blocks that have the word, so neither
    counting nor scoring holds the corpus' vocabulary anywhere. Counts of ids are summed too; the frequent
-   ones are classes of their own, the others share classes of equal weight.
-3. The network (numpy) reads the ids before a place and predicts the class of the next: embeddings of
-   ids and places, one head of causal self-attention added to them, and a softmax over classes. An id's
-   probability in its class comes from the counts. Every task trains on the windows of the training texts
+   ones are classes of their own, the others share classes.
+3. The network (numpy) reads the ids before a place and predicts the next one: embeddings of ids and
+   places, one head of causal self-attention added to them, a softmax over classes and one over the ids
+   of the class, both from the same hidden state. Every task trains on the windows of the training texts
    in its blocks, each once over all ``rounds`` (``train_every`` above 1 takes a share); the blocks' weights
    are averaged by their windows, in a tree, after each of ``rounds``. Windows are gathered a step at a time.
 4. For scoring, windows of ``WINDOW`` ids overlap such that each id is scored once, with the
-   ids of the window before it; windows go through the network in batches with a mask. A word's probability
-   is its share in the training tokens, weighted N / (N + V) for N tokens of V kinds, plus the product
-   over its ids for the rest: the usual estimate of how often a new word comes (Witten and Bell). Either
-   part is a distribution over texts, and so is the whole.
+   ids of the window before it; windows go through the network in batches with a mask. A text's score is
+   the sum of the network's log-probabilities of its ids and its end, known words or not. Word counts
+   make ``base_score`` and ``n_known`` only.
 
 Defined results: null and empty texts are one end token. A document is held out of training by the
 CRC-32 of its id as a text; one without an id trains. Repeated rows are scored alike, and each of them
@@ -36,10 +35,11 @@ from obsloom.llm.common import groups, mapped, pieces, stored
 
 VOCABULARY = 50_257
 END = 50_256
-SINGLES, CLASSES = 48, 64
+SINGLES, CLASSES = 128, 256
 READ_SINGLES, READ_CLASSES = 960, 1024
 WINDOW, SCORED, WIDTH = 24, 16, 16
-BATCH, LEARN_BATCH = 128, 32
+BATCH, LEARN_BATCH = 128, 256
+INNER = 1 << 20  # places times ids of a class that are scored at once
 START = READ_CLASSES  # what stands before a text
 
 
@@ -178,14 +178,18 @@ def classes(counts: np.ndarray, n: int, singles: int) -> np.ndarray:
 
 
 class Model:
-    """The network: ``weights`` by name, and the classes of ids with their odds."""
+    """The network: ``weights`` by name, and the classes of ids."""
 
     def __init__(self, counts: np.ndarray, seed: int = 5) -> None:
         self.read = classes(counts, READ_CLASSES, READ_SINGLES).astype(np.int32)
-        self.written = classes(counts, CLASSES, SINGLES).astype(np.int32)
+        # By the roots of the counts, frequent ids are in classes of few, and rare ones not all in the last.
+        self.written = classes(np.sqrt(counts), CLASSES, SINGLES).astype(np.int32)
         share = counts + 0.5
         mass = np.bincount(self.written, share, CLASSES)
-        self.odds = np.log(share / mass[self.written])
+        by_class = np.argsort(self.written, kind="stable")
+        self.slot = np.empty(VOCABULARY, np.int32)  # an id's row in I and i, where a class's ids are neighbours
+        self.slot[by_class] = np.arange(VOCABULARY)
+        self.edges = np.searchsorted(self.written[by_class], np.arange(CLASSES + 1))
         random = np.random.default_rng(seed)
 
         def drawn(*shape: int, scale: float) -> np.ndarray:
@@ -195,7 +199,8 @@ class Model:
         self.weights = {
             "E": drawn(READ_CLASSES + 1, d, scale=0.5), "P": drawn(WINDOW, d, scale=0.1),
             "Q": drawn(d, d, scale=d**-0.5), "K": drawn(d, d, scale=d**-0.5), "V": drawn(d, d, scale=d**-0.5),
-            "O": drawn(d, CLASSES, scale=0.1), "o": np.log(mass / mass.sum()).astype(np.float32),
+            "O": drawn(d, CLASSES, scale=0.1), "o": np.log(np.maximum(mass, 1e-9) / mass.sum()).astype(np.float32),
+            "I": drawn(VOCABULARY, d, scale=0.1), "i": np.log(share / mass[self.written])[by_class].astype(np.float32),
         }
 
     def flat(self) -> np.ndarray:
@@ -207,8 +212,22 @@ class Model:
             self.weights[name] = flat[at : at + w.size].reshape(w.shape).astype(np.float32)
             at += w.size
 
-    def gradients(self, x: np.ndarray, y: np.ndarray, used: np.ndarray) -> dict[str, np.ndarray]:
-        """Of the mean loss over the places ``used``; all places of a window learn from those before."""
+    def inner(self, ids: np.ndarray):
+        """Pieces of the places by the class of their ``ids``: places, and the class's rows of ``I`` and ``i``. Classes of one id have none."""
+        kind = self.written[ids]
+        order = np.argsort(kind, kind="stable")
+        cuts = np.searchsorted(kind[order], np.arange(CLASSES + 1))
+        for c in np.flatnonzero((np.diff(cuts) > 0) & (np.diff(self.edges) > 1)):
+            low, high = self.edges[c], self.edges[c + 1]
+            step = max(1, INNER // (high - low))
+            for at in range(cuts[c], cuts[c + 1], step):
+                yield order[at : min(at + step, cuts[c + 1])], low, high
+
+    def gradients(self, x: np.ndarray, y: np.ndarray, used: np.ndarray) -> dict:
+        """Of the mean loss of the ids ``y`` over the places ``used``; all places of a window learn from those before.
+
+        ``inner`` has those of ``I`` and ``i`` in pieces: first row, end, and the gradients of these rows.
+        """
         p, scale = self.weights, np.float32(WIDTH**-0.5)
         e = p["E"][x] + p["P"]
         q, k, v = e @ p["Q"], e @ p["K"], e @ p["V"]
@@ -217,14 +236,26 @@ class Model:
         s = np.exp(s - s.max(2, keepdims=True))
         s /= s.sum(2, keepdims=True)
         z = e + s @ v
-        out = z @ p["O"] + p["o"]
-        out = np.exp(out - out.max(2, keepdims=True))
-        out /= out.sum(2, keepdims=True)
         i, j = np.nonzero(used)
-        out[i, j, y[i, j]] -= 1
-        out *= (used / max(1, len(i)))[:, :, None].astype(np.float32)
+        own, ids, share = z[i, j], y[i, j], np.float32(1 / max(1, len(i)))
+        out = own @ p["O"] + p["o"]
+        out = np.exp(out - out.max(1, keepdims=True))
+        out /= out.sum(1, keepdims=True)
+        out[np.arange(len(i)), self.written[ids]] -= 1
+        out *= share
+        down, inner = out @ p["O"].T, []
+        for at, low, high in self.inner(ids):
+            some = own[at]
+            e2 = some @ p["I"][low:high].T + p["i"][low:high]
+            e2 = np.exp(e2 - e2.max(1, keepdims=True))
+            e2 /= e2.sum(1, keepdims=True)
+            e2[np.arange(len(at)), self.slot[ids[at]] - low] -= 1
+            e2 *= share
+            down[at] += e2 @ p["I"][low:high]
+            inner.append((low, high, e2.T @ some, e2.sum(0)))
         rows = lambda t: t.reshape(-1, t.shape[2])
-        dz = out @ p["O"].T
+        dz = np.zeros_like(z)
+        dz[i, j] = down
         ds, dv = dz @ v.transpose(0, 2, 1), s.transpose(0, 2, 1) @ dz
         ds = s * (ds - (ds * s).sum(2, keepdims=True)) * scale
         dq, dk = ds @ k, ds.transpose(0, 2, 1) @ q
@@ -236,11 +267,14 @@ class Model:
         table[seen[edge]] = np.add.reduceat(rows(de)[order], edge, axis=0)
         return {
             "E": table, "P": de.sum(0), "Q": rows(e).T @ rows(dq), "K": rows(e).T @ rows(dk), "V": rows(e).T @ rows(dv),
-            "O": rows(z).T @ rows(out), "o": rows(out).sum(0),
+            "O": own.T @ out, "o": out.sum(0), "inner": inner,
         }
 
     def learn(self, count: int, take, least_steps: int, seed: int, rate: float = 0.01) -> None:
-        """Adam over ``count`` windows, again and again up to ``least_steps``; ``take`` gathers those of one step."""
+        """Over ``count`` windows, again and again up to ``least_steps``; ``take`` gathers those of one step.
+
+        Adam, and for the rows of ``I`` and ``i``, of which a step has those of its classes, Adagrad.
+        """
         random, per = np.random.default_rng(seed), -(-count // LEARN_BATCH)
         steps = max(per, least_steps)
         mean, square = ({n: np.zeros_like(w) for n, w in self.weights.items()} for _ in range(2))
@@ -249,13 +283,18 @@ class Model:
                 order = random.permutation(count)
             at = order[t % per * LEARN_BATCH : (t % per + 1) * LEARN_BATCH]
             now = rate * min(1.0, (t + 1) / 20) * (1 - 0.8 * t / steps)
-            for name, g in self.gradients(*take(at)).items():
+            gradients = self.gradients(*take(at))
+            for low, high, *both in gradients.pop("inner"):
+                for name, g in zip("Ii", both, strict=True):
+                    square[name][low:high] += g * g
+                    self.weights[name][low:high] -= np.float32(5 * now) * g / (np.sqrt(square[name][low:high]) + np.float32(1e-6))
+            for name, g in gradients.items():
                 mean[name] += 0.1 * (g - mean[name])
                 square[name] += 0.02 * (g * g - square[name])
                 self.weights[name] -= np.float32(now) * (mean[name] / (1 - 0.9 ** (t + 1))) / (np.sqrt(square[name] / (1 - 0.98 ** (t + 1))) + 1e-8)
 
     def score(self, x: np.ndarray, y: np.ndarray) -> np.ndarray:
-        """Log-probabilities of the classes ``y`` at the last ``SCORED`` places of the windows ``x``."""
+        """Log-probabilities of the ids ``y`` at the last ``SCORED`` places of the windows ``x``."""
         p = self.weights
         first = WINDOW - SCORED
         scale = np.float32(WIDTH**-0.5)
@@ -263,7 +302,7 @@ class Model:
         tables = [(p["E"] @ w, p["P"] @ w) for w in (p["Q"] * scale, p["K"], p["V"])]
         (eq, pq), (ek, pk), (ev, pv) = tables
         visible = (~np.triu(np.ones((WINDOW, WINDOW), bool), 1)[first:]).astype(np.float32)
-        out = np.empty(y.shape, np.float32)
+        out, hidden, written = np.empty(y.shape, np.float32), np.empty((*y.shape, WIDTH), np.float32), self.written[y]
         for at in range(0, len(x), BATCH):
             own = x[at : at + BATCH]
             last = own[:, first:]
@@ -274,11 +313,19 @@ class Model:
             z /= s.sum(2, keepdims=True)
             z += p["E"][last]
             z += p["P"][first:]
+            hidden[at : at + BATCH] = z
             logits = z.reshape(-1, WIDTH) @ p["O"]
             logits += p["o"]
             np.clip(logits, -60, 60, out=logits)
-            picked = logits[np.arange(len(logits)), y[at : at + BATCH].ravel()]
+            picked = logits[np.arange(len(logits)), written[at : at + BATCH].ravel()]
             out[at : at + BATCH] = (picked - np.log(np.exp(logits, out=logits).sum(1))).reshape(-1, SCORED)
+        flat, hidden, ids = out.reshape(-1), hidden.reshape(-1, WIDTH), y.ravel()
+        for at, low, high in self.inner(ids):
+            logits = hidden[at] @ p["I"][low:high].T
+            logits += p["i"][low:high]
+            np.clip(logits, -60, 60, out=logits)
+            picked = logits[np.arange(len(at)), self.slot[ids[at]] - low]
+            flat[at] += picked - np.log(np.exp(logits, out=logits).sum(1))
         return out
 
 
@@ -311,15 +358,15 @@ class Texts:
         """Number the ids by the model's classes, with room for windows that begin or end outside the texts."""
         room = np.zeros(WINDOW, np.int32)
         self.read = np.concatenate([room, model.read[self.ids], room])
-        self.written = np.concatenate([model.written[self.ids], room])
+        self.next = np.concatenate([self.ids, room.astype(np.uint16)])
 
     def inputs(self, own: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """What the network reads at each place of the windows, the classes at the scored places, and which of these lie in the text."""
+        """What the network reads at each place of the windows, the ids at the scored places, and which of these lie in the text."""
         x = self.read[(first + SCORED - 1)[:, None] + np.arange(WINDOW)]
         opens = np.flatnonzero(first == self.starts[own])  # only a text's first window reaches before it
         x[opens, : WINDOW - SCORED + 1] = START
         place = first[:, None] + np.arange(SCORED)
-        return x, self.written[place], place < self.ends[own][:, None]
+        return x, self.next[place], place < self.ends[own][:, None]
 
 
 PARTS = ("sizes", "held", "text", "lengths", "ids")
@@ -403,7 +450,6 @@ def lm_scores(
     ids = _id_counts(held)
     ends = int(ids[END])
     tokens, kinds = int(found["n"] or 0) + ends, found["v"] + bool(ends)
-    known_share = tokens / max(1, tokens + kinds)
     model = train(held, Model(ids), rounds, train_every, least_steps)
     back = words.select("word", "block", "i").join(counts, "word").select("block", "i", "c").repartition("block").sortWithinPartitions("block")
 
@@ -429,18 +475,16 @@ def lm_scores(
                     per_word[_unpack(r["i"], np.int32)] = _unpack(r["c"], np.int64)
                 per_word[texts.word[texts.last_words]] = ends
                 c = per_word[texts.word]
-                logs = model.odds[texts.ids]
+                logs = np.zeros(len(texts.ids))
                 own, first = texts.windows(np.arange(len(texts.sizes)))
                 texts.coded(model)
                 for a in range(0, len(own), 4096):
                     o, f = own[a : a + 4096], first[a : a + 4096]
                     x, y, inside = texts.inputs(o, f)
                     place = (f[:, None] + np.arange(SCORED))[inside]
-                    logs[place] += model.score(x, y)[inside]
+                    logs[place] = model.score(x, y)[inside]
                 word_starts = np.append(0, texts.word_ends[:-1])
-                attention = np.add.reduceat(logs, word_starts) + np.log(1 - known_share)
-                with np.errstate(divide="ignore"):
-                    score = np.logaddexp(attention, np.log(known_share * c / max(1, tokens))) / np.log(10)
+                score = np.add.reduceat(logs, word_starts) / np.log(10)
                 base = np.log10((c + 1) / (tokens + kinds + 1))
                 doc_starts = np.append(0, texts.last_words[:-1] + 1)
                 sums = [np.add.reduceat(v, doc_starts) for v in (base, score)]

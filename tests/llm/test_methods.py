@@ -275,3 +275,25 @@ def test_lm_trains_on_every_window_once():
     windows = [lm.learned_block(lm.Texts(row), Spy(np.ones(lm.VOCABULARY)), number, 2, every, least_steps=1) for number in range(2)]
     places = [2 * n + 1 for n, held in zip(sizes, row["held"], strict=True) if not held]
     assert seen == sum(places) and sum(windows) == sum(-(-n // lm.SCORED) for n in places) and largest <= lm.LEARN_BATCH
+
+
+def test_lm_score_is_the_networks_distribution_over_ids(spark):
+    """Probabilities of all ids sum to 1, those in a class depend on the context, and known words take theirs from it."""
+    model = lm.Model(np.random.default_rng(3).integers(0, 50, lm.VOCABULARY).astype(float))
+    x = np.random.default_rng(4).integers(0, lm.READ_CLASSES, (2, lm.WINDOW))
+    every = np.arange(lm.VOCABULARY)
+    logs = []
+    for own in x:  # all ids at one place: the last
+        y = np.tile(every[:, None], (1, lm.SCORED))
+        logs.append(np.concatenate([model.score(np.tile(own, (len(part), 1)), part)[:, -1] for part in np.array_split(y, 13)]))
+        assert np.exp(logs[-1].astype(float)).sum() == pytest.approx(1, abs=1e-3)
+    same = model.written == np.bincount(model.written).argmax()
+    within = [np.exp(row[same] - row[same].max()) for row in logs]
+    assert np.abs(within[0] / within[0].sum() - within[1] / within[1].sum()).max() > 1e-6
+    draw = random.Random(6)
+    follows = {"alpha": "beta", "gamma": "delta"}  # equally frequent words, told apart by the one before
+    texts = [(i, " ".join(w for a in draw.choices(list(follows), k=30) for w in (a, follows[a]))) for i in range(60)]
+    pairs = [(1000, "alpha beta " * 20), (1001, "alpha delta " * 20)]
+    rows = spark.createDataFrame(texts + pairs, "doc_id long, text string")
+    got = {r["doc_id"]: r["score"] for r in lm.lm_scores(rows, vocabulary_path("byte_bpe_50k.tiktoken"), least_steps=300).collect()}
+    assert got[1000] > got[1001] + 5
