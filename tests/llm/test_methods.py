@@ -297,3 +297,19 @@ def test_lm_score_is_the_networks_distribution_over_ids(spark):
     rows = spark.createDataFrame(texts + pairs, "doc_id long, text string")
     got = {r["doc_id"]: r["score"] for r in lm.lm_scores(rows, vocabulary_path("byte_bpe_50k.tiktoken"), least_steps=300).collect()}
     assert got[1000] > got[1001] + 5
+
+
+def test_passages_whose_pieces_stand_in_earlier_documents(spark):
+    """A passage of two sentences, each also alone in earlier documents: few of them, and more than are matched in pairs."""
+    own = iter(range(10**9))
+    fresh = lambda n: [f"u{next(own)}" for _ in range(n)]
+    for before in (1, chaining.FEW + 4):
+        texts, want = [], set()
+        for _ in range(8):
+            a, b = fresh(30), fresh(30)
+            texts += [fresh(20) + piece + fresh(20) for piece in (a, b) for _ in range(before)]
+            texts += [fresh(20) + a + b + fresh(20), fresh(25) + a + b + fresh(15)]
+            want.add(len(texts) - 1)
+        rows = [(i, " ".join(t)) for i, t in enumerate(texts)]
+        got = chaining.fuzzy_passages(spark.createDataFrame(rows, "doc_id long, text string")).where("n_removed > 0").collect()
+        assert {r["doc_id"]: (r["n_removed"], r["first_docs"]) for r in got} == {i: (60, [i - 1]) for i in want}
