@@ -299,6 +299,20 @@ def test_lm_score_is_the_networks_distribution_over_ids(spark):
     assert got[1000] > got[1001] + 5
 
 
+def test_passages_at_least_identity(spark):
+    """Ten of fifty words replaced: every passage is found, as trying all pairs and diagonals finds them."""
+    draw, texts, own = random.Random(8), [], iter(range(10**9))
+    fresh = lambda n: [f"u{next(own)}" for _ in range(n)]
+    for _ in range(60):
+        passage = fresh(50)
+        gone = set(draw.sample(range(1, 49), 10))
+        texts.append(fresh(30) + passage + fresh(30))
+        texts.append(fresh(40) + [f"e{next(own)}" if i in gone else w for i, w in enumerate(passage)] + fresh(20))
+    rows = [(i, " ".join(t)) for i, t in enumerate(texts)]
+    got = {r["doc_id"]: r for r in chaining.fuzzy_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert all(got[i]["n_removed"] == (50 if i % 2 else 0) and got[i]["first_docs"] == ([i - 1] if i % 2 else []) for i in got)
+
+
 def test_passages_whose_pieces_stand_in_earlier_documents(spark):
     """A passage of two sentences, each also alone in earlier documents: few of them, and more than are matched in pairs."""
     own = iter(range(10**9))
