@@ -6,6 +6,9 @@ document's inclusion probability is its cell's raked weight per token, times one
 the expected number of kept tokens the asked share of all, and at most 1. A document is kept when
 a number drawn from the md5 of its id lies below its probability.
 
+Where a cell would need a probability above 1, it is kept whole and stays short of its raked weight, and the
+sample misses the targets by as much: no value can have more than its share of the input over ``keep_share``.
+
 Only sums per cell are ever shuffled for the fit, so a source with a third of all rows is one row
 per partition and cell.
 
