@@ -6,15 +6,18 @@ from pyspark.sql import functions as F
 
 from obsloom.llm import sql
 from obsloom.llm.bpe import encode
+from obsloom.llm.centroids import cluster, with_inertia
 from obsloom.llm.chaining import fuzzy_passages
 from obsloom.llm.lines import dedup_lines
 from obsloom.llm.minhash import near_duplicates
 from obsloom.llm.lm import lm_scores
+from obsloom.llm.mining import hard_negatives
 from obsloom.llm.mixing import annotated, mix
 from obsloom.llm.quality import quality_rules
 from obsloom.llm.suffix import repeated_substrings
 from obsloom.llm.urls import ALLOW, BLOCK, filter_urls
 from obsloom.llm.vectors import near_vectors
+from obsloom.llm.warc import archive_pages, page_ids, read_records
 from obsloom.registered.common import Registry, table
 
 #: Rules of the URL filter, host with path start.
@@ -88,3 +91,19 @@ def register(registry: Registry) -> None:
     def op10(spark, sf_dir):
         found = fuzzy_passages(table(spark, sf_dir, "documents").select("doc_id", "text"))
         return found.select("doc_id", "n_words", "n_removed", F.size("spans").cast("long").alias("n_spans"), "spans", "first_docs")
+
+    @registry.add("op11_centroids", sql.centroids())
+    def op11(spark, sf_dir):
+        return with_inertia(cluster(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))).drop("centroid")
+
+    @registry.add("op12_warc", sql.WARC)
+    def op12(spark, sf_dir):
+        index, folder = archive_pages(table(spark, sf_dir, "pages"))
+        found = page_ids(read_records(index, folder, payloads=False))
+        return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+    @registry.add("op13_hard_negatives", sql.HARD_NEGATIVES)
+    def op13(spark, sf_dir):
+        vectors = table(spark, sf_dir, "embeddings")
+        label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+        return hard_negatives(vectors.withColumn("label", label), F.col("vec_id") % 50 == 0)

@@ -180,3 +180,73 @@ FROM base JOIN docs USING (doc_id)
 
 
 QUALITY = _quality()
+
+
+def usable(vector: str = "embedding") -> str:
+    return f"{vector} IS NOT NULL AND len(list_filter({vector}, lambda x: x IS NULL OR NOT isfinite(x))) = 0"
+
+
+def whole(scale: int, vector: str = "embedding") -> str:
+    return f"list_transform({vector}, lambda x: floor({scale} * CAST(x AS DOUBLE)))"
+
+
+def centroids(k: int = 16, size: int = 64, rounds: int = 3, scale: int = 64, seed: int = 1) -> str:
+    """Every distance measured, in every round."""
+    sql = f"""
+WITH q AS MATERIALIZED (
+  SELECT vec_id, {whole(scale)} AS v FROM embeddings WHERE len(embedding) = {size} AND {usable()}
+), c0 AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY sha256('{seed}:' || vec_id)) - 1 AS c, v FROM q ORDER BY sha256('{seed}:' || vec_id) LIMIT {k}
+)"""
+    for r in range(rounds + 1):
+        sql += f""", a{r} AS MATERIALIZED (
+  SELECT vec_id, v, unnest(arg_min(struct_pack(c := c, d := d), (d, c))) FROM (
+    SELECT vec_id, q.v, c, list_sum(list_transform(list_zip(q.v, k.v), lambda x: (x[1] - x[2]) * (x[1] - x[2]))) AS d FROM q, c{r} k
+  ) GROUP BY vec_id, v
+)"""
+        if r < rounds:
+            sql += f""", c{r + 1} AS MATERIALIZED (
+  SELECT c{r}.c, coalesce(m.v, c{r}.v) AS v FROM c{r} LEFT JOIN (
+    SELECT c, list(mean ORDER BY place) AS v FROM (
+      SELECT c, place, floor(sum(x) / count(*)) AS mean FROM (SELECT c, unnest(v) AS x, unnest(range(1, {size + 1})) AS place FROM a{r}) GROUP BY c, place
+    ) GROUP BY c
+  ) m ON m.c = c{r}.c
+)"""
+    return f"""{sql}
+SELECT vec_id, CAST(a{rounds}.c AS INTEGER) AS cluster, CAST(d AS BIGINT) AS distance,
+  CAST(sum(d) OVER (PARTITION BY a{rounds}.c) AS BIGINT) AS cluster_inertia, CAST(sum(d) OVER () AS BIGINT) AS inertia,
+  sha256(array_to_string(list_transform(k.v, lambda x: CAST(x AS BIGINT)), ',')) AS centroid_sha256
+FROM a{rounds} JOIN c{rounds} k ON k.c = a{rounds}.c
+"""
+
+
+WARC = """
+WITH p AS (
+  SELECT page_id, coalesce(html, '') AS html, strlen(coalesce(html, '')) AS payload_bytes, sha1(coalesce(html, '')) AS h FROM pages
+), d AS (
+  SELECT page_id, payload_bytes, max(page_id) OVER (PARTITION BY h) AS head,
+    list_aggregate(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+      CAST((CAST('0x' || substr(h, CAST(i // 4 * 5 + 1 AS BIGINT), 5) AS BIGINT) >> CAST(15 - i % 4 * 5 AS INTEGER)) & 31 AS BIGINT) + 1, 1)), 'string_agg', '') AS digest
+  FROM p
+)
+SELECT page_id, payload_bytes, digest AS payload_digest, CASE WHEN head = page_id THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN head <> page_id THEN head END AS refers_to
+FROM d
+"""
+
+HARD_NEGATIVES = f"""
+WITH r AS MATERIALIZED (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, {whole(256)} AS v
+  FROM embeddings WHERE label IS NOT NULL AND {usable()}
+), s AS MATERIALIZED (
+  SELECT a.vec_id AS anchor_id, b.vec_id AS other, a.label = b.label AS same, CAST(list_inner_product(a.v, b.v) AS BIGINT) AS score
+  FROM r a, r b WHERE a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id
+), p AS (
+  SELECT * FROM s WHERE same QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other) <= 5
+)
+SELECT p.anchor_id, p.other AS positive_id,
+  CAST(row_number() OVER (PARTITION BY p.anchor_id, p.other ORDER BY n.score DESC, n.other) AS INTEGER) AS rank,
+  n.other AS negative_id, p.score AS positive_score, n.score AS negative_score
+FROM p JOIN s n ON n.anchor_id = p.anchor_id AND NOT n.same AND 50 * p.score <= 100 * n.score AND 100 * n.score <= 95 * p.score
+QUALIFY row_number() OVER (PARTITION BY p.anchor_id, p.other ORDER BY n.score DESC, n.other) <= 3
+"""
