@@ -12,11 +12,13 @@ from pyspark.sql import SparkSession
 
 from obsloom.functions.calendar import utc, utc_now
 from obsloom.plans import loads
-from obsloom.plans.checks import run_checks
-from obsloom.plans.warehouse import ARCHIVE, MARTS, SERVE, Warehouse, build_all
+from obsloom.plans.checks import declared, differences, run_checks
+from obsloom.plans.refresh import refresh
+from obsloom.plans.warehouse import ARCHIVE, MARTS, SERVE, SHARED, Warehouse, over
 from obsloom.session import configure
 from obsloom.sources import files
 from obsloom.sources.landing import FACTS, Landing
+from obsloom.sources.published import Published
 from obsloom.sources.schemas import LANDING, without
 from obsloom.streaming.landing import stream_land
 
@@ -31,7 +33,8 @@ def _arguments(argv: list[str] | None) -> argparse.Namespace:
         sub.add_argument("--now", type=dt.datetime.fromisoformat, help="UTC time to use instead of the clock's")
         return sub
 
-    build = command("build", "write the marts, serve and archive tables")
+    build = command("build", "publish the marts, serve and archive tables: the months and tables that landed data changes")
+    build.add_argument("--full", action="store_true", help="build everything")
     build.add_argument("--out", required=True)
     build.add_argument("--calendar-end", type=dt.date.fromisoformat)
     build.add_argument("--tables", nargs="+", default=[*MARTS, *SERVE, *ARCHIVE])
@@ -69,10 +72,6 @@ def _arguments(argv: list[str] | None) -> argparse.Namespace:
     return parser.parse_args(argv)
 
 
-def _options(file_format: str) -> dict:
-    return files.STRICT.get(file_format, {})
-
-
 def run(spark: SparkSession, argv: list[str] | None = None):
     """Run one job; returns what it wrote or found."""
     args = _arguments(argv)
@@ -82,14 +81,17 @@ def run(spark: SparkSession, argv: list[str] | None = None):
 
 
 def _build(spark, landing, now, args):
-    return build_all(Warehouse(landing.source, args.calendar_end), args.out, args.tables)
+    return refresh(landing, args.out, args.calendar_end, args.tables, args.full)
 
 
 def _check(spark, landing, now, args):
-    warehouse = Warehouse(landing.source)
-    results = run_checks(
-        lambda name: spark.read.parquet(f"{args.marts}/{name}.parquet") if name in MARTS else getattr(warehouse, name)
-    ).collect()  # one row per declared test
+    stored = Published(spark, args.marts).snapshot()
+    wrong = differences(stored, declared(spark))
+    if wrong:
+        raise SystemExit("\n".join(wrong))
+    shared = {model: stored.read(name) for model, name in SHARED.items()}
+    warehouse = over(Warehouse(landing.source), merged=shared.pop("_obs_daily_all_qc"), **shared)
+    results = run_checks(lambda name: stored.read(name) if name in MARTS else getattr(warehouse, name)).collect()  # one row per declared test
     failed = [r for r in results if r["failures"]]
     if failed:
         raise SystemExit("\n".join(f"{r['model']}.{r['column_name']} {r['test']}: {r['failures']}" for r in failed))
@@ -122,7 +124,7 @@ def _plan(spark, landing, now, args):
 
 def _land(spark, landing, now, args):
     schema = without(LANDING[args.table], "load_time")
-    delivered = spark.read.schema(schema).format(args.format).options(**_options(args.format)).load(args.files)
+    delivered = landing.set_aside(files.read_delivered(spark, args.files, schema, args.format), args.table)
     planned = spark.read.parquet(args.plan)
     if args.incremental:
         loads.land_increment(landing, delivered, args.table, planned, now)
@@ -131,9 +133,7 @@ def _land(spark, landing, now, args):
 
 
 def _stream(spark, landing, now, args):
-    stream_land(
-        landing, args.files, args.table, args.progress, file_format=args.format, options=_options(args.format), every=args.every
-    ).awaitTermination()
+    stream_land(landing, args.files, args.table, args.progress, file_format=args.format, every=args.every).awaitTermination()
 
 
 _JOBS = {

@@ -137,11 +137,16 @@ def new_rows(batch: DataFrame, existing: DataFrame, keys: list[str]) -> DataFram
     return best.select(*[F.col(f"_row.`{c}`").alias(c) if c in rest else F.col(c) for c in batch.columns])
 
 
-def upsert_log(log: DataFrame, ids: DataFrame, table: str, ts: Column) -> DataFrame:
-    """The log with one fresh row per station of ``ids`` for ``table``, older ones removed."""
-    fresh = ids.select("station_id").distinct().select(
+def log_rows(ids: DataFrame, table: str, ts: Column) -> DataFrame:
+    """A fresh log row for every station of ``ids``."""
+    return ids.select("station_id").distinct().select(
         "station_id", ts.cast("timestamp_ntz").alias("last_fetched"), F.lit(table).alias("table_name")
     )
+
+
+def upsert_log(log: DataFrame, ids: DataFrame, table: str, ts: Column) -> DataFrame:
+    """The log with one fresh row per station of ``ids`` for ``table``, older ones removed."""
+    fresh = log_rows(ids, table, ts)
     kept = log.join(fresh.select("station_id", "table_name"), ["station_id", "table_name"], "left_anti")
     return kept.select("station_id", "last_fetched", "table_name").unionByName(fresh)
 

@@ -1,7 +1,7 @@
 """Load runs: plan, land and log.
 
 Observations are written first and the log second. A run that stops in between is repeated in
-full: landing leaves out what is stored, and the log rewrite replaces, so the second run ends in
+full: landing leaves out what is stored, and a station's newest log row counts, so the second run ends in
 the same state as one that went through.
 """
 
@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from obsloom.operators.incremental import plan_incremental, plan_initial, update_bounds, upsert_log
+from obsloom.operators.incremental import log_rows, plan_incremental, plan_initial, update_bounds
 from obsloom.operators.snapshot import latest_snapshot
 from obsloom.sources.landing import Landing, bounds_as_text
 
@@ -66,8 +66,7 @@ def land_and_log(
 
 
 def log_loaded(landing: Landing, table: str, stations: DataFrame, now: Column, name: str = LOG) -> None:
-    log = landing.small(name)
-    log.replace(upsert_log(log.read(), stations, table, now))
+    landing.small(name).append(log_rows(stations, table, now))
 
 
 def land_increment(landing: Landing, batch: DataFrame, table: str, planned: DataFrame, now: Column) -> None:

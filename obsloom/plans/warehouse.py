@@ -18,7 +18,7 @@ from obsloom.operators.skew import lookup_join
 from obsloom.operators.snapshot import latest_snapshot, with_label
 from obsloom.plans import weather as w
 from obsloom.session import materialise
-from obsloom.sources.files import as_table, export
+from obsloom.sources.published import Build, Published
 
 
 def _renamed(df: DataFrame, names: dict[str, str]) -> DataFrame:
@@ -37,6 +37,7 @@ class Warehouse:
 
     def __init__(self, source: Callable[[str], DataFrame], calendar_end=None):
         self._source = source
+        self.spark = source("land_obs_stations").sparkSession
         self._calendar_end = dims.ten_years_from_today() if calendar_end is None else calendar_end
 
     # Staging
@@ -280,22 +281,71 @@ MODELS = (
 )
 
 
-def build_all(warehouse: Warehouse, directory: str, names=(*MARTS, *SERVE, *ARCHIVE)) -> dict[str, str]:
-    """Build and write the stored tables; returns their paths.
+#: Tables that are stored by the month of a date.
+BY_MONTH = {
+    "mart_obs_fact": "obs_date",
+    "mart_obs_window_fact": "anchor_date",
+    "obs_fact": "obs_date",
+    "obs_fact_cp": "obs_date",
+    "mart_obs_fact_unpiv": "obs_date",
+    "mart_station_obs_obt": "obs_date",
+}
+#: What several tables are made from, by the name under which it is stored.
+SHARED = {
+    "stg_obs_stations": "_stations",
+    "stg_city_pop": "_city_pop",
+    "_obs_daily_all_qc": "_obs_daily_all_qc",
+    "city_coord_and_pop": "_city_coord_and_pop",
+}
+
+
+def over(warehouse: Warehouse, merged: DataFrame | None = None, **stored: DataFrame) -> Warehouse:
+    """The same warehouse with some models read from what is stored; ``merged`` is the merge with provenance."""
+    out = Warehouse(warehouse._source, warehouse._calendar_end)
+    if merged is not None:
+        # The plain merge is a selection from the one with provenance.
+        stored |= {"_obs_daily_all_qc": merged, "obs_daily_all": merged.select("station_date_id", *w.KEYS, *w.DAY_COLUMNS)}
+    for model, df in stored.items():
+        setattr(out, model, df)
+    return out
+
+
+def store_shared(build: Build, warehouse: Warehouse, models, months=None) -> None:
+    """Store some of ``SHARED``; the merge by month, and only ``months`` of it if given."""
+    for model in models:
+        by_month = {"date": "obs_date", "months": months, "order": w.KEYS} if model == "_obs_daily_all_qc" else {}
+        build.store(getattr(warehouse, model), SHARED[model], **by_month)
+
+
+def stored_warehouse(build: Build, warehouse: Warehouse, months=None) -> Warehouse:
+    """The warehouse over the stored shared tables; of the merge, some months only if given."""
+    shared = {model: build.read(name) for model, name in SHARED.items() if model != "_obs_daily_all_qc"}
+    return over(warehouse, build.read(SHARED["_obs_daily_all_qc"], months), **shared)
+
+
+def store_all(build: Build, frames: dict[str, DataFrame], months: dict[str, set[str]] | None = None) -> None:
+    """Store tables, a few at a time so that small ones do not leave the cluster idle."""
+
+    def store(name: str) -> None:
+        date = BY_MONTH.get(name)
+        build.store(frames[name], name, date, (months or {}).get(name), ["station_id", date] if date else [])
 
-    What several tables share is written first and read back, so the rollup, the merge, the name
-    match and the station snapshot are computed once. The plain merge is a selection from the
-    one with provenance. The tables are independent by then, and a few are written at a time so
-    that small ones do not leave the cluster idle. The merge is stored in station and date order; the facts are scans of
-    it and keep that order, so filters on station or date skip most of their row groups.
-    """
-    shared = f"{directory}/_shared"
-    warehouse.stg_obs_stations = as_table(warehouse.stg_obs_stations, shared, "stations")
-    warehouse.stg_city_pop = as_table(warehouse.stg_city_pop, shared, "city_pop")
-    warehouse._obs_daily_all_qc = as_table(warehouse._obs_daily_all_qc, shared, "obs_daily_all_qc", w.KEYS)
-    warehouse.obs_daily_all = warehouse._obs_daily_all_qc.select("station_date_id", *w.KEYS, *w.DAY_COLUMNS)
-    warehouse.city_coord_and_pop = as_table(warehouse.city_coord_and_pop, shared, "city_coord_and_pop")
-    frames = {name: getattr(warehouse, name) for name in names}
     with ThreadPoolExecutor(WRITERS) as writers:
-        paths = writers.map(lambda name: export(frames[name], directory, name), names)
-        return dict(zip(names, paths, strict=True))
+        list(writers.map(store, frames))
+
+
+def build_all(warehouse: Warehouse, directory: str, names=(*MARTS, *SERVE, *ARCHIVE), inputs: dict | None = None) -> Published:
+    """Build the stored tables and publish them together; readers see the version before until then.
+
+    What several tables share is stored first and read back, so the rollup, the merge, the name
+    match and the station snapshot are computed once. Large tables are stored by month and sorted by
+    station and date, so filters on date skip files and those on station row groups. ``inputs`` says what was read.
+    """
+    published = Published(warehouse.spark, directory)
+    build = published.build()
+    store_shared(build, warehouse, ["stg_obs_stations", "stg_city_pop", "_obs_daily_all_qc"])
+    store_shared(build, over(warehouse, stg_city_pop=build.read("_city_pop")), ["city_coord_and_pop"])
+    models = stored_warehouse(build, warehouse)
+    store_all(build, {name: getattr(models, name) for name in names})
+    build.commit(inputs)
+    return published

@@ -8,18 +8,22 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, IntegerType, LongType, StringType, StructField, StructType
 
 from obsloom.functions.calendar import utc
+from obsloom.operators.incremental import log_rows
 from obsloom.plans.checks import NOT_NULL, RELATIONSHIPS, UNIQUE, run_checks
 from obsloom.plans.loads import land_and_log, land_increment, next_incremental, next_initial
-from obsloom.plans.warehouse import MARTS, Warehouse, build_all
+from obsloom.plans.refresh import refresh
+from obsloom.plans.warehouse import ARCHIVE, MARTS, SERVE, Warehouse, build_all
 from obsloom.registered.bindings import LANDING_SQL, landing_source
 from obsloom.registered.common import Registry, rounded, scratch, sql_key, sql_round, table
 from obsloom.registered.models import CALENDAR_END, ORACLES, with_models
 from obsloom.sources import files
-from obsloom.sources.landing import Landing
+from obsloom.sources.keyed import KeyedLog
+from obsloom.sources.landing import FACTS, Landing
+from obsloom.sources.published import Published
 from obsloom.sources.schemas import LANDING, without
 from obsloom.sources.versioned import VersionedTable
 from obsloom.streaming.landing import stream_land
-from obsloom.streaming.rollup import current_days, stream_rollup, write_updates
+from obsloom.streaming.rollup import Updates, current_days, stream_rollup, write_updates
 
 _NOW = dt.datetime(2024, 2, 1, 6)
 _STAMP = "2024-02-01T06:00:00.000000+00:00"
@@ -87,7 +91,8 @@ def _register_files(registry: Registry) -> None:
         """Stations delivered as files of one JSON array each, loaded twice and stored once."""
         root = scratch(spark)
         stations = landing_source(spark, sf_dir)("land_obs_stations")
-        arrays = stations.groupBy(F.pmod(F.xxhash64("id"), F.lit(8)).alias("file")).agg(F.to_json(F.collect_list(F.struct("*"))).alias("value"))
+        arrays_of = -(-stations.count() // 500)  # an array has about as many records, however many stations there are
+        arrays = stations.groupBy(F.pmod(F.xxhash64("id"), F.lit(arrays_of)).alias("file")).agg(F.to_json(F.collect_list(F.struct("*"))).alias("value"))
         arrays.repartition("file").write.partitionBy("file").text(f"{root}/delivered")
         landing = Landing(spark, root)
         for _ in range(2):
@@ -153,6 +158,42 @@ def _register_loads(registry: Registry) -> None:
         rejected = spark.read.parquet(landing.path("land_obs_hourly_rejected"))
         return _landed(landing, "land_obs_hourly").unionByName(rounded(rejected.select("station_id", "time", *_obs_columns("land_obs_hourly"), "load_time")))
 
+    @registry.add(
+        "malformed_rows",
+        "SELECT 'landed' AS kind, CAST(user_id AS VARCHAR) AS record, CAST(ts AS TIMESTAMP) AS time, CAST(1 AS BIGINT) AS times FROM events WHERE event_id % 7 <> 3 "
+        "UNION ALL SELECT 'malformed', concat('{\"time\": ', event_id, ', '), NULL, 2 FROM events WHERE event_id % 7 = 3",
+    )
+    def malformed_rows(spark, sf_dir):
+        """Records cut off in the middle, twice in their file, are set aside once; delivered again, nothing is added."""
+        root = scratch(spark)
+        events = table(spark, sf_dir, "events")
+        good = F.to_json(F.struct(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("time"), F.col("user_id").cast("string").alias("station_id"), F.col("value").alias("temp")))
+        broken = F.concat(F.lit('{"time": '), F.col("event_id").cast("string"), F.lit(", "))
+        lines = F.when(F.col("event_id") % 7 == 3, F.array(broken, broken)).otherwise(F.array(good))
+        events.select(F.explode(lines).alias("value")).write.text(f"{root}/delivered")
+        landing, name = Landing(spark, root), "land_obs_hourly"
+        for _ in range(2):
+            delivered = files.read_delivered(spark, f"{root}/delivered", without(LANDING[name], "load_time"), "json")
+            landing.land(landing.set_aside(delivered, name), name, _now())
+        landed = landing.source(name).select(F.lit("landed").alias("kind"), F.col("station_id").alias("record"), "time", F.lit(1).cast("long").alias("times"))
+        aside = spark.read.parquet(landing.path(f"{name}_malformed"))
+        return landed.unionByName(aside.select(F.lit("malformed").alias("kind"), "record", F.lit(None).cast("timestamp_ntz").alias("time"), "times"))
+
+    @registry.add(
+        "upsert_log_compacted",
+        "SELECT CAST(user_id AS VARCHAR) AS station_id, TIMESTAMP '2024-02-01 06:00:00' + to_days(CAST(max(event_id % 10) AS INTEGER)) AS last_fetched, "
+        "'land_obs_hourly' AS table_name FROM events GROUP BY user_id",
+    )
+    def upsert_log_compacted(spark, sf_dir):
+        """Ten loads logged one after another as changes; every few of them become a snapshot."""
+        log = KeyedLog(spark, scratch(spark), LANDING["land_obs_load_log"], ["station_id", "table_name"], fan_in=4)
+        events = table(spark, sf_dir, "events")
+        for k in range(10):
+            loaded = events.where(F.col("event_id") % 10 == k).select(F.col("user_id").cast("string").alias("station_id"))
+            log.append(log_rows(loaded, "land_obs_hourly", utc(_NOW + dt.timedelta(days=k))))
+        assert len(log.folders()) <= 4
+        return log.read()
+
     pending = (
         "SELECT id FROM s WHERE snapshot_time = (SELECT max(snapshot_time) FROM s) AND daily_start IS NOT NULL AND daily_end IS NOT NULL AND country = 'US'"
     )
@@ -225,15 +266,62 @@ def _register_loads(registry: Registry) -> None:
     def model_checks(spark, sf_dir):
         """The declared data tests over the stored tables and the staged landing tables."""
         warehouse = Warehouse(landing_source(spark, sf_dir), calendar_end=CALENDAR_END)
-        paths = build_all(warehouse, scratch(spark), MARTS)
-        return run_checks(lambda name: spark.read.parquet(paths[name]) if name in paths else getattr(warehouse, name))
+        stored = build_all(warehouse, scratch(spark), MARTS).snapshot()
+        return run_checks(lambda name: stored.read(name) if name in stored else getattr(warehouse, name))
 
     @registry.add("build_all", with_models(ORACLES["mart_obs_fact"]))
     def build_all_(spark, sf_dir):
         """Every stored table built and exported; the daily fact read back."""
-        paths = build_all(Warehouse(landing_source(spark, sf_dir), calendar_end=CALENDAR_END), scratch(spark))
-        assert len(paths) == 12
-        return rounded(spark.read.parquet(paths["mart_obs_fact"]))
+        stored = build_all(Warehouse(landing_source(spark, sf_dir), calendar_end=CALENDAR_END), scratch(spark)).snapshot()
+        assert all(name in stored for name in (*MARTS, *SERVE, *ARCHIVE))
+        return rounded(stored.read("mart_obs_fact"))
+
+    orders = "o_orderkey, o_custkey, CAST(o_orderdate AS DATE) AS o_day, o_orderstatus, o_totalprice FROM orders"
+
+    @registry.add(
+        "mart_versions",
+        f"SELECT 'kept' AS version, {orders} WHERE o_orderkey % 2 = 0 UNION ALL "
+        f"SELECT 'newest' AS version, {orders} WHERE year(o_orderdate) = 1998 OR year(o_orderdate) = 1997 AND o_orderkey % 2 = 0",
+    )
+    def mart_versions(spark, sf_dir):
+        """A year's months are replaced: a reader that keeps the version before sees it whole, another reads two years of the new one."""
+        day = F.to_date("o_orderdate").alias("o_day")
+        rows = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", day, "o_orderstatus", "o_totalprice")
+        published = Published(spark, scratch(spark))
+        first = published.build()
+        first.store(rows.where("o_orderkey % 2 = 0"), "orders", "o_day", order=["o_custkey"])
+        first.commit()
+        kept = published.snapshot()
+        second = published.build()
+        year = {f"1998-{m:02d}" for m in range(1, 13)}
+        second.store(rows.where("year(o_day) = 1998"), "orders", "o_day", months=year, order=["o_custkey"])
+        second.commit()
+        newest = published.read("orders", since=dt.date(1997, 1, 1), until=dt.date(1998, 12, 31))
+        return kept.read("orders").withColumn("version", F.lit("kept")).unionByName(newest.withColumn("version", F.lit("newest")))
+
+    @registry.add(
+        "build_increment",
+        with_models(ORACLES["mart_obs_window_fact"])
+        .replace("FROM events", "FROM moved_events")
+        .replace("WITH ", "WITH moved_events AS (SELECT * REPLACE (ts + to_days(CAST(31 * (user_id % 5) AS INTEGER)) AS ts) FROM events), ", 1),
+    )
+    def build_increment(spark, sf_dir):
+        """All but a month is landed and built, then the month is landed and what it changes is built again."""
+        moved = table(spark, sf_dir, "events").withColumn("ts", F.expr("ts + make_dt_interval(CAST(31 * (user_id % 5) AS INT))"))
+        source = landing_source(spark, sf_dir, events=moved)
+        landing, marts = Landing(spark, scratch(spark)), scratch(spark)
+        for name in ("land_obs_stations", "land_city_coord", "land_city_pop"):
+            landing.small(name).replace(source(name))
+        names = ("mart_obs_fact", "mart_obs_window_fact", "mart_stations_dim")
+        last = F.date_format("time", "yyyy-MM") == "2024-05"
+        built = []
+        for part in (~last, last):
+            for name in FACTS:
+                landing.land(source(name).where(part).drop("load_time"), name, _now(), dedupe=False)
+            built.append(refresh(landing, marts, CALENDAR_END, names).snapshot())
+        before, after = (s.tables["mart_obs_fact"]["parts"] for s in built)
+        assert "2024-05" not in before and before == {m: f for m, f in after.items() if m != "2024-05"}
+        return rounded(built[-1].read("mart_obs_window_fact"))
 
 
 _STREAM_SPEC = [("value_avg", "avg", "value"), ("value_min", "min", "value"), ("value_max", "max", "value"), ("value_sum", "sum", "value")]
@@ -252,8 +340,10 @@ def _register_streams(registry: Registry) -> None:
         events.repartition(4, "event_id").write.parquet(f"{root}/arriving")  # a day's rows come in several micro-batches
         stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/arriving")
         rolled = stream_rollup(stream, key="user_id", time="ts", date_as="event_date", spec=_STREAM_SPEC, watermark="60 days")
-        write_updates(rolled, f"{root}/updates", f"{root}/progress").awaitTermination()
-        return rounded(current_days(spark.read.parquet(f"{root}/updates"), "user_id", "event_date", "user_day_id"))
+        write_updates(rolled, f"{root}/updates", f"{root}/progress", ["user_id", "event_date"], fan_in=3).awaitTermination()
+        updates = Updates(spark, f"{root}/updates")
+        assert max(r["level"] for r in updates.runs()) == 1  # three micro-batches have become one run
+        return rounded(current_days(updates.read(), "user_id", "event_date", "user_day_id"))
 
     @registry.add("stream_land", f"WITH landed AS ({LANDING_SQL['land_obs_hourly']}) SELECT station_id, time, "
                   + ", ".join(sql_round(c) for c in _obs_columns("land_obs_hourly")) + " FROM landed")

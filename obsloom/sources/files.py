@@ -5,32 +5,47 @@ from __future__ import annotations
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 
-def read_csv(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    """A headed CSV whose header must agree with ``schema``; a malformed row raises."""
-    return spark.read.schema(schema).csv(path, header=True, enforceSchema=False, escape='"', mode="FAILFAST")
+#: A record that could not be read, as text, and the file that it came from.
+RECORD, FILE = "_malformed_record", "_file"
+#: Reader options by format under which a malformed record is kept as text, with the columns that could be read.
+PERMISSIVE = {
+    "csv": {"header": True, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": RECORD},
+    "json": {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": RECORD},
+}
+#: In JSON text without its strings, something other than the rest of a value behind a closed array: a second value.
+_STRINGS, _SECOND_VALUE = r'"[^"\\]*+(?:\\.[^"\\]*+)*+"', r"\]\s*[^\s,\]}]"
 
 
-#: Reader options by format under which malformed records raise instead of turning into nulls.
-STRICT = {"csv": {"header": True, "mode": "FAILFAST"}, "json": {"mode": "FAILFAST"}}
+def delivered_schema(schema: StructType) -> StructType:
+    return StructType([*schema, StructField(RECORD, StringType())])
 
 
-def read_json(spark: SparkSession, path: str, schema: StructType, array: bool = False) -> DataFrame:
-    """JSON records, one per line, or with ``array`` one array per file, which is then read by one task.
+def read_delivered(spark: SparkSession, path: str, schema: StructType, file_format: str, array: bool = False, **options) -> DataFrame:
+    """Delivered files with the columns of ``schema``, ``FILE`` and, for text formats, ``RECORD`` (null for what is well formed).
 
-    A malformed record raises, and so does a file that holds anything but one array: the reader would
-    otherwise keep its first value only.
+    ``options`` are those of Spark's reader. JSON has one record per line, or with ``array`` one array per file, which is then read by one task; of an array,
+    single elements can be malformed. A file that is not one array is one malformed record.
     """
+    file = F.col("_metadata.file_path").alias(FILE)
     if not array:
-        return spark.read.schema(schema).json(path, mode="FAILFAST")
-    whole = spark.read.text(path, wholetext=True)
+        reader = spark.read.schema(delivered_schema(schema)) if file_format in PERMISSIVE else spark.read.schema(schema)
+        rows = reader.format(file_format).options(**{**PERMISSIVE.get(file_format, {}), **options}).load(path)
+        return rows.select("*", file)
+    whole = spark.read.text(path, wholetext=True).select("value", file)
     text = F.trim(F.regexp_replace("value", r"^\s+|\s+$", ""))
-    single = text.startswith("[") & text.endswith("]") & ~text.rlike(r"\]\s*\[")
-    checked = F.when(single, text).otherwise(F.raise_error(F.lit(f"not one JSON array per file: {path}")))
-    records = F.from_json(checked, ArrayType(schema), {"mode": "FAILFAST"})
-    return whole.select(F.explode(records).alias("r")).select("r.*")
+    plain = F.regexp_replace(text, _STRINGS, '""')
+    single = text.startswith("[") & text.endswith("]") & ~plain.rlike(_SECOND_VALUE)
+    elements = F.from_json(F.when(single, text), "array<string>", {"mode": "PERMISSIVE"})
+    each = whole.select(FILE, "value", elements.alias("elements")).select(
+        FILE, F.explode(F.coalesce("elements", F.array("value"))).alias("element"), F.col("elements").isNotNull().alias("listed")
+    )
+    parsed = F.from_json("element", delivered_schema(schema), {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": RECORD})
+    # What stands in an array must be a record; an empty one would pass for a record of nulls.
+    record = F.when(~F.col("listed") | ~F.ltrim("element").startswith("{"), F.col("element")).otherwise(F.col(f"r.{RECORD}"))
+    return each.select("element", "listed", FILE, parsed.alias("r")).select(*[F.col(f"r.{c}").alias(c) for c in schema.names], record.alias(RECORD), FILE)
 
 
 def write_json(df: DataFrame, path: str, snapshot_time: Column) -> None:

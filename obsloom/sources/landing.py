@@ -9,12 +9,17 @@ from pyspark.sql.types import StringType, StructField, StructType
 from obsloom.functions.calendar import iso_timestamp
 from obsloom.operators.incremental import high_water, new_rows, stamp
 from obsloom.operators.skew import same_keys
+from obsloom.session import materialise
 from obsloom.sources import files
-from obsloom.sources.schemas import LANDING, without
+from obsloom.sources.keyed import KeyedLog
+from obsloom.sources.schemas import LANDING, MALFORMED, without
+from obsloom.sources.storage import Storage
 from obsloom.sources.versioned import VersionedTable
 
 FACTS = ("land_obs_daily", "land_obs_hourly")
 HIGH_WATER = "land_obs_high_water"
+#: Logs of one row per station and table, with the column whose greatest value counts, if not the latest row.
+LOGS = {"land_obs_load_log": None, "land_obs_attempt_log": None, HIGH_WATER: "last_time"}
 MONTH = "obs_month"
 
 
@@ -27,14 +32,32 @@ class Landing:
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
 
-    def small(self, name: str) -> VersionedTable:
+    def small(self, name: str) -> VersionedTable | KeyedLog:
+        if name in LOGS:
+            return KeyedLog(self.spark, self.path(name), LANDING[name], ["station_id", "table_name"], LOGS[name])
         return VersionedTable(self.spark, self.path(name), LANDING[name])
 
-    def source(self, name: str) -> DataFrame:
-        """A landing table with its declared schema; empty if nothing has landed yet."""
+    def source(self, name: str, months=None) -> DataFrame:
+        """A landing table with its declared schema; empty if nothing has landed yet. Observations of some ``months`` if given."""
         if name not in FACTS:
             return self.small(name).read()
-        return self._facts(name).select(*LANDING[name].names)
+        facts = self._facts(name)
+        if months is not None:
+            facts = facts.where(F.col(MONTH).isin(sorted(months)))
+        return facts.select(*LANDING[name].names)
+
+    def fingerprints(self) -> dict[str, dict[str, str]]:
+        """What has landed, in short: for every month of observations the number and bytes of its files, which each landing
+        changes; for the other tables their version."""
+        storage = Storage(self.spark)
+        found = {}
+        for name in LANDING:
+            if name in FACTS:
+                folders = [f for f in storage.names(self.path(name)) if f.startswith(f"{MONTH}=")]
+                found[name] = {f.partition("=")[2]: "%d files, %d bytes" % storage.size(f"{self.path(name)}/{f}") for f in folders}
+            elif name not in LOGS:
+                found[name] = {"": str(self.small(name).version())}
+        return found
 
     def _facts(self, name: str) -> DataFrame:
         schema = StructType([*LANDING[name], StructField(MONTH, StringType())])
@@ -43,15 +66,23 @@ class Landing:
         return files.read_parquet(self.spark, self.path(name), schema)
 
     def load_csv(self, path: str, name: str, loaded_at: Column) -> None:
-        """Replace a table by a delivered CSV."""
-        delivered = files.read_csv(self.spark, path, without(LANDING[name], "last_load_time"))
+        """Replace a table by a delivered CSV, whose header must agree; malformed rows are set aside, unless all are."""
+        schema = without(LANDING[name], "last_load_time")
+        read = files.read_delivered(self.spark, path, schema, "csv", enforceSchema=False, escape='"')
+        delivered = self.set_aside(read, name)
+        if delivered.isEmpty() and not read.isEmpty():
+            raise ValueError(f"every row of {path} is malformed")
         text = F.date_format(loaded_at, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
         self.small(name).replace(delivered.withColumn("last_load_time", F.concat(text, F.lit("+00:00"))))
 
     def load_stations(self, path: str, array: bool = False) -> None:
-        """Append a delivered station snapshot; stations of a snapshot that are stored already are left out."""
+        """Append a delivered station snapshot; stations of a snapshot that are stored already are left out.
+
+        Malformed records go to a table of their own, as in :meth:`set_aside`.
+        """
         stored = self.small("land_obs_stations")
-        rows = files.read_json(self.spark, path, stored.schema, array).dropDuplicates(["id", "snapshot_time"])
+        delivered = files.read_delivered(self.spark, path, stored.schema, "json", array=array)
+        rows = self.set_aside(delivered, "land_obs_stations").dropDuplicates(["id", "snapshot_time"])
         kept = stored.read().select("id", "snapshot_time").distinct()
         stored.append(rows.join(kept, same_keys(rows, kept, ["id", "snapshot_time"]), "left_anti"))
 
@@ -66,9 +97,7 @@ class Landing:
         month = F.date_format("time", "yyyy-MM").alias(MONTH)
         rows = stamp(batch, load_time, station).select("*", month)
         keyed = F.col("station_id").isNotNull() & F.col("time").isNotNull()
-        rejected = rows.where(~keyed)
-        if not rejected.isEmpty():
-            files.append(rejected, self.path(f"{name}_rejected"), LANDING[name])
+        self._keep_once(rows.where(~keyed), f"{name}_rejected", LANDING[name], apart_from=["load_time", MONTH])
         rows = rows.where(keyed)
         if dedupe:
             months = rows.select(MONTH).distinct()
@@ -77,6 +106,31 @@ class Landing:
         files.append(rows, self.path(name), LANDING[name], [MONTH])
         self._raise_marks(name, batch if station is None else batch.withColumn("station_id", station))
 
+    def set_aside(self, delivered: DataFrame, name: str) -> DataFrame:
+        """The well-formed rows of a delivery, after its malformed records went to ``<name>_malformed``.
+
+        There each is one row of its file and text, with the number of times that the file has it. A record that is
+        delivered again in the same file adds nothing.
+        """
+        if files.RECORD not in delivered.columns:
+            return delivered.drop(files.FILE)
+        # Parsed once, whole: a query for some columns would not see what is wrong with the others.
+        delivered = materialise(delivered)
+        bad = delivered.where(F.col(files.RECORD).isNotNull())
+        counted = bad.groupBy(F.col(files.FILE).alias("file"), F.col(files.RECORD).alias("record")).agg(F.count(F.lit(1)).alias("times"))
+        self._keep_once(counted, f"{name}_malformed", MALFORMED, apart_from=["times"])
+        return delivered.where(F.col(files.RECORD).isNull()).drop(files.FILE, files.RECORD)
+
+    def _keep_once(self, rows: DataFrame, name: str, schema: StructType, apart_from: list[str]) -> None:
+        """Append the rows that are not stored yet, compared without some columns."""
+        if rows.isEmpty():
+            return
+        if files.path_exists(self.spark, self.path(name), schema):
+            keys = [c for c in schema.names if c not in apart_from]
+            stored = files.read_parquet(self.spark, self.path(name), schema).select(*keys).distinct()
+            rows = rows.join(stored, same_keys(rows, stored, keys), "left_anti")
+        files.append(rows, self.path(name), schema)
+
     def _raise_marks(self, name: str, batch: DataFrame) -> None:
         """Keep the latest stored time per station beside the log, so that planning reads no facts.
 
@@ -84,12 +138,11 @@ class Landing:
         """
         marks = self.small(HIGH_WATER)
         if marks.version() is None:
-            parts = [high_water(self._facts(t), "station_id", "time").withColumn("table_name", F.lit(t)) for t in FACTS]
+            for t in FACTS:
+                marks.append(high_water(self._facts(t), "station_id", "time").withColumn("table_name", F.lit(t)))
         else:
             keyed = batch.where(F.col("station_id").isNotNull() & F.col("time").isNotNull())
-            parts = [marks.read(), high_water(keyed, "station_id", "time").withColumn("table_name", F.lit(name))]
-        latest = parts[0].select("station_id", "last_time", "table_name").unionByName(parts[1])
-        marks.replace(latest.groupBy("station_id", "table_name").agg(F.max("last_time").alias("last_time")))
+            marks.append(high_water(keyed, "station_id", "time").withColumn("table_name", F.lit(name)))
 
     def marks(self, name: str) -> DataFrame | None:
         """``(station_id, last_time)`` of a table of observations; None before anything has landed."""

@@ -51,6 +51,8 @@ def _schema(columns: str) -> StructType:
 
 
 LANDING = {name: _schema(columns) for name, columns in _COLUMNS.items()}
+#: Records that could not be read, by file and text.
+MALFORMED = _schema("file string, record string, times bigint")
 
 
 def without(schema: StructType, *columns: str) -> StructType:

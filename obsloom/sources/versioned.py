@@ -2,8 +2,8 @@
 
 Each rewrite, and each append, goes to a new ``version=N`` folder. A version counts once its write has
 been committed, which the ``_SUCCESS`` file shows: what a failed write left behind is never read, and
-its number is not used again. Two jobs that write the same version do not overwrite each other; the
-second one fails and can be repeated. Versions are kept for a day for jobs that still read them.
+its number is not used again. A number is reserved by creating a file that only one writer can create, so of
+two jobs that take the same number the second fails, before it has written anything, and can be repeated. Versions are kept for a day for jobs that still read them.
 """
 
 from __future__ import annotations
@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 from obsloom.sources.files import aligned, read_parquet
+from obsloom.sources.storage import CommitLog
 
 KEPT_SECONDS = 24 * 3600
 
@@ -22,6 +23,7 @@ KEPT_SECONDS = 24 * 3600
 class VersionedTable:
     def __init__(self, spark: SparkSession, path: str, schema: StructType):
         self.spark, self.path, self.schema = spark, path, schema
+        self.claims = CommitLog(spark, f"{path}/_claims")
 
     def _folders(self) -> dict[int, float | None]:
         """The version folders with the time of their commit in seconds, None without one."""
@@ -51,7 +53,10 @@ class VersionedTable:
     def replace(self, df: DataFrame) -> None:
         """Store ``df`` as the next version and let go of versions replaced long ago."""
         folders = self._folders()
-        aligned(df, self.schema).write.mode("error").parquet(f"{self.path}/version={max(folders, default=0) + 1}")
+        number = max(max(folders, default=0), self.claims.newest()) + 1
+        if not self.claims.add(number, {}):
+            raise FileExistsError(f"another job writes version {number} of {self.path}")
+        aligned(df, self.schema).write.mode("error").parquet(f"{self.path}/version={number}")
         committed = sorted((v, done) for v, done in folders.items() if done is not None)
         for (old, _), (_, replaced) in zip(committed, committed[1:]):
             if replaced < time.time() - KEPT_SECONDS:

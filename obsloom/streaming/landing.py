@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from obsloom.functions.calendar import utc_now
 from obsloom.plans.loads import log_loaded
-from obsloom.sources.files import STRICT
+from obsloom.sources.files import FILE, PERMISSIVE, delivered_schema
 from obsloom.sources.landing import Landing
 from obsloom.sources.schemas import LANDING, without
 
@@ -25,25 +26,27 @@ def stream_land(
 ) -> StreamingQuery:
     """Land files as they arrive and log their stations.
 
-    Each micro-batch lands its rows and then rewrites the log, both safe to repeat. Without
+    Each micro-batch sets malformed records aside, lands its rows and then adds to the log, all safe to repeat. Without
     ``every`` the run takes what is there and ends; with it (for example ``30 seconds``) it goes on.
     """
     spark = landing.spark
-    reader = spark.readStream.schema(without(LANDING[table], "load_time")).format(file_format)
-    for name, value in {**STRICT.get(file_format, {}), **(options or {})}.items():
+    schema = without(LANDING[table], "load_time")
+    reader = spark.readStream.schema(delivered_schema(schema) if file_format in PERMISSIVE else schema).format(file_format)
+    for name, value in {**PERMISSIVE.get(file_format, {}), **(options or {})}.items():
         reader = reader.option(name, value)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
 
     def land_batch(batch: DataFrame, _batch_id: int) -> None:
         now = utc_now()
-        batch = batch.persist()  # its files would otherwise be parsed for the months, the rows and the log
+        rows = landing.set_aside(batch, table).persist()  # read for the months, the rows and the log
         try:
-            landing.land(batch, table, now)
-            log_loaded(landing, table, batch.select("station_id").dropna().distinct(), now)
+            landing.land(rows, table, now)
+            log_loaded(landing, table, rows.select("station_id").dropna().distinct(), now)
         finally:
-            batch.unpersist()
+            rows.unpersist()
 
-    writer = reader.load(directory).writeStream.option("checkpointLocation", checkpoint).foreachBatch(land_batch)
+    delivered = reader.load(directory).select("*", F.col("_metadata.file_path").alias(FILE))
+    writer = delivered.writeStream.option("checkpointLocation", checkpoint).foreachBatch(land_batch)
     trigger = {"processingTime": every} if every else {"availableNow": True}
     return writer.trigger(**trigger).start()

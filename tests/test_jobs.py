@@ -9,6 +9,7 @@ from conftest import rows
 
 from obsloom.jobs import run
 from obsloom.sources.landing import Landing
+from obsloom.sources.published import Published
 
 
 def station(id_, **changed):
@@ -58,7 +59,7 @@ def test_from_files_to_marts(spark, tmp_path):
     job("build", "--out", marts, "--calendar-end", "2024-02-01")
 
     def mart(name):
-        return spark.read.parquet(f"{marts}/{name}.parquet")
+        return Published(spark, marts).read(name)
 
     assert rows(mart("mart_obs_fact"), "station_id", "obs_date").__len__() == 5
     assert rows(mart("mart_city_dim"), "area_code", "population") == [("007", 1234)]
@@ -71,6 +72,17 @@ def test_from_files_to_marts(spark, tmp_path):
     assert len(job("check", "--marts", marts)) == 35
     assert rows(spark.read.parquet(f"{lake}/land_obs_daily_rejected"), "station_id", "tavg") == [("1", 1.0)]
 
-    spark.createDataFrame([("1", 1)], "station_id string, n int").write.mode("overwrite").parquet(f"{marts}/mart_stations_dim.parquet")
-    with pytest.raises(Exception, match="stations|column|COLUMN"):
+    def publish(name, df):
+        build = Published(spark, marts).build()
+        build.store(df, name)
+        build.commit()
+
+    stations = mart("mart_stations_dim")
+    publish("mart_stations_dim", spark.createDataFrame([("1", 1)], "station_id string, n int"))
+    with pytest.raises(SystemExit, match="mart_stations_dim: column n is int, declared not at all"):
+        job("check", "--marts", marts)
+    publish("mart_stations_dim", stations.unionByName(stations))
+    with pytest.raises(SystemExit, match="mart_stations_dim.station_id unique: 3$"):
         job("check", "--marts", marts)
+    publish("mart_stations_dim", stations)
+    assert len(job("check", "--marts", marts)) == 35
