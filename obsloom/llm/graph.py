@@ -29,5 +29,7 @@ def components(links: DataFrame, a: str = "a", b: str = "b", max_rounds: int = 6
         least = large.groupBy("x").agg(F.min("y").alias("m"))
         small = large.join(least, "x").where("y <> m").select(F.col("y").alias("x"), F.col("m").alias("y"))
         edges = stored(small.unionByName(least.select("x", F.col("m").alias("y"))).distinct())
+    else:
+        raise RuntimeError(f"components are not complete after {max_rounds} rounds")
     roots = edges.select(F.col("y").alias("id"), F.col("y").alias("component")).distinct()
     return edges.select(F.col("x").alias("id"), F.col("y").alias("component")).unionByName(roots)

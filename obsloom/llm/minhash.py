@@ -3,21 +3,22 @@
 1. Every text becomes its set of five-word shingles, a signature of 128 minima and a digest of the
    whole set. Texts with equal sets are one class from here on, represented by its smallest id.
 2. Signatures are cut into 32 bands of 4; classes that share a band meet in a bucket. Of the heads of its
-   buckets, each class is paired with the one it shares most buckets with (a star, so n classes give at
-   most n pairs). Rounds with other heads follow, only across the components found so far, until one
-   finds no more links.
-3. A pair's signatures are compared batch by batch. With m of n minima equal and an even prior, the
-   similarity is Beta(m + 1, n - m + 1); the pair is dropped as soon as the chance that it reaches the
-   threshold falls below ``miss``. Survivors are verified on the full sets.
-4. Buckets that still hold two or more components are compared across these, in blocks of bounded
+   buckets, each class meets the one it shares most buckets with (a star, so n classes have at
+   most n pairs). A second round with other heads follows, only across the components found so far.
+3. Where classes meet, signatures are compared batch by batch. With m of n minima equal and an even prior, the
+   similarity is Beta(m + 1, n - m + 1); a pair is dropped as soon as the chance that it reaches the
+   threshold falls below ``miss``. Survivors are verified at once on the full sets, which are in the cell.
+4. Buckets that still hold two or more components are compared across these, in cells of blocks of bounded
    size: the largest component's rows lie in one block each, those of the others are copied to the
-   blocks. Survivors are verified on the full sets as well. Pairs within a component need no test.
+   blocks. A cell joins components as it goes, so pairs of one component need no test, and gives
+   back fewer links than it has components: links grow with a group's size, not its square. A pair is compared in its first
+   common band only.
 5. Components of the verified links give the result.
 
 At the threshold a pair shares a band with probability 1 - (1 - 0.75**4)**32, 0.999995.
 
 Defined results: null or empty text has no shingles and links with nothing. A row without an id gets
-no component and is kept. Rows that repeat an id are one document: it has all their sets.
+no component and is kept. Rows that repeat an id are one document: it has all their sets, and joins their classes.
 """
 
 from __future__ import annotations
@@ -113,6 +114,24 @@ def sketches(docs: DataFrame, text: str, doc_id: str, width: int) -> DataFrame:
     return mapped(picked, run, "doc long, n_shingles long, digest binary, sig binary")
 
 
+def full_sets(texts: DataFrame, width: int) -> DataFrame:
+    """``(id, digest, set)`` of the rows ``(id, text)`` that have shingles: the sorted hashes as bytes."""
+
+    def run(batches):
+        import pyarrow as pa
+        import xxhash
+
+        for batch in batches:
+            for piece in pieces(batch, "text", 4 << 20):
+                sets = [x.tobytes() for x in shingle_sets(piece.column("text").to_pylist(), width)]
+                some = pa.array([len(x) > 0 for x in sets], pa.bool_())
+                yield pa.RecordBatch.from_arrays(
+                    [piece.column("id"), pa.array([xxhash.xxh3_128_digest(x) for x in sets], pa.binary()), pa.array(sets, pa.binary())], names=["id", "digest", "set"]
+                ).filter(some)
+
+    return mapped(texts.select("id", "text"), run, "id long, digest binary, set binary")
+
+
 def least_matches(threshold: float, miss: float) -> np.ndarray:
     """For each number of batches compared, the fewest equal minima with which a pair stays."""
     least = []
@@ -145,86 +164,104 @@ def sig_array(column) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), np.uint32).reshape(-1, HASHES)
 
 
-def likely(pairs: DataFrame, threshold: float, miss: float) -> DataFrame:
-    """``(a, b, same)`` of the pairs ``(a, b, sig_a, sig_b)`` that are not dropped."""
-    least = least_matches(threshold, miss)
+def set_array(column) -> list[np.ndarray]:
+    return [np.frombuffer(x, np.uint64) for x in column.to_pylist()]
+
+
+def overlaps(one: np.ndarray, many: list[np.ndarray]) -> np.ndarray:
+    """Size of the intersection of a sorted set with each of several, none of them empty."""
+    sizes = np.array([len(x) for x in many])
+    flat = np.concatenate(many)
+    at = np.minimum(np.searchsorted(one, flat), len(one) - 1)
+    return np.add.reduceat((one[at] == flat).astype(np.int64), np.concatenate([[0], np.cumsum(sizes)[:-1]]))
+
+
+def same_first_band(one: np.ndarray, many: np.ndarray, band: int) -> np.ndarray:
+    """Whether ``band`` is the first one that a signature has in common with each of several."""
+    equal = (many == one).reshape(len(many), HASHES // ROWS, ROWS).all(axis=2)
+    return equal[:, band] & ~equal[:, :band].any(axis=1)
+
+
+def cell_links(ids, comp, sig, sets, side, band: int, least: np.ndarray, percent: int) -> list[tuple[int, int]]:
+    """Links between the components that meet in a cell: verified ones, and no more than components less one.
+
+    ``side`` is 0, 1 or 2: rows of side 0 meet those of side 1 only, rows of side 2 meet each other. With a ``band`` that is not
+    negative, a pair is left to the bucket of its first common band. A pair that earlier links of the cell have joined is not compared.
+    """
+    label = np.unique(comp, return_inverse=True)[1]
+    order = np.argsort(side, kind="stable")
+    ids, sig, side, label, sets = ids[order], sig[order], side[order], label[order], [sets[i] for i in order]
+    size = np.array([len(x) for x in sets])
+    out = []
+    for at in range(len(ids) - 1):
+        if side[at] == 1:
+            break
+        apart = label[at + 1 :] != label[at]
+        if side[at] == 0:
+            apart &= side[at + 1 :] == 1
+        other = at + 1 + np.flatnonzero(apart)
+        for start in range(0, len(other), 4096):
+            some = other[start : start + 4096]
+            some = some[label[some] != label[at]]
+            if len(some) and band >= 0:
+                some = some[same_first_band(sig[at], sig[some], band)]
+            if len(some):
+                some = some[compared(np.broadcast_to(sig[at], (len(some), HASHES)), sig[some], least) >= 0]
+            if not len(some):
+                continue
+            both = overlaps(sets[at], [sets[i] for i in some])
+            for i in some[100 * both >= percent * (size[at] + size[some] - both)]:
+                if label[i] != label[at]:
+                    label[label == label[i]] = label[at]
+                    out.append((min(ids[at], ids[i]), max(ids[at], ids[i])))
+    return out
+
+
+def linked(cells: DataFrame, keys: list[str], percent: int, miss: float) -> DataFrame:
+    """``(a, b)``: what :func:`cell_links` finds in every cell of ``cells (*keys, band, side, id, comp, sig, set)``."""
+    least = least_matches(percent / 100, miss)
+    placed = cells.select(*keys, "band", "side", "id", "comp", "sig", "set").repartition(*keys).sortWithinPartitions(*keys)
 
     def run(batches):
         import pyarrow as pa
 
-        for batch in batches:
-            if batch.num_rows:
-                same = compared(sig_array(batch.column("sig_a")), sig_array(batch.column("sig_b")), least)
-                out = pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(same)], names=["a", "b", "same"])
-                yield out.filter(pa.array(same >= 0))
+        for group in groups(batches, len(keys)):
+            ids, comp, side = (group.column(c).to_numpy() for c in ("id", "comp", "side"))
+            found = cell_links(ids, comp, sig_array(group.column("sig")), set_array(group.column("set")), side, group.column("band")[0].as_py(), least, percent)
+            if found:
+                a, b = zip(*found, strict=True)
+                yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
-    return mapped(pairs.select("a", "b", "sig_a", "sig_b"), run, "a long, b long, same long")
+    return mapped(placed, run, "a long, b long").distinct()
 
 
-def across(buckets: DataFrame, threshold: float, miss: float, block: int = BLOCK) -> DataFrame:
-    """``(a, b)``: likely pairs of different components in ``buckets (bucket, id, comp, sig)``; each bucket has two or more."""
-    least = least_matches(threshold, miss)
+def across(buckets: DataFrame, percent: int, miss: float, block: int = BLOCK) -> DataFrame:
+    """``(a, b)``: verified links of different components in ``buckets (bucket, band, id, comp, sig, set)``; each has two or more."""
     sizes = buckets.groupBy("bucket", "comp").agg(F.count("*").alias("n"))
     sizes = sizes.groupBy("bucket").agg(F.max_by("comp", F.struct("n", "comp")).alias("major"), F.max("n").alias("most"), F.sum("n").alias("n"))
     rows = buckets.join(sizes, "bucket").withColumn("is_major", F.col("comp") == F.col("major"))
     wide, tall = F.ceil(F.col("most") / block).cast("int"), F.ceil((F.col("n") - F.col("most")) / block).cast("int")
     own = F.pmod(F.xxhash64("id"), F.when(F.col("is_major"), wide).otherwise(tall)).cast("int")
     # Cells (i, j): block i of the largest component against block j of the others. Cells (-1 - i, j), i <= j: blocks of the others.
-    across_major = F.transform(F.sequence(F.lit(0), tall - 1), lambda j: F.struct(own.alias("i"), j.alias("j")))
+    at = lambda i, j, side: F.struct(i.alias("i"), j.alias("j"), side.alias("side"))
+    across_major = F.transform(F.sequence(F.lit(0), tall - 1), lambda j: at(own, j, F.lit(0)))
     from_minor = F.concat(
-        F.transform(F.sequence(F.lit(0), wide - 1), lambda i: F.struct(i.alias("i"), own.alias("j"))),
-        F.transform(F.sequence(F.lit(0), tall - 1), lambda j: F.struct((-1 - F.least(j, own)).alias("i"), F.greatest(j, own).alias("j"))),
+        F.transform(F.sequence(F.lit(0), wide - 1), lambda i: at(i, own, F.lit(1))),
+        # Within a block all rows meet; of two blocks, the rows of one meet those of the other.
+        F.transform(
+            F.sequence(F.lit(0), tall - 1),
+            lambda j: at(-1 - F.least(j, own), F.greatest(j, own), F.when(j == own, 2).when(own < j, 0).otherwise(1)),
+        ),
     )
-    cells = rows.select("bucket", "id", "comp", "sig", F.explode(F.when(F.col("is_major"), across_major).otherwise(from_minor)).alias("cell"))
-    cells = cells.select("bucket", "cell.i", "cell.j", "id", "comp", "sig")
-    cells = cells.repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j")
-
-    def run(batches):
-        import pyarrow as pa
+    cells = rows.select("bucket", "band", "id", "comp", "sig", "set", F.explode(F.when(F.col("is_major"), across_major).otherwise(from_minor)).alias("cell"))
+    return linked(cells.select("bucket", "cell.i", "cell.j", "cell.side", "band", "id", "comp", "sig", "set"), ["bucket", "i", "j"], percent, miss)
 
-        for group in groups(batches, 3):
-            ids, comp, sig = group.column("id").to_numpy(), group.column("comp").to_numpy(), sig_array(group.column("sig"))
-            for at in range(len(ids) - 1):
-                other = at + 1 + np.flatnonzero(comp[at + 1 :] != comp[at])
-                if not len(other):
-                    continue
-                hit = other[compared(np.broadcast_to(sig[at], (len(other), HASHES)), sig[other], least) >= 0]
-                if len(hit):
-                    low, high = np.minimum(ids[hit], ids[at]), np.maximum(ids[hit], ids[at])
-                    yield pa.RecordBatch.from_arrays([pa.array(low), pa.array(high)], names=["a", "b"])
 
-    return mapped(cells, run, "a long, b long").distinct()
+def _stars(members: DataFrame, found: DataFrame | None, kinds: DataFrame, number: int, percent: int, miss: float, block: int = BLOCK) -> DataFrame:
+    """Verified links ``(a, b)`` between each class and one head of its buckets in another component.
 
-
-def verified(pairs: DataFrame, texts: DataFrame, percent: int, width: int) -> DataFrame:
-    """The pairs ``(a, b)`` whose full sets reach the threshold; ``texts`` has ``(doc, text)``."""
-
-    def run(batches):
-        import pyarrow as pa
-
-        known: dict[str, np.ndarray] = {}
-        for batch in batches:
-            found = []
-            for a, b in zip(batch.column("text_a").to_pylist(), batch.column("text_b").to_pylist(), strict=True):
-                if len(known) > 32:
-                    known.clear()
-                for t in (a, b):
-                    if t not in known:
-                        known[t] = shingle_sets([t], width)[0]
-                both = len(np.intersect1d(known[a], known[b], assume_unique=True))
-                found.append(100 * both >= percent * (len(known[a]) + len(known[b]) - both))
-            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], names=["a", "b"]).filter(pa.array(found, pa.bool_()))
-
-    left = texts.select(F.col("doc").alias("a"), F.col("text").alias("text_a"))
-    right = texts.select(F.col("doc").alias("b"), F.col("text").alias("text_b"))
-    joined = pairs.select("a", "b").join(left, "a").join(right, "b").sortWithinPartitions("b", "a")
-    return mapped(joined, run, "a long, b long").distinct()
-
-
-def _stars(members: DataFrame, found: DataFrame | None, sig: DataFrame, number: int, threshold: float, miss: float) -> DataFrame:
-    """Likely pairs ``(a, b)``, one for each class whose buckets have a head in another component.
-
-    A bucket's head is its smallest id in the first round, and another member by a hash in each later one.
+    A bucket's head is its smallest id in the first round, and another member by a hash in each later one. A head meets
+    the classes that chose it in cells of bounded size; each class's set goes to one cell, the head's to all of its cells.
     """
     rows = members.select("bucket", "id")
     rows = rows.withColumn("comp", F.col("id")) if found is None else rows.join(found, "id", "left").select("bucket", "id", F.coalesce("component", "id").alias("comp"))
@@ -232,15 +269,19 @@ def _stars(members: DataFrame, found: DataFrame | None, sig: DataFrame, number:
     first = F.min(F.struct(order.alias("order"), "id", "comp")).alias("head")
     heads = rows.groupBy("bucket").agg(first, F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi")
     pairs = rows.join(heads.select("bucket", F.col("head.id").alias("head"), F.col("head.comp").alias("head_comp")), "bucket").where("comp <> head_comp")
-    shared = pairs.groupBy("id", "head").agg(F.count("*").alias("n"))
-    chosen = shared.groupBy("id").agg(F.max_by("head", F.struct("n", -F.col("head"))).alias("head"))
-    stars = chosen.select(F.least("id", "head").alias("a"), F.greatest("id", "head").alias("b")).distinct()
-    stars = stars.join(sig.select(F.col("id").alias("a"), F.col("sig").alias("sig_a")), "a").join(sig.select(F.col("id").alias("b"), F.col("sig").alias("sig_b")), "b")
-    return likely(stars, threshold, miss).select("a", "b").distinct()
+    shared = pairs.groupBy("id", "comp", "head", "head_comp").agg(F.count("*").alias("n"))
+    chosen = shared.groupBy("id", "comp").agg(F.max_by(F.struct("head", "head_comp"), F.struct("n", -F.col("head"))).alias("to"))
+    sizes = chosen.groupBy("to.head", "to.head_comp").agg(F.ceil(F.count("*") / block).cast("int").alias("slots"))
+    chosen = chosen.select("id", "comp", "to.head").join(sizes.select("head", "slots"), "head")
+    slot = F.pmod(F.xxhash64("id"), F.col("slots")).cast("int")
+    rays = chosen.select("head", slot.alias("slot"), F.lit(1).alias("side"), "id", "comp")
+    centres = sizes.select("head", F.explode(F.sequence(F.lit(0), F.col("slots") - 1)).alias("slot"), F.lit(0).alias("side"), F.col("head").alias("id"), F.col("head_comp").alias("comp"))
+    cells = rays.unionByName(centres).join(kinds, "id").withColumn("band", F.lit(-1))
+    return linked(cells, ["head", "slot"], percent, miss)
 
 
 def near_duplicates(
-    docs: DataFrame, text: str = "text", doc_id: str = "doc_id", percent: int = 75, width: int = WIDTH, miss: float = 1e-6, rounds: int = 6
+    docs: DataFrame, text: str = "text", doc_id: str = "doc_id", percent: int = 75, width: int = WIDTH, miss: float = 1e-6, rounds: int = 2
 ) -> DataFrame:
     """One row per row of ``docs``: ``doc_id``, ``n_shingles``, ``component_id`` (smallest id reachable by links) and ``kept``.
 
@@ -253,26 +294,26 @@ def near_duplicates(
     # One row per class: the class is its smallest id.
     kinds = stored(classes.join(usable.select("digest", "sig", F.col("doc").alias("id")), ["digest", "id"]).dropDuplicates(["digest", "id"]))
     bands = F.transform(F.sequence(F.lit(0), F.lit(HASHES // ROWS - 1)), lambda i: F.xxhash64(F.substring("sig", i * ROWS * 4 + 1, F.lit(ROWS * 4)), i))
-    members = kinds.select("id", F.explode(bands).alias("bucket"))
+    members = kinds.select("id", F.posexplode(bands).alias("band", "bucket"))
     heads = members.groupBy("bucket").agg(F.min("id").alias("head"), F.max("id").alias("last")).where("head <> last").select("bucket", "head")
-    members = stored(members.join(heads, "bucket").distinct())
-    sig = kinds.select("id", "sig")
-    wanted = members.select(F.col("id").alias("doc")).distinct()
-    texts = stored(docs.select(F.col(doc_id).cast("long").alias("doc"), F.col(text).alias("text")).where(F.col(text).isNotNull()).join(wanted, "doc"))
-    found, tested = None, None
+    members = stored(members.join(heads, "bucket").select("bucket", "band", "id").distinct())
+    # The full sets of classes that share a band, once each.
+    wanted = members.select("id").distinct()
+    texts = docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).alias("text")).where(F.col(text).isNotNull()).join(wanted, "id")
+    kinds = stored(full_sets(texts, width).join(kinds, ["digest", "id"]).dropDuplicates(["digest", "id"]).select("id", "sig", "set"))
+    # A document of several rows and sets joins their classes.
+    several = usable.groupBy("doc").agg(F.min("digest").alias("lo"), F.max("digest").alias("hi")).where("lo <> hi").select("doc")
+    links = usable.join(several, "doc").join(classes, "digest").select(F.col("doc").alias("a"), F.col("id").alias("b")).where("a <> b").distinct()
+    found = None
     for number in range(rounds):
-        stars = _stars(members, found, sig, number, percent / 100, miss)
-        stars = stored(stars if tested is None else stars.join(tested, ["a", "b"], "left_anti"))
-        links = stored(verified(stars, texts, percent, width))
-        if number and links.isEmpty():
+        more = stored(_stars(members, found, kinds, number, percent, miss))
+        if number and more.isEmpty():
             break
-        tested = stars if tested is None else tested.unionByName(stars)
-        found = components(links if found is None else links.unionByName(found.select(F.col("id").alias("a"), F.col("component").alias("b"))))
-    comps = members.select("bucket", "id").join(found, "id", "left").select("bucket", "id", F.coalesce("component", "id").alias("comp"))
+        found = components((links if found is None else as_links(found)).unionByName(more))
+    comps = members.join(found, "id", "left").select("bucket", "band", "id", F.coalesce("component", "id").alias("comp"))
     mixed_buckets = comps.groupBy("bucket").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("bucket")
-    more = across(stored(comps.join(mixed_buckets, "bucket").join(sig, "id").select("bucket", "id", "comp", "sig")), percent / 100, miss)
-    more = stored(verified(more.join(tested, ["a", "b"], "left_anti"), texts, percent, width))
-    found = components(found.select(F.col("id").alias("a"), F.col("component").alias("b")).unionByName(more))
+    more = stored(across(comps.join(mixed_buckets, "bucket").join(kinds, "id"), percent, miss))
+    found = components(as_links(found).unionByName(more))
     per_class = classes.join(found, "id", "left").select("digest", F.coalesce("component", "id").alias("component"))
     return rows.join(per_class, "digest", "left").select(
         F.col("doc").alias(doc_id),
@@ -280,3 +321,7 @@ def near_duplicates(
         F.when(F.col("doc").isNotNull(), F.coalesce("component", "doc")).alias("component_id"),
         F.coalesce(F.coalesce("component", "doc") == F.col("doc"), F.lit(True)).alias("kept"),
     )
+
+
+def as_links(found: DataFrame) -> DataFrame:
+    return found.select(F.col("id").alias("a"), F.col("component").alias("b"))

@@ -18,7 +18,7 @@ sys.path.insert(0, str(Path(__file__).resolve().parent.parent.parent))
 
 from obsloom.llm import automaton, bpe, chaining, lm, suffix
 from obsloom.llm.lines import dedup_lines
-from obsloom.llm.minhash import across, near_duplicates, signature, shingle_sets
+from obsloom.llm.minhash import across, cell_links, least_matches, near_duplicates, shingle_sets, signature
 from obsloom.llm.mixing import annotated, mix, rake
 from obsloom.llm.queries import vocabulary_path
 from obsloom.llm.vectors import near_vectors
@@ -66,17 +66,42 @@ def test_minhash_equals_all_pairs(spark, near_texts):
         assert r["component_id"] == want[r["doc_id"]] and r["kept"] == (want[r["doc_id"]] == r["doc_id"])
 
 
-def test_blocks_across_components_miss_no_pair(spark, prose):
-    base = prose(1, 200).split()
-    sigs = {}
-    for i in range(23):
+@pytest.mark.parametrize("block", [512, 7])
+def test_cells_give_linear_links_that_miss_nothing(spark, prose, block):
+    """One large group of near copies over three components and many single ones: at most n - 1 links a cell, all components right."""
+    draw, base, sets = random.Random(5), prose(1, 200).split(), {}
+    for i in range(160):
         words = list(base)
-        words[i % 5] = f"x{i}"
-        sigs[i] = signature(shingle_sets([" ".join(words)])[0]).tobytes()
-    rows = [(7, i, 0 if i < 15 else i, s) for i, s in sigs.items()]
-    buckets = spark.createDataFrame([(a, b, c, bytearray(s)) for a, b, c, s in rows], "bucket long, id long, comp long, sig binary")
-    got = {(r["a"], r["b"]) for r in across(buckets, 0.75, 1e-6, block=4).collect()}
-    assert got == {(a, b) for a in sigs for b in sigs if a < b and not (a < 15 and b < 15)}
+        for _ in range(draw.randrange(1, 16)):
+            words[draw.randrange(200)] = f"x{draw.randrange(10**6)}"
+        sets[i] = shingle_sets([" ".join(words)])[0]
+    similar = lambda a, b: 100 * len(np.intersect1d(sets[a], sets[b])) >= 75 * len(np.union1d(sets[a], sets[b]))
+    links = [(a, b) for a in sets for b in sets if a < b and similar(a, b)]
+    comp = {i: (i % 3 if i < 90 else i) for i in sets}
+    want = roots(sets, [*links, *comp.items()])
+    rows = []
+    for i, x in sets.items():
+        bands = signature(x).reshape(32, 4)
+        rows += [(hash((k, bands[k].tobytes())), k, i, comp[i], bytearray(signature(x).tobytes()), bytearray(x.tobytes())) for k in range(32)]
+    buckets = spark.createDataFrame(rows, "bucket long, band int, id long, comp long, sig binary, set binary")
+    got = [(r["a"], r["b"]) for r in across(buckets, 75, 1e-6, block=block).collect()]
+    assert all(similar(a, b) and comp[a] != comp[b] for a, b in got)
+    assert roots(sets, [*got, *comp.items()]) == want and len(links) > 900
+    if block == 512:
+        assert len(got) < 32 * len(set(comp.values()))
+    one = [r for r in rows if r[1] == 0]
+    for bucket in {r[0] for r in one}:
+        own = [r for r in one if r[0] == bucket]
+        columns = [np.array([r[k] for r in own]) for k in (2, 3)]
+        found = cell_links(*columns, np.stack([np.frombuffer(bytes(r[4]), np.uint32) for r in own]), [np.frombuffer(bytes(r[5]), np.uint64) for r in own], np.full(len(own), 2), 0, least_matches(0.75, 1e-6), 75)
+        assert len(found) < max(len(set(columns[1])), 1) + (not found)
+
+
+def test_rows_that_repeat_an_id_join_their_classes(spark, prose):
+    a, b, c = prose(21, 60), prose(22, 60), prose(23, 60)
+    docs = spark.createDataFrame([(3, a), (5, a), (5, b), (7, b), (9, c), (9, None), (11, c)], "doc_id long, text string")
+    got = {(r["doc_id"], r["component_id"], r["kept"]) for r in near_duplicates(docs).collect()}
+    assert got == {(3, 3, True), (5, 3, False), (7, 3, False), (9, 9, True), (11, 9, False)}
 
 
 def test_vectors_equal_all_pairs(spark):
