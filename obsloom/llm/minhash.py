@@ -235,8 +235,11 @@ def linked(cells: DataFrame, keys: list[str], percent: int, miss: float) -> Data
     return mapped(placed, run, "a long, b long").distinct()
 
 
-def across(buckets: DataFrame, percent: int, miss: float, block: int = BLOCK) -> DataFrame:
-    """``(a, b)``: verified links of different components in ``buckets (bucket, band, id, comp, sig, set)``; each has two or more."""
+def across(buckets: DataFrame, kinds: DataFrame, percent: int, miss: float, block: int = BLOCK) -> DataFrame:
+    """``(a, b)``: verified links of different components in ``buckets (bucket, band, id, comp)``; each has two or more.
+
+    Sets (``kinds``: ``id, sig, set``) come in when the cells are laid out, so that they are shuffled to the cells and nowhere else.
+    """
     sizes = buckets.groupBy("bucket", "comp").agg(F.count("*").alias("n"))
     sizes = sizes.groupBy("bucket").agg(F.max_by("comp", F.struct("n", "comp")).alias("major"), F.max("n").alias("most"), F.sum("n").alias("n"))
     rows = buckets.join(sizes, "bucket").withColumn("is_major", F.col("comp") == F.col("major"))
@@ -253,8 +256,9 @@ def across(buckets: DataFrame, percent: int, miss: float, block: int = BLOCK) ->
             lambda j: at(-1 - F.least(j, own), F.greatest(j, own), F.when(j == own, 2).when(own < j, 0).otherwise(1)),
         ),
     )
-    cells = rows.select("bucket", "band", "id", "comp", "sig", "set", F.explode(F.when(F.col("is_major"), across_major).otherwise(from_minor)).alias("cell"))
-    return linked(cells.select("bucket", "cell.i", "cell.j", "cell.side", "band", "id", "comp", "sig", "set"), ["bucket", "i", "j"], percent, miss)
+    cells = rows.select("bucket", "band", "id", "comp", F.explode(F.when(F.col("is_major"), across_major).otherwise(from_minor)).alias("cell"))
+    cells = cells.select("bucket", "cell.i", "cell.j", "cell.side", "band", "id", "comp").join(kinds, "id")
+    return linked(cells, ["bucket", "i", "j"], percent, miss)
 
 
 def _stars(members: DataFrame, found: DataFrame | None, kinds: DataFrame, number: int, percent: int, miss: float, block: int = BLOCK) -> DataFrame:
@@ -312,7 +316,7 @@ def near_duplicates(
         found = components((links if found is None else as_links(found)).unionByName(more))
     comps = members.join(found, "id", "left").select("bucket", "band", "id", F.coalesce("component", "id").alias("comp"))
     mixed_buckets = comps.groupBy("bucket").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("bucket")
-    more = stored(across(comps.join(mixed_buckets, "bucket").join(kinds, "id"), percent, miss))
+    more = stored(across(stored(comps.join(mixed_buckets, "bucket")), kinds, percent, miss))
     found = components(as_links(found).unionByName(more))
     per_class = classes.join(found, "id", "left").select("digest", F.coalesce("component", "id").alias("component"))
     return rows.join(per_class, "digest", "left").select(
