@@ -217,6 +217,40 @@ def cell_links(ids, comp, sig, sets, side, band: int, least: np.ndarray, percent
     return out
 
 
+def with_partners(ids, comp, sig, side, band: int, least: np.ndarray) -> np.ndarray:
+    """Which rows of a cell have a likely partner, by signatures alone: the pairs that :func:`cell_links` would verify."""
+    partner = np.zeros(len(ids), bool)
+    for at in range(len(ids) - 1):
+        rest = slice(at + 1, None)
+        meets = (comp[rest] != comp[at]) & ((side[rest] == 2) if side[at] == 2 else (side[rest] == 1 - side[at]))
+        some = at + 1 + np.flatnonzero(meets)
+        for start in range(0, len(some), 4096):
+            part = some[start : start + 4096]
+            part = part[same_first_band(sig[at], sig[part], band)]
+            part = part[compared(np.broadcast_to(sig[at], (len(part), HASHES)), sig[part], least) >= 0]
+            partner[part] = True
+            partner[at] |= len(part) > 0
+    return partner
+
+
+def likely_rows(cells: DataFrame, keys: list[str], percent: int, miss: float) -> DataFrame:
+    """The rows of ``cells (*keys, band, side, id, comp, sig)`` that have a likely partner in their cell, without ``sig``."""
+    least = least_matches(percent / 100, miss)
+    columns = [*keys, "band", "side", "id", "comp"]
+    placed = cells.select(*columns, "sig").repartition(*keys).sortWithinPartitions(*keys)
+
+    def run(batches):
+        import pyarrow as pa
+
+        for group in groups(batches, len(keys)):
+            ids, comp, side = (group.column(c).to_numpy() for c in ("id", "comp", "side"))
+            partner = with_partners(ids, comp, sig_array(group.column("sig")), side, group.column("band")[0].as_py(), least)
+            if partner.any():
+                yield from group.select(columns).filter(pa.array(partner)).to_batches()
+
+    return mapped(placed, run, placed.select(*columns).schema)
+
+
 def linked(cells: DataFrame, keys: list[str], percent: int, miss: float) -> DataFrame:
     """``(a, b)``: what :func:`cell_links` finds in every cell of ``cells (*keys, band, side, id, comp, sig, set)``."""
     least = least_matches(percent / 100, miss)
@@ -238,7 +272,7 @@ def linked(cells: DataFrame, keys: list[str], percent: int, miss: float) -> Data
 def across(buckets: DataFrame, kinds: DataFrame, percent: int, miss: float, block: int = BLOCK) -> DataFrame:
     """``(a, b)``: verified links of different components in ``buckets (bucket, band, id, comp)``; each has two or more.
 
-    Sets (``kinds``: ``id, sig, set``) come in when the cells are laid out, so that they are shuffled to the cells and nowhere else.
+    Signatures alone choose the rows of each cell that have anything to verify; only these get their sets (``kinds``: ``id, sig, set``).
     """
     sizes = buckets.groupBy("bucket", "comp").agg(F.count("*").alias("n"))
     sizes = sizes.groupBy("bucket").agg(F.max_by("comp", F.struct("n", "comp")).alias("major"), F.max("n").alias("most"), F.sum("n").alias("n"))
@@ -257,8 +291,10 @@ def across(buckets: DataFrame, kinds: DataFrame, percent: int, miss: float, bloc
         ),
     )
     cells = rows.select("bucket", "band", "id", "comp", F.explode(F.when(F.col("is_major"), across_major).otherwise(from_minor)).alias("cell"))
-    cells = cells.select("bucket", "cell.i", "cell.j", "cell.side", "band", "id", "comp").join(kinds, "id")
-    return linked(cells, ["bucket", "i", "j"], percent, miss)
+    cells = cells.select("bucket", "cell.i", "cell.j", "cell.side", "band", "id", "comp")
+    keys = ["bucket", "i", "j"]
+    cells = stored(likely_rows(cells.join(kinds.select("id", "sig"), "id"), keys, percent, miss))
+    return linked(cells.join(kinds, "id"), keys, percent, miss)
 
 
 def _stars(members: DataFrame, found: DataFrame | None, kinds: DataFrame, number: int, percent: int, miss: float, block: int = BLOCK) -> DataFrame:
