@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from obsloom.functions.calendar import iso_timestamp
+from obsloom.operators.ranking import first_per_key
 from obsloom.operators.skew import lookup_join, same_keys
 
 _STEPS = {"day": "INTERVAL 1 DAY", "hour": "INTERVAL 1 HOUR"}
@@ -133,8 +134,9 @@ def new_rows(batch: DataFrame, existing: DataFrame, keys: list[str]) -> DataFram
     kept = existing.select(*keys)
     fresh = batch.join(kept, same_keys(batch, kept, keys), "left_anti")
     rest = [c for c in batch.columns if c not in keys]
-    best = fresh.groupBy(*keys).agg(F.max(F.struct(*rest)).alias("_row")) if rest else fresh.distinct()
-    return best.select(*[F.col(f"_row.`{c}`").alias(c) if c in rest else F.col(c) for c in batch.columns])
+    if not rest:
+        return fresh.distinct()
+    return first_per_key(fresh, keys, [F.col(f"`{c}`").desc_nulls_last() for c in rest]).select(*batch.columns)
 
 
 def log_rows(ids: DataFrame, table: str, ts: Column) -> DataFrame:

@@ -3,7 +3,8 @@
 Points are binned into latitude bands as high as the radius, and each band into longitude
 cells at least as wide as the radius is there. Partners can only be in the neighbouring cells,
 so one side is repeated into those and the pairs come from an equi-join on band and cell,
-followed by the exact distance test.
+followed by the exact distance test. Where the repeated side is too large to broadcast, cells with
+many points are divided further (``quadtree``).
 """
 
 from __future__ import annotations
@@ -15,8 +16,9 @@ from pyspark.sql import functions as F
 
 from obsloom.functions.geo import EARTH_RADIUS_MILES, haversine_miles
 from obsloom.functions.keys import surrogate_key
+from obsloom.operators.quadtree import NODE_ROWS, divided
 from obsloom.operators.ranking import rank_within
-from obsloom.operators.skew import lookup_join
+from obsloom.operators.skew import BROADCAST_ROWS, at_most, lookup_join
 from obsloom.session import materialise
 
 
@@ -40,9 +42,12 @@ class _Grid:
         width = F.degrees(F.asin(F.least(ratio, F.lit(1.0)))) * (1 + 1e-9)
         return F.when(reaches_pole, F.lit(1)).otherwise(F.greatest(F.floor(F.lit(360.0) / width), F.lit(1))).cast("bigint")
 
+    def around(self, lon: Column, cells: Column) -> Column:
+        """Where a longitude is on its band, in cells from the date line."""
+        return F.pmod(lon + 180, F.lit(360.0)) / 360 * cells
+
     def cell(self, lon: Column, cells: Column) -> Column:
-        around = F.pmod(lon + 180, F.lit(360.0)) / 360
-        return F.least(F.floor(around * cells), cells - 1)
+        return F.least(F.floor(self.around(lon, cells)), cells - 1)
 
 
 def distance_join(
@@ -57,8 +62,14 @@ def distance_join(
     b_lon: str,
     miles: float,
     distance_as: str = "distance_miles",
+    broadcast_rows: int = BROADCAST_ROWS,
+    node_rows: int = NODE_ROWS,
 ) -> DataFrame:
-    """All pairs (``a_id``, ``b_id``) within ``miles``; ``b`` should be the smaller side."""
+    """All pairs (``a_id``, ``b_id``) within ``miles``; ``b`` should be the smaller side.
+
+    Beyond ``broadcast_rows`` repeated rows of ``b``, no task compares more than about ``node_rows``
+    rows of either side, however dense a cell is.
+    """
     grid = _Grid(miles)
     placed = (
         a.select(F.col(a_id), F.col(a_lat).cast("double").alias("_lat"), F.col(a_lon).cast("double").alias("_lon"))
@@ -81,7 +92,14 @@ def distance_join(
         )
         .select(b_id, "_blat", "_blon", "_band", "_cell")
     )
-    pairs = lookup_join(placed, probes, ["_band", "_cell"], "inner", spread=[a_id])
+    if at_most(probes, broadcast_rows):
+        pairs = placed.join(F.broadcast(probes), ["_band", "_cell"])
+    else:
+        cells = grid.cells(F.col("_band"))
+        places = placed.withColumn("_up", (F.col("_lat") + 90) / F.lit(grid.height) - F.col("_band"))
+        places = places.withColumn("_along", grid.around(F.col("_lon"), cells) - F.col("_cell"))
+        left, right, node = divided(places, probes, a_id=a_id, b_id=b_id, angle=grid.angle, node_rows=node_rows)
+        pairs = left.join(right, node)
     return pairs.select(
         a_id, b_id, haversine_miles("_lat", "_lon", "_blat", "_blon").alias(distance_as)
     ).filter(F.col(distance_as) <= miles)

@@ -77,12 +77,17 @@ def _rank_in_pieces(df: DataFrame, keys: list[str], order: list[Column], name: s
 def best_per_key(
     df: DataFrame, keys: list[str], largest: list[str], then_smallest: list[str], carry: list[str] = ()
 ) -> DataFrame:
-    """One row per key: greatest ``largest`` columns, then least ``then_smallest``.
+    """One row per key: greatest ``largest`` columns, then least ``then_smallest``, then least ``carry``.
 
-    An aggregate of a struct, so each task passes on one row per key, however many it holds.
+    A rank that Spark cuts off before the shuffle as well (a window group limit), so each task
+    passes on one row per key, however many it holds. Nulls come first in either direction.
     """
-    fields = [(-F.col(c)).alias(f"_neg_{c}") for c in largest]
-    fields += [F.col(c) for c in then_smallest]
-    fields += [F.col(c) for c in (*largest, *carry)]
-    best = df.groupBy(*keys).agg(F.min(F.struct(*fields)).alias("_best"))
-    return best.select(*keys, *[F.col(f"_best.{c}").alias(c) for c in (*then_smallest, *largest, *carry)])
+    order = [F.col(c).desc_nulls_first() for c in largest]
+    order += [F.col(c).asc_nulls_first() for c in (*then_smallest, *carry)]
+    return first_per_key(df, keys, order).select(*keys, *then_smallest, *largest, *carry)
+
+
+def first_per_key(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
+    """The first row of each key in ``order``; null keys are equal to each other."""
+    ranked = df.withColumn("_rank", F.row_number().over(W.partitionBy(*keys).orderBy(*order)))
+    return ranked.filter("_rank = 1").drop("_rank")

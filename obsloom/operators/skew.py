@@ -1,6 +1,6 @@
 """Joins that stay balanced when one key holds a large share of the rows.
 
-A side is broadcast only after its row count has been checked. Beyond that limit the join is
+A side is broadcast only after its rows and their bytes have been measured. Beyond the limits the join is
 shuffled, and the rows of hot keys are spread over several tasks by a salt that is a hash of
 the fact rows' own grain, so a task that runs again puts every row in the same place.
 """
@@ -12,29 +12,35 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from obsloom.session import materialise
+
 BROADCAST_ROWS = 100_000
+BROADCAST_BYTES = 128 << 20
 HOT_ROWS = 2_000_000
 NULL_SALTS = 4_096
 
 
-def at_most(df: DataFrame, rows: int) -> bool:
-    """Whether ``df`` has no more than ``rows`` rows.
+def at_most(df: DataFrame, rows: int, size: int = BROADCAST_BYTES) -> bool:
+    """Whether ``df`` has no more than ``rows`` rows, of together at most ``size`` bytes as text.
 
-    No row comes to the driver: each task counts up to one row beyond the limit and stops.
+    No row comes to the driver: each task measures up to one row beyond the limit and stops, and only
+    the rows' lengths leave it.
     """
-    return df.select(F.lit(1)).limit(rows + 1).count() <= rows
+    lengths = df.select(F.octet_length(F.struct("*").cast("string")).cast("bigint").alias("_size")).limit(rows + 1)
+    measured = lengths.agg(F.count(F.lit(1)).alias("n"), F.sum("_size").alias("size")).first()
+    return measured["n"] <= rows and (measured["size"] or 0) <= size
 
 
-def hot_keys(df: DataFrame, keys: list[str], hot_rows: int = HOT_ROWS) -> DataFrame:
-    """All keys with more than ``hot_rows`` rows and the number of salts each needs.
+def hot_keys(df: DataFrame, keys: list[str], hot_rows: int = HOT_ROWS, most: int = BROADCAST_ROWS) -> DataFrame:
+    """Fewer than ``most`` keys with more than ``hot_rows`` rows each, and the number of salts each needs.
 
-    There can be no more of them than the table has times ``hot_rows``: 5,000 in ten thousand million rows.
+    Keys are counted once. Where very many are hot, only those with more than their even share of all
+    hot rows are named, so what is broadcast does not grow with the table.
     """
-    return (
-        df.groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .filter(F.col("_n") > hot_rows)
-        .select(*keys, F.ceil(F.col("_n") / hot_rows).cast("int").alias("_salts"))
+    counts = materialise(df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > hot_rows))
+    rows = counts.agg(F.sum("_n")).first()[0] or 0
+    return counts.filter(F.col("_n") > max(hot_rows, rows // most)).select(
+        *keys, F.ceil(F.col("_n") / hot_rows).cast("int").alias("_salts")
     )
 
 

@@ -11,7 +11,7 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from obsloom.functions.text import parts_of
-from obsloom.operators import matching, proximity, ranking, skew
+from obsloom.operators import matching, proximity, quadtree, ranking, skew
 
 
 def brute_match(left, right, stop="city"):
@@ -99,19 +99,41 @@ def points(seed, n):
     return fixed + around + line + rest
 
 
+@pytest.mark.parametrize("options", [{}, {"broadcast_rows": 0}, {"broadcast_rows": 0, "node_rows": 3}])
 @pytest.mark.parametrize("radius", [1, 100, 700, 5000, 13000])
-def test_distance_join_equals_all_pairs(spark, radius):
+def test_distance_join_equals_all_pairs(spark, radius, options):
     a, b = points(1, 150), points(2, 120)
     left = spark.createDataFrame([(i, *p) for i, p in enumerate(a)] + [(-1, None, 0.0)], "a long, alat double, alon double")
     right = spark.createDataFrame([(i, *p) for i, p in enumerate(b)] + [(-1, 0.0, None)], "b long, blat double, blon double")
     got = proximity.distance_join(
-        left, right, a_id="a", a_lat="alat", a_lon="alon", b_id="b", b_lat="blat", b_lon="blon", miles=radius
+        left, right, a_id="a", a_lat="alat", a_lon="alon", b_id="b", b_lat="blat", b_lon="blon", miles=radius, **options
     ).collect()
     expected = {(i, j) for i, p in enumerate(a) for j, q in enumerate(b) if miles(p, q) <= radius}
     assert len(got) == len(expected)
     assert {(r["a"], r["b"]) for r in got} == expected
 
 
+def test_dense_cells_are_divided(spark):
+    """100,000 points in one cell, a third of them at one place: no piece has many rows of either side."""
+    spread_out = F.when(F.col("id") % 3 == 0, F.lit(0.5))
+    a = spark.range(100_000).select(
+        F.col("id").alias("a"), F.lit(0).alias("_band"), F.lit(0).alias("_cell"),
+        F.coalesce(spread_out, F.rand(1)).alias("_lat"), F.coalesce(spread_out, F.rand(2)).alias("_lon"),
+    ).select("*", F.col("_lat").alias("_up"), F.col("_lon").alias("_along"))
+    b = spark.range(5_000).select(
+        F.col("id").alias("b"), F.lit(0).alias("_band"), F.lit(0).alias("_cell"),
+        F.coalesce(spread_out, F.rand(3)).alias("_blat"), F.coalesce(spread_out, F.rand(4)).alias("_blon"),
+    )
+    left, right, node = quadtree.divided(a, b, a_id="a", b_id="b", angle=math.radians(0.02), node_rows=1_000)
+    for side in (left, right):
+        assert side.groupBy(*node).count().agg(F.max("count")).first()[0] < 1_200
+    compared = left.groupBy(*node).count().join(right.groupBy(*node).agg(F.count("*").alias("m")), node)
+    # Those of the one place have to be compared; of the others, few pairs are near enough.
+    at_place = 33_334 * 1_667
+    assert at_place <= compared.agg(F.sum(F.col("count") * F.col("m"))).first()[0] < at_place + 0.05 * 100_000 * 5_000
+    assert left.select("a", "_i").distinct().count() <= 100_000
+
+
 def test_proximity_ranks_and_radius(spark):
     degree = math.degrees(1 / 3959)
     left = spark.createDataFrame([(1, 0.0, 0.0, "x"), (2, 0.0, 0.0, "y")], "a long, alat double, alon double, aname string")
@@ -158,6 +180,22 @@ def test_salted_join_equals_plain_join(spark, how):
     assert rows(skew.lookup_join(fact, dim, ["k"], how, spread=["i"])) == rows(plain)
 
 
+def test_hot_keys_are_bounded(spark):
+    """However many keys are hot, fewer than ``most`` are named, the hottest first."""
+    fact = spark.range(1000).select(F.when(F.col("id") < 500, F.lit(0)).otherwise(F.col("id") % 50).alias("k"))
+    assert skew.hot_keys(fact, ["k"], 5).count() == 50
+    assert skew.hot_keys(fact, ["k"], 5, most=10).collect() == [(0, 102)]
+
+
+def test_broadcast_is_decided_by_rows_and_bytes(spark):
+    few = spark.range(10).select("id", F.repeat(F.lit("x"), 1000).alias("t"))
+    assert skew.at_most(few, 10) and not skew.at_most(few, 9)
+    assert not skew.at_most(few, 10, size=9_999) and skew.at_most(few, 10, size=11_000)
+    assert skew.at_most(few.limit(0), 0)
+
+
 def test_best_per_key(spark):
     frame = spark.createDataFrame([("a", 1, 5, "x"), ("a", 2, 5, "y"), ("a", 0, 4, "z"), ("b", 9, 1, "w")], "k string, id int, s int, t string")
     assert rows(ranking.best_per_key(frame, ["k"], ["s"], ["id"], ["t"])) == [("a", 1, 5, "x"), ("b", 9, 1, "w")]
+    tied = frame.unionByName(spark.createDataFrame([("a", 1, 5, "c"), ("b", 9, None, "n")], frame.schema))
+    assert sorted(map(tuple, ranking.best_per_key(tied, ["k"], ["s"], ["id"], ["t"]).collect())) == [("a", 1, 5, "c"), ("b", 9, None, "n")]

@@ -8,7 +8,7 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
-from obsloom.operators import coverage, merge, proximity, reshape, rollup, snapshot, windows
+from obsloom.operators import coverage, incremental, merge, proximity, ranking, reshape, rollup, snapshot, windows
 
 SPEC = [("v", "avg", "value"), ("hi", "max", "value")]
 
@@ -89,3 +89,11 @@ def test_newest_snapshot_broadcasts_one_row(events, capsys):
 def test_narrowing_and_unpivoting_do_not_shuffle(events, capsys):
     assert shuffles(plan(reshape.unpivot_metrics(events, ["k"], ["value"]), capsys)) == 0
     assert shuffles(plan(reshape.serve_float(events, ["k"], ["value"]), capsys)) == 0
+
+
+def test_best_row_is_cut_off_before_the_shuffle(events, capsys):
+    best = plan(ranking.best_per_key(events, ["k"], ["value"], ["t"]), capsys)
+    fresh = plan(incremental.new_rows(events, events.limit(0), ["k"]), capsys)
+    for text in (best, fresh):
+        assert text.count("WindowGroupLimit") == 2 and "SortAggregate" not in text
+    assert shuffles(best) == 1 and "unused" not in best
