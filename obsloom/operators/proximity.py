@@ -120,6 +120,8 @@ def proximity_match(
     a_rank: str = "station_to_city_proximity_rank",
     b_rank: str = "city_to_station_proximity_rank",
     ordered: bool = True,
+    broadcast_rows: int = BROADCAST_ROWS,
+    node_rows: int = NODE_ROWS,
 ) -> DataFrame:
     """Pairs within ``miles`` with all attributes of both sides and the rank of each for the other.
 
@@ -128,7 +130,8 @@ def proximity_match(
     """
     pairs = materialise(
         distance_join(
-            a, b, a_id=a_id, a_lat=a_lat, a_lon=a_lon, b_id=b_id, b_lat=b_lat, b_lon=b_lon, miles=miles
+            a, b, a_id=a_id, a_lat=a_lat, a_lon=a_lon, b_id=b_id, b_lat=b_lat, b_lon=b_lon, miles=miles,
+            broadcast_rows=broadcast_rows, node_rows=node_rows,
         )
     )
     nearest = F.col("distance_miles").asc()

@@ -267,12 +267,12 @@ _POINTS = (
 )
 
 
-def _near(spark, sf_dir):
+def _near(spark, sf_dir, **limits):
     customers = table(spark, sf_dir, "customer").selectExpr(*_SQL_CUSTOMER_POINTS.split(", "))
     suppliers = table(spark, sf_dir, "supplier").selectExpr(*_SQL_SUPPLIER_POINTS.split(", "))
     return proximity.proximity_match(
         customers, suppliers, a_id="c_custkey", a_lat="c_lat", a_lon="c_lon", b_id="s_suppkey", b_lat="s_lat", b_lon="s_lon",
-        miles=300, key_name="pair_id", a_rank="supplier_rank", b_rank="customer_rank",
+        miles=300, key_name="pair_id", a_rank="supplier_rank", b_rank="customer_rank", **limits,
     )
 
 
@@ -313,14 +313,20 @@ QUALIFY row_number() OVER (PARTITION BY left_key ORDER BY total_matched_chars DE
 
     points = "round(c_lat, 6) AS c_lat, round(c_lon, 6) AS c_lon, round(s_lat, 6) AS s_lat, round(s_lon, 6) AS s_lon"
 
-    @registry.add(
-        "proximity_match",
+    near_sql = (
         f"WITH {_POINTS} SELECT pair_id, c_custkey, s_suppkey, {points}, round(distance_miles, 6) AS distance_miles, "
-        "supplier_rank, customer_rank FROM ranked",
+        "supplier_rank, customer_rank FROM ranked"
     )
+
+    @registry.add("proximity_match", near_sql)
     def proximity_match(spark, sf_dir):
         return rounded(_near(spark, sf_dir))
 
+    @registry.add("proximity_divided", near_sql)
+    def proximity_divided(spark, sf_dir):
+        """The form for many points on both sides, with cells of more than 16 points divided."""
+        return rounded(_near(spark, sf_dir, broadcast_rows=0, node_rows=16))
+
     @registry.add(
         "city_bridge",
         f"WITH {_POINTS} SELECT pair_id AS bridge_id, c_custkey AS station_id, s_suppkey AS city_dim_id, "
