@@ -3,8 +3,12 @@
 Vectors are scaled to length 1, where a cosine is a distance. A table's hash is the cell of ``bits``
 random projections, each shifted and cut into steps of ``step``; vectors of one label that share a
 cell in any of ``tables`` tables are compared by their exact cosine in double precision. At a
-distance d a projection agrees with probability 1 - 2 N(-w/d) - 2 d / (w sqrt(2 pi)) (1 - exp(-w^2 / 2 d^2));
-with the defaults a pair at cosine 0.93 is missed with probability 7e-5, closer pairs far less.
+distance d a projection agrees with probability 1 - 2 N(-w/d) - 2 d / (w sqrt(2 pi)) (1 - exp(-w^2 / 2 d^2)).
+
+``bits`` grows with the logarithm of the counted vectors of the largest label, so that a cell holds about
+``meet`` of them by chance (at cosine 0) however many there are, and ``tables`` follows from the asked ``miss``
+of a pair at the threshold; closer pairs are missed far less. At 0.93, 1,000 vectors take 7 bits and 24 tables,
+a million 17 and 142: the tables grow with about the 0.22th power of the rows, the comparisons of a vector alike.
 
 Equal vectors of a label are one class first, so copies are never compared with each other. Cells with many
 classes are cut into blocks that are compared in pairs, by tasks of bounded size. A pair is counted in the first
@@ -18,6 +22,8 @@ no part and is kept, with a null component. Rows that repeat an id count as vect
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -45,8 +51,33 @@ class Hashes:
             return (steps * self.mix).sum(axis=2)
 
 
+def agreement(cosine: float, step: float) -> float:
+    """How likely one projection puts two unit vectors of this cosine into one step."""
+    d = math.sqrt(max(2 - 2 * cosine, 0.0))
+    if not d:
+        return 1.0
+    tail = math.erfc(step / d / math.sqrt(2)) / 2
+    return 1 - 2 * tail - 2 * d / (step * math.sqrt(2 * math.pi)) * (1 - math.exp(-(step * step) / (2 * d * d)))
+
+
+def plan(rows: int, threshold: float, miss: float, step: float, meet: int) -> tuple[int, int]:
+    """Bits and tables for ``rows`` vectors of one label."""
+    bits = max(math.ceil(math.log(max(rows / meet, 1.0)) / -math.log(agreement(0.0, step))), 4)
+    found = agreement(threshold, step) ** bits
+    return bits, math.ceil(math.log(miss) / math.log1p(-found)) if found < 1 else 1
+
+
+def lengths_of(column) -> np.ndarray:
+    import pyarrow.compute as pc
+
+    return pc.list_value_length(column).to_numpy(zero_copy_only=False)
+
+
 def unit_rows(column) -> np.ndarray:
-    vectors = np.stack([np.asarray(v, np.float64) for v in column.to_pylist()])
+    import pyarrow as pa
+
+    column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
+    vectors = column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(column), -1)
     with np.errstate(over="ignore"):
         vectors = vectors / np.abs(vectors).max(axis=1, keepdims=True)  # the square of a very large component would overflow
     return vectors / np.sqrt((vectors * vectors).sum(axis=1, keepdims=True))
@@ -72,12 +103,16 @@ def near_vectors(
     embedding: str = "embedding",
     label: str = "label",
     threshold: float = 0.93,
-    tables: int = 20,
-    bits: int = 6,
+    miss: float = 1e-4,
     step: float = 2.0,
+    meet: int = 8,
     block: int = BLOCK,
 ) -> DataFrame:
-    """One row per row of ``vectors``: ``vec_id``, ``n_links``, ``component_id`` and ``kept``."""
+    """One row per row of ``vectors``: ``vec_id``, ``n_links``, ``component_id`` and ``kept``.
+
+    ``miss`` is the chance that a pair at the threshold is not found; ``meet`` is about how many vectors
+    without anything in common share a cell of the largest label.
+    """
     cast = F.col(embedding).cast("array<double>")
     usable = F.col("id").isNotNull() & F.col("label").isNotNull() & (F.size("v") > 0)
     usable = usable & F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists("v", lambda x: x != 0)
@@ -89,13 +124,15 @@ def near_vectors(
     kinds = rows.where("usable").select("k", "id", "label", "v").join(sizes, ["k", "id"]).dropDuplicates(["k", "id"])
     # Rows that repeat an id may head several classes, so a class has a number of its own.
     kinds = stored(kinds.select(F.xxhash64("k").alias("kind"), "k", "id", "n", "label", "v"))
+    largest = kinds.groupBy("label").agg(F.count("*").alias("n")).agg(F.max("n")).first()[0] or 0
+    bits, tables = plan(largest, threshold, miss, step, meet)
 
     def hashed(batches):
         import pyarrow as pa
 
         made: dict[int, Hashes] = {}
         for batch in batches:
-            lengths = np.array([len(v) for v in batch.column("v").to_pylist()])
+            lengths = lengths_of(batch.column("v"))
             for size in np.unique(lengths):
                 some = batch.filter(pa.array(lengths == size))
                 hashes = made.setdefault(int(size), Hashes(int(size), tables, bits, step))
@@ -125,7 +162,7 @@ def near_vectors(
             i, j, tab = (group.column(c)[0].as_py() for c in ("i", "j", "tab"))
             kind, own = group.column("kind").to_numpy(), group.column("own").to_numpy()
             labels, lists = np.array(group.column("label").to_pylist()), group.column("v")
-            lengths = np.array([len(v) for v in lists.to_pylist()])
+            lengths = lengths_of(lists)
             if len(np.unique(lengths)) > 1 or len(np.unique(labels)) > 1:  # buckets whose 64-bit hashes are equal by chance
                 parts = [(labels == x) & (lengths == n) for x in np.unique(labels) for n in np.unique(lengths)]
             else:

@@ -120,6 +120,23 @@ def test_vectors_equal_all_pairs(spark):
             assert (r["n_links"], r["component_id"]) == (count[r["vec_id"]], want[r["vec_id"]])
 
 
+def test_projections_follow_from_rows_and_miss():
+    """The stated chance of a miss holds, measured on pairs at the threshold, and chance meetings stay rare at any size."""
+    from obsloom.llm.vectors import Hashes, agreement, plan
+
+    random_ = np.random.default_rng(8)
+    a, b = np.linalg.qr(random_.standard_normal((3000, 64, 2)))[0].transpose(2, 0, 1)
+    near = 0.93 * a + np.sqrt(1 - 0.93**2) * b
+    for rows in (100, 5_000, 200_000):
+        bits, tables = plan(rows, 0.93, 1e-2, 2.0, 8)
+        hashes = Hashes(64, tables, bits, 2.0)
+        same = (hashes.cells(a) == hashes.cells(near)).any(axis=1).mean()
+        assert same >= 1 - 2 * 1e-2
+        apart = (hashes.cells(a) == hashes.cells(b)).mean() * rows
+        assert apart < 3 * 8 + 1 and agreement(0.0, 2.0) ** bits * rows <= 8.0001 or bits == 4
+    assert plan(0, 0.93, 1e-4, 2.0, 8)[0] == 4 and plan(1_000, 1.0, 1e-4, 2.0, 8)[1] == 1
+
+
 def test_bpe_equals_the_library(spark):
     from tokenizers import Tokenizer
 
