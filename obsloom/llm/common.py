@@ -80,8 +80,8 @@ def pieces(batch, text: str, piece_bytes: int):
         start = stop
 
 
-def groups(batches, keys: int):
-    """Groups of rows with equal values in the first ``keys`` columns, as Arrow tables; rows come sorted by those."""
+def runs(batches, keys: int):
+    """Tables of whole groups with the bounds of each; rows come sorted by the first ``keys`` columns, which a group shares."""
     import numpy as np
     import pyarrow as pa
 
@@ -99,11 +99,19 @@ def groups(batches, keys: int):
             continue
         table = pa.Table.from_batches([*held, batch])
         cuts = bounds(table.combine_chunks())
-        for a, b in zip(cuts[:-2], cuts[1:-1], strict=True):
-            yield table.slice(a, b - a)
+        if len(cuts) > 2:
+            yield table.slice(0, cuts[-2]), cuts[:-1]
         held = table.slice(cuts[-2]).to_batches()
     if held:
-        yield pa.Table.from_batches(held)
+        table = pa.Table.from_batches(held)
+        yield table, np.array([0, table.num_rows])
+
+
+def groups(batches, keys: int):
+    """Groups of rows with equal values in the first ``keys`` columns, as Arrow tables; rows come sorted by those."""
+    for table, cuts in runs(batches, keys):
+        for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+            yield table.slice(a, b - a)
 
 
 _SHIPPED: set[str] = set()

@@ -28,7 +28,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from obsloom.llm.common import groups, mapped, stored
+from obsloom.llm.common import mapped, runs, stored
 from obsloom.llm.graph import components
 
 BLOCK = 1024
@@ -97,6 +97,29 @@ def roots(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         low = new
 
 
+def cell_links(units: np.ndarray, cell: dict, hashes: Hashes, threshold: float):
+    """Kind, id, links counted here and smallest id joined with, for the vectors of a cell that have links; or None."""
+    i, j = cell["i"][0], cell["j"][0]
+    left, right = (slice(None), slice(None)) if i == j else (np.flatnonzero(cell["own"] == i), np.flatnonzero(cell["own"] == j))
+    p, q = np.nonzero(units[left] @ units[right].T >= threshold)
+    if i == j:
+        p, q = p[p < q], q[p < q]
+    else:
+        p, q = left[p], right[q]
+    if not len(p):
+        return None
+    some = np.unique(np.concatenate([p, q]))
+    p, q = np.searchsorted(some, p), np.searchsorted(some, q)
+    cells, ids, n = hashes.cells(units[some]), cell["id"][some], cell["n"][some]
+    first = np.concatenate([(cells[p[a : a + 65536]] == cells[q[a : a + 65536]]).argmax(axis=1) for a in range(0, len(p), 65536)])
+    count = first == cell["tab"][0]
+    links = np.bincount(p[count], n[q[count]], len(some)) + np.bincount(q[count], n[p[count]], len(some))
+    order = np.argsort(ids, kind="stable")
+    rank = np.argsort(order)
+    low = ids[order][roots(len(some), rank[p], rank[q])[rank]]
+    return cell["kind"][some], ids, links.astype(np.int64), low
+
+
 def near_vectors(
     vectors: DataFrame,
     vec_id: str = "vec_id",
@@ -158,44 +181,31 @@ def near_vectors(
         import pyarrow as pa
 
         made: dict[int, Hashes] = {}
-        for group in groups(batches, 3):
-            i, j, tab = (group.column(c)[0].as_py() for c in ("i", "j", "tab"))
-            kind, own = group.column("kind").to_numpy(), group.column("own").to_numpy()
-            labels, lists = np.array(group.column("label").to_pylist()), group.column("v")
-            lengths = lengths_of(lists)
-            if len(np.unique(lengths)) > 1 or len(np.unique(labels)) > 1:  # buckets whose 64-bit hashes are equal by chance
-                parts = [(labels == x) & (lengths == n) for x in np.unique(labels) for n in np.unique(lengths)]
-            else:
-                parts = [np.ones(len(kind), bool)]
-            for part in parts:
-                if part.sum() < 2:
-                    continue
-                at = np.flatnonzero(part)
-                units = unit_rows(lists.take(pa.array(at)))
-                left = np.flatnonzero(own[at] == i)
-                right = np.flatnonzero(own[at] == j)
-                p, q = np.nonzero(units[left] @ units[right].T >= threshold)
-                p, q = left[p], right[q]
-                if i == j:
-                    p, q = p[p < q], q[p < q]
-                if not len(p):
-                    continue
-                hashes = made.setdefault(units.shape[1], Hashes(units.shape[1], tables, bits, step))
-                cell = hashes.cells(units)
-                first = np.concatenate([(cell[p[a : a + 65536]] == cell[q[a : a + 65536]]).argmax(axis=1) for a in range(0, len(p), 65536)])
-                count = first == tab
-                n = group.column("n").to_numpy()[at]
-                links = np.bincount(p[count], n[q[count]], len(at)) + np.bincount(q[count], n[p[count]], len(at))
-                ids = group.column("id").to_numpy()[at]
-                order = np.argsort(ids, kind="stable")
-                place = np.argsort(order)
-                low = ids[order][roots(len(at), place[p], place[q])[place]]
-                some = np.zeros(len(at), bool)
-                some[p] = some[q] = True
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(kind[at][some]), pa.array(ids[some]), pa.array(links[some].astype(np.int64)), pa.array(low[some])],
-                    names=["kind", "id", "links", "low"],
-                )
+        names = ("kind", "own", "id", "n", "i", "j", "tab")
+        for table, cuts in runs(batches, 3):
+            # Cells are small and many: columns are unpacked once for all of them.
+            columns = {c: table.column(c).to_numpy() for c in names}
+            lists, lengths = table.column("v"), lengths_of(table.column("v"))
+            labels = table.column("label").combine_chunks().dictionary_encode().indices.to_numpy()
+            sort = labels * (int(lengths.max()) + 1) + lengths
+            alike = np.minimum.reduceat(sort, cuts[:-1]) == np.maximum.reduceat(sort, cuts[:-1])
+            units = {int(size): unit_rows(lists.filter(pa.array(lengths == size))) for size in np.unique(lengths)}
+            place = np.zeros(len(lengths), np.int64)  # of a row among those of its length
+            for size in units:
+                place[lengths == size] = np.arange((lengths == size).sum())
+            out = []
+            for start, end, same in zip(cuts[:-1], cuts[1:], alike, strict=True):
+                rows_ = np.arange(start, end)
+                # Buckets whose 64-bit hashes are equal by chance hold several labels or lengths.
+                for at in [rows_] if same else [rows_[sort[start:end] == x] for x in np.unique(sort[start:end])]:
+                    if len(at) > 1:
+                        size = int(lengths[at[0]])
+                        hashes = made.setdefault(size, Hashes(size, tables, bits, step))
+                        linked_ = cell_links(units[size][place[at]], {c: v[at] for c, v in columns.items()}, hashes, threshold)
+                        if linked_ is not None:
+                            out.append(linked_)
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*out, strict=True)], names=["kind", "id", "links", "low"])
 
     found = stored(mapped(spread, linked, "kind long, id long, links long, low long"))
     joined = components(found.select(F.col("id").alias("a"), F.col("low").alias("b")))
