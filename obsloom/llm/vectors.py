@@ -108,12 +108,18 @@ def cell_links(units: np.ndarray, cell: dict, hashes: Hashes, threshold: float):
         p, q = left[p], right[q]
     if not len(p):
         return None
+    # A pair belongs to the first table in which it meets; most near ones leave within a few tables.
     some = np.unique(np.concatenate([p, q]))
-    p, q = np.searchsorted(some, p), np.searchsorted(some, q)
-    cells, ids, n = hashes.cells(units[some]), cell["id"][some], cell["n"][some]
-    first = np.concatenate([(cells[p[a : a + 65536]] == cells[q[a : a + 65536]]).argmax(axis=1) for a in range(0, len(p), 65536)])
-    count = first == cell["tab"][0]
-    links = np.bincount(p[count], n[q[count]], len(some)) + np.bincount(q[count], n[p[count]], len(some))
+    cells, p, q = hashes.cells(units[some]), np.searchsorted(some, p), np.searchsorted(some, q)
+    for table in range(cell["tab"][0]):
+        fresh = cells[p, table] != cells[q, table]
+        p, q = p[fresh], q[fresh]
+        if not len(p):
+            return None
+    here = np.unique(np.concatenate([p, q]))
+    some, p, q = some[here], np.searchsorted(here, p), np.searchsorted(here, q)
+    ids, n = cell["id"][some], cell["n"][some]
+    links = np.bincount(p, n[q], len(some)) + np.bincount(q, n[p], len(some))
     order = np.argsort(ids, kind="stable")
     rank = np.argsort(order)
     low = ids[order][roots(len(some), rank[p], rank[q])[rank]]
