@@ -8,7 +8,7 @@ distance d a projection agrees with probability 1 - 2 N(-w/d) - 2 d / (w sqrt(2
 ``bits`` grows with the logarithm of the counted vectors of the largest label, so that a cell holds about
 ``meet`` of them by chance (at cosine 0) however many there are, and ``tables`` follows from the asked ``miss``
 of a pair at the threshold; closer pairs are missed far less. At 0.93, 1,000 vectors take 7 bits and 24 tables,
-a million 17 and 142: the tables grow with about the 0.22th power of the rows, the comparisons of a vector alike.
+a million 17 and 140: the tables grow with about the 0.22th power of the rows, the comparisons of a vector alike.
 
 Equal vectors of a label are one class first, so copies are never compared with each other. Cells with many
 classes are cut into blocks that are compared in pairs, by tasks of bounded size. A pair is counted in the first
