@@ -8,7 +8,8 @@
    ones are classes of their own, the others share classes.
 3. The network (numpy) reads the ids before a place and predicts the next one: embeddings of ids and
    places, one head of causal self-attention added to them, a softmax over classes and one over the ids
-   of the class, both from the same hidden state. Every task trains on the windows of the training texts
+   of the class, both from the same hidden state. There are as many classes as give a place the fewest
+   logits by the counts. Every task trains on the windows of the training texts
    in its blocks, each once over all ``rounds`` (``train_every`` above 1 takes a share); the blocks' weights
    are averaged by their windows, in a tree, after each of ``rounds``. Windows are gathered a step at a time.
 4. For scoring, windows of ``WINDOW`` ids overlap such that each id is scored once, with the
@@ -35,9 +36,9 @@ from obsloom.llm.common import groups, mapped, pieces, stored
 
 VOCABULARY = 50_257
 END = 50_256
-SINGLES, CLASSES = 128, 256
+CLASSES = 256  # at most
 READ_SINGLES, READ_CLASSES = 960, 1024
-WINDOW, SCORED, WIDTH = 24, 16, 16
+WINDOW, SCORED, WIDTH = 32, 24, 16
 BATCH, LEARN_BATCH = 128, 256
 INNER = 1 << 20  # places times ids of a class that are scored at once
 START = READ_CLASSES  # what stands before a text
@@ -177,19 +178,37 @@ def classes(counts: np.ndarray, n: int, singles: int) -> np.ndarray:
     return out
 
 
+def logits(counts: np.ndarray, n: int, kinds: np.ndarray) -> float:
+    """How many logits a place has in the mean over ``counts``: those of the classes, and of the ids in the id's class."""
+    size = np.bincount(kinds, minlength=n)
+    share = np.bincount(kinds, counts + 0.5, n)
+    return n + float((share * np.where(size > 1, size, 0)).sum() / share.sum())
+
+
+def fitted(counts: np.ndarray) -> np.ndarray:
+    """The class of each id, in as many classes, a quarter of one id, as give a place the fewest logits.
+
+    By the roots of the counts, frequent ids are in classes of few, and rare ones not all in the last. However
+    small the counts, what all ids get in advance is a fifth of that.
+    """
+    roots = np.sqrt(counts)
+    roots *= 2.5 * len(roots) / max(1.0, roots.sum())
+    tried = [(n, classes(roots, n, n // 4)) for n in (24, 32, 48, 64, 96, 128, 192, CLASSES)]
+    return min(tried, key=lambda t: logits(counts, *t))[1].astype(np.int16)
+
+
 class Model:
     """The network: ``weights`` by name, and the classes of ids."""
 
     def __init__(self, counts: np.ndarray, seed: int = 5) -> None:
         self.read = classes(counts, READ_CLASSES, READ_SINGLES).astype(np.int32)
-        # By the roots of the counts, frequent ids are in classes of few, and rare ones not all in the last.
-        self.written = classes(np.sqrt(counts), CLASSES, SINGLES).astype(np.int32)
-        share = counts + 0.5
-        mass = np.bincount(self.written, share, CLASSES)
+        self.written = fitted(counts)
+        share, n = counts + 0.5, int(self.written.max()) + 1
+        mass = np.bincount(self.written, share, n)
         by_class = np.argsort(self.written, kind="stable")
         self.slot = np.empty(VOCABULARY, np.int32)  # an id's row in I and i, where a class's ids are neighbours
         self.slot[by_class] = np.arange(VOCABULARY)
-        self.edges = np.searchsorted(self.written[by_class], np.arange(CLASSES + 1))
+        self.edges = np.searchsorted(self.written[by_class], np.arange(n + 1))
         random = np.random.default_rng(seed)
 
         def drawn(*shape: int, scale: float) -> np.ndarray:
@@ -199,7 +218,7 @@ class Model:
         self.weights = {
             "E": drawn(READ_CLASSES + 1, d, scale=0.5), "P": drawn(WINDOW, d, scale=0.1),
             "Q": drawn(d, d, scale=d**-0.5), "K": drawn(d, d, scale=d**-0.5), "V": drawn(d, d, scale=d**-0.5),
-            "O": drawn(d, CLASSES, scale=0.1), "o": np.log(np.maximum(mass, 1e-9) / mass.sum()).astype(np.float32),
+            "O": drawn(d, n, scale=0.1), "o": np.log(np.maximum(mass, 1e-9) / mass.sum()).astype(np.float32),
             "I": drawn(VOCABULARY, d, scale=0.1), "i": np.log(share / mass[self.written])[by_class].astype(np.float32),
         }
 
@@ -216,7 +235,7 @@ class Model:
         """Pieces of the places by the class of their ``ids``: places, and the class's rows of ``I`` and ``i``. Classes of one id have none."""
         kind = self.written[ids]
         order = np.argsort(kind, kind="stable")
-        cuts = np.searchsorted(kind[order], np.arange(CLASSES + 1))
+        cuts = np.searchsorted(kind[order], np.arange(len(self.edges)))
         for c in np.flatnonzero((np.diff(cuts) > 0) & (np.diff(self.edges) > 1)):
             low, high = self.edges[c], self.edges[c + 1]
             step = max(1, INNER // (high - low))
@@ -224,49 +243,54 @@ class Model:
                 yield order[at : min(at + step, cuts[c + 1])], low, high
 
     def gradients(self, x: np.ndarray, y: np.ndarray, used: np.ndarray) -> dict:
-        """Of the mean loss of the ids ``y`` over the places ``used``; all places of a window learn from those before.
+        """Of the mean loss of the ids ``y``, those of the last places of the windows ``x``, over the places ``used``.
 
         ``inner`` has those of ``I`` and ``i`` in pieces: first row, end, and the gradients of these rows.
         """
-        p, scale = self.weights, np.float32(WIDTH**-0.5)
-        e = p["E"][x] + p["P"]
-        q, k, v = e @ p["Q"], e @ p["K"], e @ p["V"]
-        s = q @ k.transpose(0, 2, 1) * scale
-        s[:, np.triu(np.ones((WINDOW, WINDOW), bool), 1)] = -1e9
-        s = np.exp(s - s.max(2, keepdims=True))
+        p, scale, first = self.weights, np.float32(WIDTH**-0.5), WINDOW - y.shape[1]
+        rows = lambda t: t.reshape(-1, t.shape[2])
+        times = lambda t, w: (rows(t) @ w).reshape(t.shape)
+        e = p["E"][x]
+        e += p["P"]
+        last = np.ascontiguousarray(e[:, first:])
+        q, k, v = times(last, p["Q"] * scale), times(e, p["K"]), times(e, p["V"])
+        s = q @ k.transpose(0, 2, 1)
+        np.exp(np.minimum(s, 60, out=s), out=s)
+        s *= np.tri(WINDOW, dtype=np.float32)[first:]
         s /= s.sum(2, keepdims=True)
-        z = e + s @ v
-        i, j = np.nonzero(used)
-        own, ids, share = z[i, j], y[i, j], np.float32(1 / max(1, len(i)))
-        out = own @ p["O"] + p["o"]
-        out = np.exp(out - out.max(1, keepdims=True))
-        out /= out.sum(1, keepdims=True)
-        out[np.arange(len(i)), self.written[ids]] -= 1
-        out *= share
+        z = s @ v
+        z += last
+        place = np.flatnonzero(used)
+        own, ids, share = rows(z)[place], y.ravel()[place], np.float32(1 / max(1, len(place)))
+        out = own @ p["O"]
+        out += p["o"]
+        np.exp(np.clip(out, -60, 60, out=out), out=out)
+        out *= share / out.sum(1, keepdims=True)
+        out[np.arange(len(place)), self.written[ids]] -= share
         down, inner = out @ p["O"].T, []
         for at, low, high in self.inner(ids):
             some = own[at]
-            e2 = some @ p["I"][low:high].T + p["i"][low:high]
-            e2 = np.exp(e2 - e2.max(1, keepdims=True))
-            e2 /= e2.sum(1, keepdims=True)
-            e2[np.arange(len(at)), self.slot[ids[at]] - low] -= 1
-            e2 *= share
+            e2 = some @ p["I"][low:high].T
+            e2 += p["i"][low:high]
+            np.exp(np.clip(e2, -60, 60, out=e2), out=e2)
+            e2 *= share / e2.sum(1, keepdims=True)
+            e2[np.arange(len(at)), self.slot[ids[at]] - low] -= share
             down[at] += e2 @ p["I"][low:high]
             inner.append((low, high, e2.T @ some, e2.sum(0)))
-        rows = lambda t: t.reshape(-1, t.shape[2])
         dz = np.zeros_like(z)
-        dz[i, j] = down
+        rows(dz)[place] = down
         ds, dv = dz @ v.transpose(0, 2, 1), s.transpose(0, 2, 1) @ dz
-        ds = s * (ds - (ds * s).sum(2, keepdims=True)) * scale
+        ds -= np.einsum("abc,abc->ab", ds, s)[:, :, None]
+        ds *= s
         dq, dk = ds @ k, ds.transpose(0, 2, 1) @ q
-        de = dz + dq @ p["Q"].T + dk @ p["K"].T + dv @ p["V"].T
-        order = np.argsort(x.ravel(), kind="stable")
-        seen = x.ravel()[order]
-        edge = np.flatnonzero(np.append(True, seen[1:] != seen[:-1]))
-        table = np.zeros_like(p["E"])
-        table[seen[edge]] = np.add.reduceat(rows(de)[order], edge, axis=0)
+        de = times(dk, p["K"].T)
+        de += times(dv, p["V"].T)
+        de[:, first:] += dz
+        de[:, first:] += times(dq, p["Q"].T * scale)
+        seen = x.ravel().astype(np.int64)
+        table = np.stack([np.bincount(seen, c, len(p["E"])) for c in rows(de).T], 1).astype(np.float32)
         return {
-            "E": table, "P": de.sum(0), "Q": rows(e).T @ rows(dq), "K": rows(e).T @ rows(dk), "V": rows(e).T @ rows(dv),
+            "E": table, "P": de.sum(0), "Q": rows(last).T @ rows(dq) * scale, "K": rows(e).T @ rows(dk), "V": rows(e).T @ rows(dv),
             "O": own.T @ out, "o": out.sum(0), "inner": inner,
         }
 
@@ -379,13 +403,7 @@ def learned_block(texts: Texts, model: Model, number: int, rounds: int, train_ev
     if not len(some):
         return 0
     texts.coded(model)
-    lead = ((0, 0), (WINDOW - SCORED, 0))
-
-    def take(at):
-        x, y, inside = texts.inputs(own[some[at]], first[some[at]])
-        return x, np.pad(y, lead), np.pad(inside, lead)
-
-    model.learn(len(some), take, least_steps, seed=number)
+    model.learn(len(some), lambda at: texts.inputs(own[some[at]], first[some[at]]), least_steps, seed=number)
     return len(some)
 
 
