@@ -20,6 +20,8 @@
 Defined results: null and empty texts are one end token. A document is held out of training by the
 CRC-32 of its id as a text; one without an id trains. Repeated rows are scored alike, and each of them
 trains. Without any training text all counts are 0.
+A word of more than 256 bytes is cut into parts of that size before it is merged, so its ids, and with them
+``score``, may differ from those of the vocabulary; the counts and ``base_score`` take it whole.
 """
 
 from __future__ import annotations
