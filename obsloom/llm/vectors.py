@@ -7,8 +7,9 @@ distance d a projection agrees with probability 1 - 2 N(-w/d) - 2 d / (w sqrt(2
 
 ``bits`` grows with the logarithm of the counted vectors of the largest label, so that a cell holds about
 ``meet`` of them by chance (at cosine 0) however many there are, and ``tables`` follows from the asked ``miss``
-of a pair at the threshold; closer pairs are missed far less. At 0.93, 1,000 vectors take 7 bits and 24 tables,
-a million 17 and 140: the tables grow with about the 0.22th power of the rows, the comparisons of a vector alike.
+of a pair at the threshold; closer pairs are missed far less. At 0.93, 1,000 vectors take 4 bits and 13 tables,
+a million 13 and 71: the tables grow with about the 0.22th power of the rows, the comparisons of a vector alike.
+A cell of 128 costs one small product, hardly more than a cell of 8, and takes half the tables.
 
 Equal vectors of a label are one class first, so copies are never compared with each other. Cells with many
 classes are cut into blocks that are compared in pairs, by tasks of bounded size. A pair is counted in the first
@@ -97,10 +98,16 @@ def roots(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         low = new
 
 
-def cell_links(units: np.ndarray, cell: dict, hashes: Hashes, threshold: float):
-    """Kind, id, links counted here and smallest id joined with, for the vectors of a cell that have links; or None."""
-    i, j = cell["i"][0], cell["j"][0]
-    left, right = (slice(None), slice(None)) if i == j else (np.flatnonzero(cell["own"] == i), np.flatnonzero(cell["own"] == j))
+def cell_links(units: np.ndarray, at: np.ndarray, rows: dict, hashes: Hashes, threshold: float):
+    """Kind, id, links counted here and smallest id joined with, for the vectors of a cell that have links; or None.
+
+    The cell's vectors are ``units``, in ``rows`` at the places ``at``. Most cells have no links, and cost one product.
+    """
+    i, j = rows["i"][at[0]], rows["j"][at[0]]
+    left = right = slice(None)
+    if i != j:
+        own = rows["own"][at]
+        left, right = np.flatnonzero(own == i), np.flatnonzero(own == j)
     p, q = np.nonzero(units[left] @ units[right].T >= threshold)
     if i == j:
         p, q = p[p < q], q[p < q]
@@ -111,19 +118,19 @@ def cell_links(units: np.ndarray, cell: dict, hashes: Hashes, threshold: float):
     # A pair belongs to the first table in which it meets; most near ones leave within a few tables.
     some = np.unique(np.concatenate([p, q]))
     cells, p, q = hashes.cells(units[some]), np.searchsorted(some, p), np.searchsorted(some, q)
-    for table in range(cell["tab"][0]):
+    for table in range(rows["tab"][at[0]]):
         fresh = cells[p, table] != cells[q, table]
         p, q = p[fresh], q[fresh]
         if not len(p):
             return None
     here = np.unique(np.concatenate([p, q]))
     some, p, q = some[here], np.searchsorted(here, p), np.searchsorted(here, q)
-    ids, n = cell["id"][some], cell["n"][some]
+    ids, n = rows["id"][at[some]], rows["n"][at[some]]
     links = np.bincount(p, n[q], len(some)) + np.bincount(q, n[p], len(some))
     order = np.argsort(ids, kind="stable")
     rank = np.argsort(order)
     low = ids[order][roots(len(some), rank[p], rank[q])[rank]]
-    return cell["kind"][some], ids, links.astype(np.int64), low
+    return rows["kind"][at[some]], ids, links.astype(np.int64), low
 
 
 def near_vectors(
@@ -134,7 +141,7 @@ def near_vectors(
     threshold: float = 0.93,
     miss: float = 1e-4,
     step: float = 2.0,
-    meet: int = 8,
+    meet: int = 128,
     block: int = BLOCK,
 ) -> DataFrame:
     """One row per row of ``vectors``: ``vec_id``, ``n_links``, ``component_id`` and ``kept``.
@@ -207,7 +214,9 @@ def near_vectors(
                     if len(at) > 1:
                         size = int(lengths[at[0]])
                         hashes = made.setdefault(size, Hashes(size, tables, bits, step))
-                        linked_ = cell_links(units[size][place[at]], {c: v[at] for c, v in columns.items()}, hashes, threshold)
+                        first = place[at[0]]
+                        of_cell = units[size][first : first + len(at)] if same else units[size][place[at]]
+                        linked_ = cell_links(of_cell, at, columns, hashes, threshold)
                         if linked_ is not None:
                             out.append(linked_)
             if out:
