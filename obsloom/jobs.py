@@ -90,8 +90,8 @@ def _check(spark, landing, now, args):
     if wrong:
         raise SystemExit("\n".join(wrong))
     shared = {model: stored.read(name) for model, name in SHARED.items()}
-    warehouse = over(Warehouse(landing.source), merged=shared.pop("_obs_daily_all_qc"), **shared)
-    results = run_checks(lambda name: stored.read(name) if name in MARTS else getattr(warehouse, name)).collect()  # one row per declared test
+    warehouse = over(Warehouse(landing.source, newest_stations=landing.newest_stations), merged=shared.pop("_obs_daily_all_qc"), **shared)
+    results = run_checks(lambda name: stored.read(name) if name in MARTS else getattr(warehouse, name), stored.nulls).collect()  # one row per declared test
     failed = [r for r in results if r["failures"]]
     if failed:
         raise SystemExit("\n".join(f"{r['model']}.{r['column_name']} {r['test']}: {r['failures']}" for r in failed))

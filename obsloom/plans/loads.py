@@ -11,7 +11,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from obsloom.operators.incremental import log_rows, plan_incremental, plan_initial, update_bounds
-from obsloom.operators.snapshot import latest_snapshot
 from obsloom.sources.landing import Landing, bounds_as_text
 
 STATIONS, LOG = "land_obs_stations", "land_obs_load_log"
@@ -29,7 +28,7 @@ def next_initial(landing: Landing, table: str, *, countries=("US",), states=(),
     kind, _ = KINDS[table]
     landing.small(LOG).ensure()
     return plan_initial(
-        latest_snapshot(landing.source(STATIONS), "snapshot_time"), landing.source(LOG), table,
+        landing.newest_stations(), landing.source(LOG), table,
         start=f"{kind}_start", end=f"{kind}_end", filters={"country": countries, "region": states}, n=batch_size,
         attempts=landing.source(ATTEMPTS),
     )
@@ -42,7 +41,7 @@ def next_incremental(
     size = INCREMENT_SIZES[table] if batch_size == USUAL_SIZE else batch_size
     kind, step = KINDS[table]
     return plan_incremental(
-        latest_snapshot(landing.source(STATIONS), "snapshot_time"), landing.source(table),
+        landing.newest_stations(), landing.source(table),
         start=f"{kind}_start", end=f"{kind}_end", step=step, now=now,
         filters={"country": countries, "region": states}, n=size, attempts=landing.source(ATTEMPTS), table=table,
         marks=landing.marks(table),
@@ -76,8 +75,8 @@ def land_increment(landing: Landing, batch: DataFrame, table: str, planned: Data
     if step == "hour":
         ends = planned.select(F.col("station_id").alias("id"), bounds_as_text("end").alias("new_end"))
         stations = landing.small(STATIONS)
-        stations.replace(
-            update_bounds(stations.read(), ends, id_="id", column=f"{kind}_end", spread=["snapshot_time"])
-        )
+        version = stations.version()
+        moved = update_bounds(stations.read(), ends, id_="id", column=f"{kind}_end", spread=["snapshot_time"])
+        stations.replace(moved, after=version)
         log_loaded(landing, table, planned.select("station_id"), now)
     log_loaded(landing, table, planned.select("station_id"), now, ATTEMPTS)

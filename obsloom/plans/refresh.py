@@ -42,7 +42,7 @@ def refresh(landing: Landing, directory: str, calendar_end=None, names=(*MARTS,
     """
     # Looked at before the tables are read: what lands meanwhile counts as changed the next time.
     inputs = {**landing.fingerprints(), "calendar_end": {"": str(calendar_end)}}
-    warehouse = Warehouse(landing.source, calendar_end)
+    warehouse = Warehouse(landing.source, calendar_end, landing.newest_stations)
     published = Published(landing.spark, directory)
     build = published.build()
     before = build.base.inputs

@@ -17,6 +17,7 @@ from obsloom.operators.matching import token_match
 from obsloom.operators.skew import lookup_join
 from obsloom.operators.snapshot import latest_snapshot, with_label
 from obsloom.plans import weather as w
+from obsloom.plans.tested import NOT_NULL
 from obsloom.session import materialise
 from obsloom.sources.published import Build, Published
 
@@ -32,11 +33,12 @@ class Warehouse:
     jobs, since they fix intermediate values by a checkpoint.
 
     ``source`` maps a landing table's name to a DataFrame. ``calendar_end`` is the first day
-    that the calendar leaves out.
+    that the calendar leaves out. ``newest_stations`` gives the newest station snapshot where the store knows it;
+    else it is found in the table of all snapshots.
     """
 
-    def __init__(self, source: Callable[[str], DataFrame], calendar_end=None):
-        self._source = source
+    def __init__(self, source: Callable[[str], DataFrame], calendar_end=None, newest_stations: Callable[[], DataFrame] | None = None):
+        self._source, self._newest_stations = source, newest_stations
         self.spark = source("land_obs_stations").sparkSession
         self._calendar_end = dims.ten_years_from_today() if calendar_end is None else calendar_end
 
@@ -58,7 +60,7 @@ class Warehouse:
 
     @cached_property
     def stg_obs_stations(self) -> DataFrame:
-        newest = latest_snapshot(self._source("land_obs_stations"), "snapshot_time")
+        newest = self._newest_stations() if self._newest_stations else latest_snapshot(self._source("land_obs_stations"), "snapshot_time")
         staged = staging.stage_columns(newest, w.STATION_NAMES, {c: "date" for c in w.STATION_DATES})
         return with_label(staged, "region_code", "region_name", US_REGIONS)
 
@@ -301,7 +303,7 @@ SHARED = {
 
 def over(warehouse: Warehouse, merged: DataFrame | None = None, **stored: DataFrame) -> Warehouse:
     """The same warehouse with some models read from what is stored; ``merged`` is the merge with provenance."""
-    out = Warehouse(warehouse._source, warehouse._calendar_end)
+    out = Warehouse(warehouse._source, warehouse._calendar_end, warehouse._newest_stations)
     if merged is not None:
         # The plain merge is a selection from the one with provenance.
         stored |= {"_obs_daily_all_qc": merged, "obs_daily_all": merged.select("station_date_id", *w.KEYS, *w.DAY_COLUMNS)}
@@ -328,7 +330,7 @@ def store_all(build: Build, frames: dict[str, DataFrame], months: dict[str, set[
 
     def store(name: str) -> None:
         date = BY_MONTH.get(name)
-        build.store(frames[name], name, date, (months or {}).get(name), ["station_id", date] if date else [])
+        build.store(frames[name], name, date, (months or {}).get(name), ["station_id", date] if date else [], NOT_NULL.get(name, ()))
 
     with ThreadPoolExecutor(WRITERS) as writers:
         list(writers.map(store, frames))

@@ -9,9 +9,10 @@ from pyspark.sql.types import DoubleType, IntegerType, LongType, StringType, Str
 
 from obsloom.functions.calendar import utc
 from obsloom.operators.incremental import log_rows
-from obsloom.plans.checks import NOT_NULL, RELATIONSHIPS, UNIQUE, run_checks
+from obsloom.plans.checks import run_checks
 from obsloom.plans.loads import land_and_log, land_increment, next_incremental, next_initial
 from obsloom.plans.refresh import refresh
+from obsloom.plans.tested import NOT_NULL, RELATIONSHIPS, UNIQUE
 from obsloom.plans.warehouse import ARCHIVE, MARTS, SERVE, Warehouse, build_all
 from obsloom.registered.bindings import LANDING_SQL, landing_source
 from obsloom.registered.common import Registry, rounded, scratch, sql_key, sql_round, table
@@ -21,6 +22,7 @@ from obsloom.sources.keyed import KeyedLog
 from obsloom.sources.landing import FACTS, Landing
 from obsloom.sources.published import Published
 from obsloom.sources.schemas import LANDING, without
+from obsloom.sources.snapshots import SnapshotTable
 from obsloom.sources.versioned import VersionedTable
 from obsloom.streaming.landing import stream_land
 from obsloom.streaming.rollup import Updates, current_days, stream_rollup, write_updates
@@ -119,6 +121,19 @@ def _register_files(registry: Registry) -> None:
         stored.replace(stored.read().withColumn("s_acctbal", F.col("s_acctbal") + 1))
         return rounded(stored.read())
 
+    @registry.add(
+        "newest_copy",
+        "WITH o AS (SELECT o_orderkey, strftime(o_orderdate, '%Y-%m') AS taken, o_totalprice FROM orders) "
+        "SELECT o_orderkey, taken, round(o_totalprice, 6) AS o_totalprice FROM o WHERE taken = (SELECT max(taken) FROM o)",
+    )
+    def newest_copy(spark, sf_dir):
+        """Copies of months appended in two halves; of the stored ones the newest is read alone."""
+        rows = table(spark, sf_dir, "orders").select("o_orderkey", F.date_format("o_orderdate", "yyyy-MM").alias("taken"), "o_totalprice")
+        stored = SnapshotTable(spark, f"{scratch(spark)}/orders", rows.schema, "taken")
+        for half in (0, 1):
+            stored.append(rows.where(F.col("o_orderkey") % 2 == half))
+        return rounded(stored.newest())
+
     @registry.add("view_and_table", "SELECT o_orderpriority, count(*) AS n FROM orders GROUP BY 1")
     def view_and_table(spark, sf_dir):
         counts = table(spark, sf_dir, "orders").groupBy("o_orderpriority").agg(F.count(F.lit(1)).alias("n"))
@@ -267,7 +282,7 @@ def _register_loads(registry: Registry) -> None:
         """The declared data tests over the stored tables and the staged landing tables."""
         warehouse = Warehouse(landing_source(spark, sf_dir), calendar_end=CALENDAR_END)
         stored = build_all(warehouse, scratch(spark), MARTS).snapshot()
-        return run_checks(lambda name: stored.read(name) if name in stored else getattr(warehouse, name))
+        return run_checks(lambda name: stored.read(name) if name in stored else getattr(warehouse, name), stored.nulls)
 
     @registry.add("build_all", with_models(ORACLES["mart_obs_fact"]))
     def build_all_(spark, sf_dir):

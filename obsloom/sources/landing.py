@@ -13,10 +13,12 @@ from obsloom.session import materialise
 from obsloom.sources import files
 from obsloom.sources.keyed import KeyedLog
 from obsloom.sources.schemas import LANDING, MALFORMED, without
+from obsloom.sources.snapshots import SnapshotTable
 from obsloom.sources.storage import Storage
 from obsloom.sources.versioned import VersionedTable
 
 FACTS = ("land_obs_daily", "land_obs_hourly")
+STATIONS = "land_obs_stations"
 HIGH_WATER = "land_obs_high_water"
 #: Logs of one row per station and table, with the column whose greatest value counts, if not the latest row.
 LOGS = {"land_obs_load_log": None, "land_obs_attempt_log": None, HIGH_WATER: "last_time"}
@@ -32,10 +34,20 @@ class Landing:
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
 
-    def small(self, name: str) -> VersionedTable | KeyedLog:
+    def small(self, name: str) -> VersionedTable | KeyedLog | SnapshotTable:
         if name in LOGS:
             return KeyedLog(self.spark, self.path(name), LANDING[name], ["station_id", "table_name"], LOGS[name])
-        return VersionedTable(self.spark, self.path(name), LANDING[name])
+        versions = VersionedTable(self.spark, self.path(name), LANDING[name])
+        if name != STATIONS:
+            return versions
+        copies = SnapshotTable(self.spark, self.path(name), LANDING[name], "snapshot_time")
+        if copies.version() is None and versions.version() is not None:
+            copies.adopt(versions.read())  # stored before copies had folders of their own
+        return copies
+
+    def newest_stations(self) -> DataFrame:
+        """The newest station snapshot; older ones are not read."""
+        return self.small(STATIONS).newest()
 
     def source(self, name: str, months=None) -> DataFrame:
         """A landing table with its declared schema; empty if nothing has landed yet. Observations of some ``months`` if given."""
@@ -80,7 +92,7 @@ class Landing:
 
         Malformed records go to a table of their own, as in :meth:`set_aside`.
         """
-        stored = self.small("land_obs_stations")
+        stored = self.small(STATIONS)
         delivered = files.read_delivered(self.spark, path, stored.schema, "json", array=array)
         rows = self.set_aside(delivered, "land_obs_stations").dropDuplicates(["id", "snapshot_time"])
         kept = stored.read().select("id", "snapshot_time").distinct()

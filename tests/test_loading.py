@@ -305,7 +305,8 @@ def test_build_all_writes_every_table(spark, tmp_path):
 
 
 def test_declared_checks_find_what_is_wrong(spark):
-    from obsloom.plans.checks import NOT_NULL, RELATIONSHIPS, UNIQUE, run_checks
+    from obsloom.plans.checks import run_checks
+    from obsloom.plans.tested import NOT_NULL, RELATIONSHIPS, UNIQUE
 
     columns = {m: sorted({*UNIQUE.get(m, []), *NOT_NULL.get(m, [])}) for m in {*UNIQUE, *NOT_NULL}}
     columns["mart_city_station_bridge"].append("city_dim_id")

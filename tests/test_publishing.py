@@ -13,14 +13,16 @@ from pyspark.sql import functions as F
 from test_loading import DAILY, HOURLY, LOG, NOW, landing_with, now, observations, station
 
 from obsloom.operators.incremental import log_rows
-from obsloom.plans.checks import declared, differences
+from obsloom.plans.checks import declared, differences, run_checks
 from obsloom.plans.refresh import beside, refresh
-from obsloom.plans.warehouse import ARCHIVE, BY_MONTH, MARTS, SERVE
+from obsloom.plans.tested import NOT_NULL, UNIQUE
+from obsloom.plans.warehouse import ARCHIVE, BY_MONTH, MARTS, SERVE, Warehouse
 from obsloom.sources import files
 from obsloom.sources.keyed import KeyedLog
 from obsloom.sources.landing import Landing
 from obsloom.sources.published import ConcurrentBuild, Published
 from obsloom.sources.schemas import LANDING
+from obsloom.sources.snapshots import SnapshotTable
 from obsloom.sources.storage import CommitLog, Storage
 from obsloom.sources.versioned import VersionedTable
 from obsloom.streaming.rollup import Updates, current_days
@@ -318,3 +320,85 @@ def test_rejected_rows_are_kept_once(spark, tmp_path):
         landing.land(batch, HOURLY, F.lit(NOW + dt.timedelta(hours=hour)))
     assert rows(spark.read.parquet(landing.path(f"{HOURLY}_rejected")), "station_id", "time") == [("a", None), (None, NOW)]
     assert landing.source(HOURLY).count() == 1
+
+
+def copy_rows(spark, *rows_):
+    return spark.createDataFrame(list(rows_), "id int, taken string, name string")
+
+
+def test_a_copy_is_stored_and_read_alone(spark, tmp_path):
+    table = SnapshotTable(spark, str(tmp_path / "t"), copy_rows(spark, (1, "x", "y")).schema, "taken")
+    assert table.version() is None and table.newest().count() == 0 and table.read().count() == 0
+    table.append(copy_rows(spark, (1, None, "null"), (2, "", "empty")))
+    assert rows(table.newest(), "id") == [(2,)]
+    table.append(copy_rows(spark, (1, "2024-01-01T00:00:00+00:00", "a"), (2, "2024-01-01T00:00:00+00:00", "b")))
+    before = set(table.read().inputFiles())
+    table.append(copy_rows(spark, (1, "2024-02-01T00:00:00+00:00", "c")))
+    table.append(copy_rows(spark, (2, "2024-02-01T00:00:00+00:00", "d"), (9, "2024-01-01T00:00:00+00:00", "late")))
+    table.append(copy_rows(spark).limit(0))
+    assert before < set(table.read().inputFiles())  # copies stored before are not written again
+    newest = table.newest()
+    assert rows(newest, "id", "name") == [(1, "c"), (2, "d")]
+    assert all("2024-02-01" in f for f in newest.inputFiles()) and len(newest.inputFiles()) == 2
+    assert rows(table.read().where("taken is not null"), "id", "name") == [(1, "a"), (1, "c"), (2, "b"), (2, "d"), (2, "empty"), (9, "late")]
+    assert table.copies() == ["2024-01-01T00:00:00+00:00", "2024-02-01T00:00:00+00:00"]
+    version, moved = table.version(), table.read().withColumn("name", F.upper("name"))
+    table.append(copy_rows(spark, (3, "2024-03-01", "e")))
+    with pytest.raises(FileExistsError):  # the rows were made from a version without the newest copy
+        table.replace(moved, after=version)
+    table.replace(table.read().withColumn("name", F.upper("name")), after=table.version())
+    assert rows(table.newest(), "id", "name") == [(3, "E")]
+
+
+def test_stations_of_the_older_form_are_taken_over(spark, tmp_path):
+    landing = Landing(spark, str(tmp_path / "lake"))
+    old = VersionedTable(spark, landing.path("land_obs_stations"), LANDING["land_obs_stations"])
+    old.append(spark.createDataFrame([station("a", taken="2024-01"), station("a", taken="2024-02")], LANDING["land_obs_stations"]))
+    assert rows(landing.newest_stations(), "id", "snapshot_time") == [("a", "2024-02")]
+    assert landing.source("land_obs_stations").count() == 2 and landing.small("land_obs_stations").version() == 1
+
+
+def test_nulls_are_counted_as_they_are_written(spark, tmp_path):
+    published = Published(spark, str(tmp_path / "p"))
+
+    def valued(*values):
+        return spark.createDataFrame([(dt.date.fromisoformat(d), v) for d, v in values], "day date, v int")
+
+    build = published.build()
+    build.store(valued(("2024-01-01", 1), ("2024-01-02", None), ("2024-02-01", 2)), "t", "day", not_null=["day", "v"])
+    build.store(valued(), "none", "day", not_null=["v"])
+    build.store(valued(("2024-01-01", None)), "plain", not_null=["v"])
+    build.commit()
+    stored = published.snapshot()
+    assert [stored.nulls("t", c) for c in ("day", "v", "other")] == [0, 1, None]
+    assert (stored.nulls("none", "v"), stored.nulls("plain", "v"), stored.nulls("gone", "v")) == (0, 1, None)
+    build = published.build()
+    build.store(valued(("2024-02-01", None), ("2024-02-02", None)), "t", "day", ["2024-02"], not_null=["day", "v"])
+    build.commit()
+    stored = published.snapshot()
+    assert stored.nulls("day", "t") is None and stored.nulls("t", "day") == 0
+    assert stored.nulls("t", "v") is None  # which month the first write's null was in is not known
+    build = published.build()
+    build.store(valued(("2024-01-05", 5)), "t", "day", ["2024-01"], not_null=["day", "v"])
+    build.commit()
+    assert published.snapshot().nulls("t", "v") == 2 and set(published.snapshot().tables["t"]["nulls"]) == {
+        f.split("/")[1] for f in published.snapshot().tables["t"]["parts"].values()
+    }
+
+
+def test_checks_of_stored_marts_scan_keys_only(spark, tmp_path):
+    landing = landed(spark, tmp_path, "2024-01-15", "2024-02-10")
+    stored = refresh(landing, str(tmp_path / "marts"), END).snapshot()
+    warehouse = Warehouse(landing.source, END)
+    scans = []
+
+    def table(name):
+        scans.append(name)
+        return stored.read(name) if name in stored else getattr(warehouse, name)
+
+    counted = run_checks(table, stored.nulls)
+    names = [n for n in scans if n in MARTS]
+    assert sorted(names) == sorted([m for m in MARTS if m in UNIQUE] + ["mart_city_station_bridge", "mart_city_dim"])  # the last two for the relationship
+    assert "mart_obs_fact" not in names
+    scans.clear()
+    assert rows(counted) == rows(run_checks(table)) and len(scans) == len({*UNIQUE, *NOT_NULL}) + 2
