@@ -6,12 +6,13 @@ import math
 import random
 import re
 
+import pyarrow as pa
 import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
 from obsloom.functions.text import parts_of
-from obsloom.operators import matching, proximity, quadtree, ranking, skew
+from obsloom.operators import matching, proximity, quadtree, ranking, skew, tiles
 
 
 def brute_match(left, right, stop="city"):
@@ -199,3 +200,40 @@ def test_best_per_key(spark):
     assert rows(ranking.best_per_key(frame, ["k"], ["s"], ["id"], ["t"])) == [("a", 1, 5, "x"), ("b", 9, 1, "w")]
     tied = frame.unionByName(spark.createDataFrame([("a", 1, 5, "c"), ("b", 9, None, "n")], frame.schema))
     assert sorted(map(tuple, ranking.best_per_key(tied, ["k"], ["s"], ["id"], ["t"]).collect())) == [("a", 1, 5, "c"), ("b", 9, None, "n")]
+
+
+@pytest.mark.parametrize("radius", [1, 100, 700, 5000, 13000])
+def test_tiles_rank_all_pairs(spark, monkeypatch, radius):
+    """Points at the poles, at the date line and twice at one place; tiles cut into parts, parts into batches."""
+    monkeypatch.setattr(tiles, "PART_PRODUCT", 500)
+    a, b = points(1, 150), points(2, 120)
+    a, b = dict(enumerate(a + a[20:40])), dict(enumerate(b + b[30:50]))
+    left = spark.createDataFrame([(i, *p) for i, p in a.items()] + [(-1, None, 0.0), (None, 1.0, 1.0)], "a long, alat double, alon double")
+    right = spark.createDataFrame([(j, *p) for j, p in b.items()] + [(-1, 0.0, None), (None, 1.0, 1.0)], "b long, blat double, blon double")
+    sides = {"a_id": "a", "a_lat": "alat", "a_lon": "alon", "b_id": "b", "b_lat": "blat", "b_lon": "blon", "miles": radius}
+    got, by_shuffles = (
+        proximity.proximity_match(left, right, **sides, a_rank="ra", b_rank="rb", **options).select("a", "b", "ra", "rb").collect()
+        for options in ({}, {"broadcast_rows": 0, "node_rows": 3})
+    )
+    assert got == by_shuffles
+    assert {(r["a"], r["b"]) for r in got} == {(i, j) for i, p in a.items() for j, q in b.items() if miles(p, q) <= radius}
+
+
+def test_packed_pairs_keep_their_points():
+    """A part's pairs are held in batches; each point's partners come out by number within a batch."""
+    rank, right = tiles._rank_near(100), {"_b_no": [2, 1, 3], "_blat": [0.0, 0.1, 60.0], "_blon": [79.0, 79.1, 0.0]}
+    left = {"_a_no": [7, 5, 6], "_lat": [0.0, 0.0, 0.2], "_lon": [79.0, 79.0, 78.9]}
+    got = rank(pa.table(left), pa.table(right)).to_pylist()
+    assert {r["_a_no"]: (r["_b_nos"], r["_b_ranks"]) for r in got} == {5: ([1, 2], [1, 1]), 6: ([1, 2], [3, 3]), 7: ([1, 2], [2, 2])}
+
+
+def test_pairs_move_once(spark):
+    """Where ids do not repeat, the plan has one exchange of pairs: the window and the order need none."""
+    a = spark.range(300).select(F.col("id").alias("a"), (F.col("id") % 9 / 10).alias("alat"), (F.col("id") % 7 / 10).alias("alon"))
+    b = a.limit(50).toDF("b", "blat", "blon")
+    got = proximity.proximity_match(a, b, a_id="a", a_lat="alat", a_lon="alon", b_id="b", b_lat="blat", b_lon="blon", miles=20)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    after = plan[: plan.index("FlatMapCoGroupsInArrow")]
+    assert after.count("Exchange rangepartitioning") == 1 and after.count("Exchange hashpartitioning") == 0
+    repeated = proximity.proximity_match(a.unionAll(a), b, a_id="a", a_lat="alat", a_lon="alon", b_id="b", b_lat="blat", b_lon="blon", miles=20)
+    assert repeated.count() == 4 * got.count()
