@@ -152,3 +152,13 @@ def test_filters(spark):
     assert frame.filter(incremental.in_columns("x", ["p", "q"])).count() == 1
     assert incremental.filter_in(frame, "x", []).count() == 3
     assert incremental.filter_in(frame, "x", ["b"]).count() == 1
+
+
+def test_repeated_keys_are_shuffled_as_hashes(spark):
+    """Values that occur again are counted as before, nulls are not, and one value may hold most rows."""
+    keys = spark.range(1000).select(F.when(F.col("id") % 10 > 0, F.concat(F.lit("k"), F.greatest(F.col("id"), F.lit(400)))).alias("k"))
+    keys = keys.unionAll(spark.createDataFrame([("k777",), ("k778",), ("",), ("",)], "k string"))
+    got = quality.dq_repeated(keys, "k")
+    assert rows(got) == [(4,)] == rows(quality.dq_unique_and_nulls(keys, "k", []))
+    assert rows(quality.dq_repeated(keys.limit(0), "k")) == [(0,)]
+    assert rows(quality.dq_repeated(keys.filter("k IS NULL"), "k")) == [(0,)]

@@ -402,3 +402,12 @@ def test_checks_of_stored_marts_scan_keys_only(spark, tmp_path):
     assert "mart_obs_fact" not in names
     scans.clear()
     assert rows(counted) == rows(run_checks(table)) and len(scans) == len({*UNIQUE, *NOT_NULL}) + 2
+
+
+def test_keys_are_stored_at_half_their_digits(spark, tmp_path):
+    """Digits of hashes hold half a byte each."""
+    build = Published(spark, str(tmp_path / "p")).build()
+    own = spark.range(50_000, numPartitions=1).select(F.md5(F.col("id").cast("string")).alias("k"))
+    got = build.store(own, "bridge")
+    stored = sum(f.stat().st_size for f in (tmp_path / "p").rglob("*.parquet"))
+    assert got.exceptAll(own).isEmpty() and got.count() == 50_000 and stored < 50_000 * 20  # 36 bytes a row as they are
