@@ -3,7 +3,7 @@
 1. Lower-cased words become subword ids of a published byte-level vocabulary. Texts are stored in blocks
    of about 12 MB: the block's distinct words with their ids and counts in training documents, and each
    text as numbers of these words.
-2. Word counts are summed over all blocks and sent back to the blocks that have the word, so neither
+2. Word counts are summed over all blocks beside the blocks that have the word, and sent back to these, so neither
    counting nor scoring holds the corpus' vocabulary anywhere. Counts of ids are summed too; the frequent
    ones are classes of their own, the others share classes.
 3. The network (numpy) reads the ids before a place and predicts the next one: embeddings of ids and
@@ -32,6 +32,7 @@ from functools import lru_cache
 
 import numpy as np
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from obsloom.llm.common import groups, mapped, pieces, stored
@@ -147,6 +148,17 @@ def _words(stored_blocks: DataFrame) -> DataFrame:
     return mapped(stored_blocks.select("block", "words", "counts"), run, "word string, block long, i int, n long")
 
 
+def word_counts(words: DataFrame) -> DataFrame:
+    """``(block, i, c, first)``: each block's words with their counts over all blocks, without those found in no training document.
+
+    ``first`` marks one row of each word. Words move once; a word has at most one row of each block.
+    """
+    by_word = W.partitionBy("word").orderBy("block", "i")
+    everywhere = by_word.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
+    counted = words.select("block", "i", F.sum("n").over(everywhere).alias("c"), (F.row_number().over(by_word) == 1).alias("first"))
+    return counted.where("c > 0")
+
+
 def _id_counts(stored_blocks: DataFrame) -> np.ndarray:
     """How often each id is found in training documents."""
 
@@ -464,14 +476,13 @@ def lm_scores(
     CRC-32 of their id leaves ``fold`` on division by ``folds``.
     """
     held = stored(blocks(docs, vocab, text, doc_id, fold, folds, block_bytes))
-    words = _words(held)
-    counts = stored(words.where("n > 0").groupBy("word").agg(F.sum("n").alias("c")))
-    found = counts.agg(F.sum("c").alias("n"), F.count("*").alias("v")).first()
+    counts = stored(word_counts(_words(held)))
+    found = counts.where("first").agg(F.sum("c").alias("n"), F.count("*").alias("v")).first()
     ids = _id_counts(held)
     ends = int(ids[END])
     tokens, kinds = int(found["n"] or 0) + ends, found["v"] + bool(ends)
     model = train(held, Model(ids), rounds, train_every, least_steps)
-    back = words.select("word", "block", "i").join(counts, "word").select("block", "i", "c").repartition("block").sortWithinPartitions("block")
+    back = counts.select("block", "i", "c").sortWithinPartitions("block")
 
     def gathered(batches):
         import pyarrow as pa
@@ -480,7 +491,8 @@ def lm_scores(
             packed = [_pack(group.column(c).to_numpy()) for c in ("i", "c")]
             yield pa.RecordBatch.from_arrays([pa.array([group.column("block")[0].as_py()], pa.int64()), *(pa.array([p], pa.binary()) for p in packed)], names=["block", "i", "c"])
 
-    known = mapped(back, gathered, "block long, i binary, c binary")
+    # Packed where they are read, then moved.
+    known = mapped(back, gathered, "block long, i binary, c binary").groupBy("block").agg(F.collect_list(F.struct("i", "c")).alias("known"))
 
     def scored(batches):
         import pyarrow as pa
@@ -491,8 +503,8 @@ def lm_scores(
                 r = batch.slice(at, 1).to_pylist()[0]
                 texts = Texts(r)
                 per_word = np.zeros(int(texts.word.max(initial=0)) + 1)
-                if r["i"] is not None:
-                    per_word[_unpack(r["i"], np.int32)] = _unpack(r["c"], np.int64)
+                for some in r["known"] or []:
+                    per_word[_unpack(some["i"], np.int32)] = _unpack(some["c"], np.int64)
                 per_word[texts.word[texts.last_words]] = ends
                 c = per_word[texts.word]
                 logs = np.zeros(len(texts.ids))

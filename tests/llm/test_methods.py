@@ -275,6 +275,14 @@ def test_lm_base_and_held_out(spark, prose):
     assert even < sum(rows[i]["score"] for i in some) < 0
 
 
+def test_lm_words_move_once(spark):
+    """The sum over all blocks comes beside each block's word by one exchange, and words of held-out documents alone have no row."""
+    words = spark.createDataFrame([("a", 1, 0, 2), ("a", 2, 5, 0), ("b", 1, 1, 0), ("b", 2, 6, 0), ("c", 2, 7, 3)], "word string, block long, i int, n long")
+    got = lm.word_counts(words)
+    assert got._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
+    assert sorted(map(tuple, got.collect())) == [(1, 0, 2, True), (2, 5, 2, False), (2, 7, 3, True)]
+
+
 def test_lm_gradients_and_windows():
     model = lm.Model(np.random.default_rng(1).integers(0, 50, lm.VOCABULARY).astype(float))
     random_ = np.random.default_rng(2)
