@@ -28,6 +28,7 @@ from __future__ import annotations
 
 import base64
 import zlib
+from array import array
 from functools import lru_cache
 
 import numpy as np
@@ -43,7 +44,8 @@ CLASSES = 256  # at most
 READ_SINGLES, READ_CLASSES = 960, 1024
 WINDOW, SCORED, WIDTH = 32, 24, 16
 BATCH, LEARN_BATCH = 128, 256
-INNER = 1 << 20  # places times ids of a class that are scored at once
+PLACED = 1 << 16  # words whose ids are placed at once
+INNER = 1 << 17  # places times ids of a class that are scored at once
 START = READ_CLASSES  # what stands before a text
 
 
@@ -88,18 +90,19 @@ def blocks(docs: DataFrame, vocab: str, text: str, doc_id: str, fold: int, folds
             words, sizes = list(known), [len(p) for p in parts]
             train = np.concatenate([p for p, h in zip(parts, held, strict=True) if not h] or [np.empty(0, np.uint32)])
             # Very long words go in parts, as merging takes more than the time in proportion.
-            subwords = []
+            lengths, subwords = array("I"), array("H")
             for w in words:
                 if (found := cache.get(w)) is None:
                     found = merge(b" " + w) if len(w) <= 256 else [i for a in range(0, len(w), 256) for i in merge(b" " * (not a) + w[a : a + 256])]
                     if len(cache) < 150_000 and len(w) < 20:  # frequent words come early
                         cache[w] = found
-                subwords.append(found)
+                lengths.append(len(found))
+                subwords.extend(found)
             row = {
                 "block": (TaskContext.get().partitionId() << 24) + number,
                 "docs": list(ids), "held": list(held), "sizes": sizes, "text": _pack(np.concatenate(parts)),
                 "words": b" ".join(words).decode("utf-8", "replace"), "counts": _pack(np.bincount(train, minlength=len(words)).astype(np.int64)),
-                "lengths": _pack(np.array([len(s) for s in subwords], np.uint32)), "ids": _pack(np.array([i for s in subwords for i in s], np.uint16)),
+                "lengths": _pack(np.frombuffer(lengths, np.uint32)), "ids": _pack(np.frombuffer(subwords, np.uint16)),
             }
             number += 1
             for x in (known, ids, held, parts):
@@ -211,6 +214,34 @@ def fitted(counts: np.ndarray) -> np.ndarray:
     return min(tried, key=lambda t: logits(counts, *t))[1].astype(np.int16)
 
 
+def _sums(t: np.ndarray) -> np.ndarray:
+    """Of the rows of ``t``; a product takes less time than the sum of many short rows."""
+    return t @ np.ones(t.shape[1], np.float32)
+
+
+def _exp(t: np.ndarray, low: float | None = -60, high: float = 60) -> np.ndarray:
+    """``t``, in place, as powers of e, its values held between ``low`` and ``high``."""
+    np.minimum(t, np.float32(high), out=t)
+    if low is not None:
+        np.maximum(t, np.float32(low), out=t)
+    return np.exp(t, out=t)
+
+
+def _picked(hidden: np.ndarray, w: np.ndarray, bias: np.ndarray, column: np.ndarray) -> np.ndarray:
+    """The log-probability of each row's ``column`` by the logits ``hidden @ w + bias``."""
+    t = hidden @ w
+    t += bias
+    _exp(t)
+    return np.log(t.reshape(-1)[np.arange(len(t)) * t.shape[1] + column] / _sums(t))
+
+
+def _neighbours(inner: list[tuple]) -> list[tuple]:
+    """Gradients of classes whose rows follow each other, together."""
+    cuts = [0, *(i for i in range(1, len(inner)) if inner[i][0] != inner[i - 1][1]), len(inner)]
+    some = [inner[a:b] for a, b in zip(cuts[:-1], cuts[1:], strict=True) if b > a]
+    return [(own[0][0], own[-1][1], *(np.concatenate([g[i] for g in own]) for i in (2, 3))) for own in some]
+
+
 class Model:
     """The network: ``weights`` by name, and the classes of ids."""
 
@@ -246,66 +277,83 @@ class Model:
             at += w.size
 
     def inner(self, ids: np.ndarray):
-        """Pieces of the places by the class of their ``ids``: places, and the class's rows of ``I`` and ``i``. Classes of one id have none."""
+        """The order of the places by the class of their ``ids``, and the pieces of it by class: start, end, and the class's rows of ``I`` and ``i``.
+
+        Classes of one id have no pieces.
+        """
         kind = self.written[ids]
         order = np.argsort(kind, kind="stable")
         cuts = np.searchsorted(kind[order], np.arange(len(self.edges)))
+        some = []
         for c in np.flatnonzero((np.diff(cuts) > 0) & (np.diff(self.edges) > 1)):
-            low, high = self.edges[c], self.edges[c + 1]
+            low, high = int(self.edges[c]), int(self.edges[c + 1])
             step = max(1, INNER // (high - low))
-            for at in range(cuts[c], cuts[c + 1], step):
-                yield order[at : min(at + step, cuts[c + 1])], low, high
+            some += [(at, min(at + step, int(cuts[c + 1])), low, high) for at in range(int(cuts[c]), int(cuts[c + 1]), step)]
+        return order, some
 
     def gradients(self, x: np.ndarray, y: np.ndarray, used: np.ndarray) -> dict:
         """Of the mean loss of the ids ``y``, those of the last places of the windows ``x``, over the places ``used``.
 
         ``inner`` has those of ``I`` and ``i`` in pieces: first row, end, and the gradients of these rows.
         """
-        p, scale, first = self.weights, np.float32(WIDTH**-0.5), WINDOW - y.shape[1]
+        p, scale, first, d = self.weights, np.float32(WIDTH**-0.5), WINDOW - y.shape[1], WIDTH
         rows = lambda t: t.reshape(-1, t.shape[2])
-        times = lambda t, w: (rows(t) @ w).reshape(t.shape)
-        e = p["E"][x]
+        times = lambda t, w: (rows(t) @ w).reshape(*t.shape[:2], w.shape[1])
+        e = np.take(p["E"], x, axis=0)
         e += p["P"]
         last = np.ascontiguousarray(e[:, first:])
-        q, k, v = times(last, p["Q"] * scale), times(e, p["K"]), times(e, p["V"])
-        s = q @ k.transpose(0, 2, 1)
-        np.exp(np.minimum(s, 60, out=s), out=s)
+        both = np.hstack([p["K"], p["V"]])
+        q, kv = times(last, p["Q"] * scale), times(e, both)
+        k, v = kv[:, :, :d], kv[:, :, d:]
+        s = _exp(q @ k.transpose(0, 2, 1), low=None)
         s *= np.tri(WINDOW, dtype=np.float32)[first:]
-        s /= s.sum(2, keepdims=True)
-        z = s @ v
-        z += last
+        s /= _sums(rows(s)).reshape(*s.shape[:2], 1)
+        seen = s @ v
+        z = rows(seen + last)
         place = np.flatnonzero(used)
-        own, ids, share = rows(z)[place], y.ravel()[place], np.float32(1 / max(1, len(place)))
+        ids, share = y.ravel()[place], np.float32(1 / max(1, len(place)))
+        order, some = self.inner(ids)
+        place, ids = place[order], ids[order]
+        own, kinds = z[place], self.written[ids].astype(np.int64)
+        column = self.slot[ids] - self.edges[kinds]  # in the class
         out = own @ p["O"]
         out += p["o"]
-        np.exp(np.clip(out, -60, 60, out=out), out=out)
-        out *= share / out.sum(1, keepdims=True)
-        out[np.arange(len(place)), self.written[ids]] -= share
+        _exp(out)
+        out *= (share / _sums(out))[:, None]
+        out.reshape(-1)[np.arange(len(place)) * out.shape[1] + kinds] -= share
         down, inner = out @ p["O"].T, []
-        for at, low, high in self.inner(ids):
-            some = own[at]
-            e2 = some @ p["I"][low:high].T
+        for a, b, low, high in some:
+            e2 = own[a:b] @ p["I"][low:high].T
             e2 += p["i"][low:high]
-            np.exp(np.clip(e2, -60, 60, out=e2), out=e2)
-            e2 *= share / e2.sum(1, keepdims=True)
-            e2[np.arange(len(at)), self.slot[ids[at]] - low] -= share
-            down[at] += e2 @ p["I"][low:high]
-            inner.append((low, high, e2.T @ some, e2.sum(0)))
-        dz = np.zeros_like(z)
+            _exp(e2)
+            e2 *= (share / _sums(e2))[:, None]
+            e2.reshape(-1)[np.arange(b - a) * (high - low) + column[a:b]] -= share
+            down[a:b] += e2 @ p["I"][low:high]
+            g = e2.T @ own[a:b], _sums(e2.T)
+            if inner and inner[-1][0] == low:
+                for total, more in zip(inner[-1][2:], g, strict=True):
+                    total += more
+            else:
+                inner.append((low, high, *g))
+        dz = np.zeros_like(seen)
         rows(dz)[place] = down
-        ds, dv = dz @ v.transpose(0, 2, 1), s.transpose(0, 2, 1) @ dz
-        ds -= np.einsum("abc,abc->ab", ds, s)[:, :, None]
+        ds, dkv = dz @ v.transpose(0, 2, 1), np.empty_like(kv)
+        np.matmul(s.transpose(0, 2, 1), dz, out=dkv[:, :, d:])
+        # The sum over the places seen of ds * s is that of dz * (s @ v).
+        seen *= dz
+        ds -= _sums(rows(seen)).reshape(*s.shape[:2], 1)
         ds *= s
-        dq, dk = ds @ k, ds.transpose(0, 2, 1) @ q
-        de = times(dk, p["K"].T)
-        de += times(dv, p["V"].T)
-        de[:, first:] += dz
-        de[:, first:] += times(dq, p["Q"].T * scale)
-        seen = x.ravel().astype(np.int64)
-        table = np.stack([np.bincount(seen, c, len(p["E"])) for c in rows(de).T], 1).astype(np.float32)
+        dq = ds @ k
+        np.matmul(ds.transpose(0, 2, 1), q, out=dkv[:, :, :d])
+        de = times(dkv, both.T)
+        dlast = times(dq, p["Q"].T * scale)
+        dlast += dz
+        de[:, first:] += dlast
+        at, dboth = x.ravel().astype(np.int64), rows(e).T @ rows(dkv)
+        table = np.stack([np.bincount(at, c, len(p["E"])) for c in rows(de).T.astype(np.float64)], 1).astype(np.float32)
         return {
-            "E": table, "P": de.sum(0), "Q": rows(last).T @ rows(dq) * scale, "K": rows(e).T @ rows(dk), "V": rows(e).T @ rows(dv),
-            "O": own.T @ out, "o": out.sum(0), "inner": inner,
+            "E": table, "P": de.sum(0), "Q": rows(last).T @ rows(dq) * scale, "K": dboth[:, :d], "V": dboth[:, d:],
+            "O": own.T @ out, "o": _sums(out.T), "inner": inner,
         }
 
     def learn(self, count: int, take, least_steps: int, seed: int, rate: float = 0.01) -> None:
@@ -322,10 +370,15 @@ class Model:
             at = order[t % per * LEARN_BATCH : (t % per + 1) * LEARN_BATCH]
             now = rate * min(1.0, (t + 1) / 20) * (1 - 0.8 * t / steps)
             gradients = self.gradients(*take(at))
-            for low, high, *both in gradients.pop("inner"):
+            for low, high, *both in _neighbours(gradients.pop("inner")):
                 for name, g in zip("Ii", both, strict=True):
-                    square[name][low:high] += g * g
-                    self.weights[name][low:high] -= np.float32(5 * now) * g / (np.sqrt(square[name][low:high]) + np.float32(1e-6))
+                    total = square[name][low:high]
+                    total += g * g
+                    root = np.sqrt(total)
+                    root += np.float32(1e-6)
+                    g *= np.float32(5 * now)
+                    g /= root
+                    self.weights[name][low:high] -= g
             for name, g in gradients.items():
                 mean[name] += 0.1 * (g - mean[name])
                 square[name] += 0.02 * (g * g - square[name])
@@ -344,26 +397,21 @@ class Model:
         for at in range(0, len(x), BATCH):
             own = x[at : at + BATCH]
             last = own[:, first:]
-            s = (eq[last] + pq[first:]) @ (ek[own] + pk).transpose(0, 2, 1)
-            s = np.exp(np.minimum(s, 60, out=s), out=s)
+            s = _exp((np.take(eq, last, axis=0) + pq[first:]) @ (np.take(ek, own, axis=0) + pk).transpose(0, 2, 1), low=None)
             s *= visible
-            z = s @ (ev[own] + pv)
-            z /= s.sum(2, keepdims=True)
-            z += p["E"][last]
+            z = s @ (np.take(ev, own, axis=0) + pv)
+            z /= _sums(s.reshape(-1, WINDOW)).reshape(*z.shape[:2], 1)
+            z += np.take(p["E"], last, axis=0)
             z += p["P"][first:]
             hidden[at : at + BATCH] = z
-            logits = z.reshape(-1, WIDTH) @ p["O"]
-            logits += p["o"]
-            np.clip(logits, -60, 60, out=logits)
-            picked = logits[np.arange(len(logits)), written[at : at + BATCH].ravel()]
-            out[at : at + BATCH] = (picked - np.log(np.exp(logits, out=logits).sum(1))).reshape(-1, SCORED)
-        flat, hidden, ids = out.reshape(-1), hidden.reshape(-1, WIDTH), y.ravel()
-        for at, low, high in self.inner(ids):
-            logits = hidden[at] @ p["I"][low:high].T
-            logits += p["i"][low:high]
-            np.clip(logits, -60, 60, out=logits)
-            picked = logits[np.arange(len(at)), self.slot[ids[at]] - low]
-            flat[at] += picked - np.log(np.exp(logits, out=logits).sum(1))
+            out[at : at + BATCH] = _picked(z.reshape(-1, WIDTH), p["O"], p["o"], written[at : at + BATCH].ravel()).reshape(-1, SCORED)
+        flat, ids = out.reshape(-1), y.ravel()
+        order, some = self.inner(ids)
+        hidden, ids = np.take(hidden.reshape(-1, WIDTH), order, axis=0), ids[order]
+        column, within = self.slot[ids] - self.edges[self.written[ids]], np.zeros(len(ids), np.float32)
+        for a, b, low, high in some:
+            within[a:b] = _picked(hidden[a:b], p["I"][low:high].T, p["i"][low:high], column[a:b])
+        flat[order] += within
         return out
 
 
@@ -373,15 +421,20 @@ class Texts:
     def __init__(self, row: dict) -> None:
         self.sizes = np.array(row["sizes"], np.int64)
         self.held = np.array(row["held"], bool)
-        words, lengths = _unpack(row["text"], np.uint32), _unpack(row["lengths"], np.uint32).astype(np.int64)
+        words, lengths = _unpack(row["text"], np.uint32), _unpack(row["lengths"], np.uint32).astype(np.int32)
         ids = _unpack(row["ids"], np.uint16)
         # The end is one more word of the block.
-        starts = np.append(np.cumsum(lengths) - lengths, len(ids))
-        lengths, ids = np.append(lengths, 1), np.append(ids, np.uint16(END))
+        starts = np.append(np.cumsum(lengths, dtype=np.int64) - lengths, len(ids))
+        lengths, ids = np.append(lengths, np.int32(1)), np.append(ids, np.uint16(END))
         self.word = np.insert(words.astype(np.int32), np.cumsum(self.sizes), len(lengths) - 1)
         n = lengths[self.word]
-        self.word_ends = np.cumsum(n)
-        self.ids = ids[np.repeat(starts[self.word] - (self.word_ends - n), n) + np.arange(self.word_ends[-1] if len(n) else 0)]  # two bytes each
+        self.word_ends = np.cumsum(n, dtype=np.int64)
+        self.ids = np.empty(self.word_ends[-1] if len(n) else 0, np.uint16)
+        for a in range(0, len(n), PLACED):  # the ids' places are held for some words at a time
+            some, own = self.word[a : a + PLACED], n[a : a + PLACED]
+            ends = self.word_ends[a : a + PLACED]
+            low = ends[0] - own[0]
+            self.ids[low : ends[-1]] = ids[np.repeat(starts[some] - (ends - own), own) + np.arange(low, ends[-1])]
         self.last_words = np.cumsum(self.sizes + 1) - 1
         ends = self.word_ends[self.last_words] if len(n) else np.empty(0, np.int64)
         self.starts, self.ends = np.append(0, ends[:-1])[: len(ends)], ends
@@ -506,8 +559,7 @@ def lm_scores(
                 for some in r["known"] or []:
                     per_word[_unpack(some["i"], np.int32)] = _unpack(some["c"], np.int64)
                 per_word[texts.word[texts.last_words]] = ends
-                c = per_word[texts.word]
-                logs = np.zeros(len(texts.ids))
+                logs = np.zeros(len(texts.ids), np.float32)
                 own, first = texts.windows(np.arange(len(texts.sizes)))
                 texts.coded(model)
                 for a in range(0, len(own), 4096):
@@ -516,13 +568,14 @@ def lm_scores(
                     place = (f[:, None] + np.arange(SCORED))[inside]
                     logs[place] = model.score(x, y)[inside]
                 word_starts = np.append(0, texts.word_ends[:-1])
-                score = np.add.reduceat(logs, word_starts) / np.log(10)
-                base = np.log10((c + 1) / (tokens + kinds + 1))
+                score = np.add.reduceat(logs, word_starts, dtype=np.float64) / np.log(10)
+                base = np.log10((per_word + 1) / (tokens + kinds + 1))[texts.word]
+                seen = (per_word > 0)[texts.word]
                 doc_starts = np.append(0, texts.last_words[:-1] + 1)
                 sums = [np.add.reduceat(v, doc_starts) for v in (base, score)]
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array(r["docs"], pa.int64()), pa.array(texts.held), pa.array(texts.sizes + 1), pa.array(np.add.reduceat((c > 0).astype(np.int64), doc_starts)),
+                        pa.array(r["docs"], pa.int64()), pa.array(texts.held), pa.array(texts.sizes + 1), pa.array(np.add.reduceat(seen, doc_starts, dtype=np.int64)),
                         pa.array(np.full(len(texts.sizes), tokens)), *(pa.array(s) for s in sums),
                     ],
                     names=names,

@@ -6,6 +6,7 @@ import inspect
 import math
 import random
 import sys
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 from pathlib import Path
@@ -378,3 +379,26 @@ def test_passages_whose_pieces_stand_in_earlier_documents(spark):
         rows = [(i, " ".join(t)) for i, t in enumerate(texts)]
         got = chaining.fuzzy_passages(spark.createDataFrame(rows, "doc_id long, text string")).where("n_removed > 0").collect()
         assert {r["doc_id"]: (r["n_removed"], r["first_docs"]) for r in got} == {i: (60, [i - 1]) for i in want}
+
+
+def test_lm_texts_take_few_bytes_an_id():
+    """Besides the ids, two bytes each, and the words, no array as long as the ids is made; each word's ids and each text's end are there."""
+    draw = np.random.default_rng(7)
+    sizes, lengths = [4_000, 0, 96_000], draw.integers(1, 9, 500).astype(np.uint32)
+    words, ids = draw.integers(0, 500, sum(sizes)).astype(np.uint32), draw.integers(0, lm.END, int(lengths.sum())).astype(np.uint16)
+    row = {"sizes": sizes, "held": [False] * 3, "text": lm._pack(words), "lengths": lm._pack(lengths), "ids": lm._pack(ids)}
+    tracemalloc.start()
+    texts = lm.Texts(row)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    own, ends, want = np.split(ids, np.cumsum(lengths)[:-1]), np.cumsum(sizes).tolist(), []
+    for a, b in zip([0, *ends], ends, strict=False):
+        want += [i for w in words[a:b] for i in own[w].tolist()] + [lm.END]
+    assert texts.ids.tolist() == want and peak < 16 * len(want)
+
+
+def test_lm_updates_of_neighbouring_classes_are_one():
+    ones = [(low, high, np.full((high - low, 2), low), np.full(high - low, high)) for low, high in ((0, 3), (3, 4), (6, 8))]
+    got = lm._neighbours(ones)
+    assert [g[:2] for g in got] == [(0, 4), (6, 8)] and got[0][2].tolist() == [[0, 0]] * 3 + [[3, 3]] and got[0][3].tolist() == [3, 3, 3, 4]
+    assert lm._neighbours([]) == []
