@@ -402,3 +402,47 @@ def test_lm_updates_of_neighbouring_classes_are_one():
     got = lm._neighbours(ones)
     assert [g[:2] for g in got] == [(0, 4), (6, 8)] and got[0][2].tolist() == [[0, 0]] * 3 + [[3, 3]] and got[0][3].tolist() == [3, 3, 3, 4]
     assert lm._neighbours([]) == []
+
+
+def test_passage_seeds_packed():
+    """The packed places of seeds, of several tasks, say the same as all places at hand; most places of a seed in every text go to any bucket."""
+    draw, rows, places = np.random.default_rng(9), [], {}
+    for task in range(3):
+        seeds = np.concatenate([draw.integers(0, 400, 900).astype(np.uint64) << np.uint64(54), np.full(300, 5 << 60, np.uint64), np.full(60, (7 << 60) + task, np.uint64)])
+        docs, at = draw.integers(-4, 1 << 40, len(seeds)), draw.integers(0, 900, len(seeds)).astype(np.int32)
+        docs[-60:] = 11 + task  # seeds of one document
+        for seed, doc, place in zip(seeds.view(np.int64).tolist(), docs.tolist(), at.tolist(), strict=True):
+            places.setdefault(seed, []).append((doc, place))
+        rows += chaining.dealt_rows(seeds, docs, at, 8)
+    paired, first, all_, homes = {}, {}, {}, {}
+    for bucket in range(8):
+        some = [r for r in rows if r["bucket"] == bucket]
+        columns = [c.to_pylist() for c in chaining.grouped_places(some)] if some else [[]] * 6
+        for kind, seed, doc, place, docs, at in zip(*columns, strict=True):
+            own = list(zip(docs, at, strict=True))
+            if kind == chaining.PAIRED:
+                paired[seed] = sorted(own)
+            elif kind == chaining.HOME:
+                homes[seed] = (doc, place)
+            else:
+                all_.setdefault(seed, []).extend(own)
+                if kind == chaining.FREQUENT:
+                    first[seed] = (doc, place)
+                    assert len(own) <= 3 * (chaining.FEW + 1) or len(places[seed]) == len(own)
+    shared = {seed: sorted(own) for seed, own in places.items() if len({doc for doc, _ in own}) > 1}
+    many = {seed: own for seed, own in shared.items() if len(own) > chaining.FEW}
+    assert paired == {seed: own for seed, own in shared.items() if seed not in many}
+    assert first == homes == {seed: own[0] for seed, own in many.items()}
+    assert {seed: sorted(all_[seed]) for seed in many} == many and len(many) >= 1
+
+
+def test_passages_move_no_texts_for_counts(spark, monkeypatch):
+    """Where the text is not asked for, it is not moved with the result; stored steps leave no shuffle files."""
+    released = []
+    kept = chaining.stored
+    monkeypatch.setattr(chaining, "stored", lambda df, **options: released.append(options.get("release")) or kept(df, **options))
+    docs = spark.createDataFrame([(i, f"{i} " + "one two three four five six " * 12) for i in range(4)], "doc_id long, text string")
+    got = chaining.fuzzy_passages(docs).select("doc_id", "n_words", "n_removed")
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert released and all(released) and "regexp_count" in plan[plan.index("Join LeftOuter") :] and "regexp_count" not in plan[: plan.index("Join LeftOuter")]
+    assert [r["n_words"] for r in got.orderBy("doc_id").collect()] == [73] * 4
